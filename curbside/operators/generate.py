@@ -112,7 +112,7 @@ def air_update(raw: DataFrame, hours: int = NEW_HOURS, seed: int = SEED) -> Data
 
     def moment(kind: str) -> Column:
         text = F.concat_ws(" ", F.col(f"date_{kind}").cast("string"), F.col(f"time_{kind}"))
-        return F.to_timestamp(text, F.lit("yyyy-MM-dd HH:mm")).cast("timestamp_ntz")
+        return F.to_timestamp(text, "yyyy-MM-dd HH:mm").cast("timestamp_ntz")
 
     timed = raw.withColumns({"_gmt": moment("gmt"), "_local": moment("local")})
     grown = latest_expanded(

@@ -37,9 +37,9 @@ def previous_value(
     last = F.max_by(F.struct(value), F.struct(*order)).getField(value)
     edges = ranged.groupBy(group, "_range").agg(last.alias("_edge"))
     across = Window.partitionBy(group).orderBy("_range")  # one row per range
-    edges = edges.withColumn("_before", F.lag("_edge").over(across)).select(
-        F.col(group).alias("_g"), F.col("_range").alias("_r"), "_before"
+    edges = edges.withColumn("_edge_before", F.lag("_edge").over(across)).select(
+        F.col(group).alias("_g"), F.col("_range").alias("_r"), "_edge_before"
     )
     joined = rows.join(edges, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_range") == F.col("_r")), "left")
-    previous = F.when(F.col("_nth") == 1, F.col("_before")).otherwise(F.col("_lag"))
-    return joined.withColumn(name, previous).drop("_range", "_lag", "_nth", "_g", "_r", "_before")
+    previous = F.when(F.col("_nth") == 1, F.col("_edge_before")).otherwise(F.col("_lag"))
+    return joined.withColumn(name, previous).drop("_range", "_lag", "_nth", "_g", "_r", "_edge_before")
