@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -104,19 +105,29 @@ def attach_hourly(trips: DataFrame, hourly: DataFrame) -> DataFrame:
 
 
 def county_hour_means(
-    air: DataFrame, value: str = "sample_measurement", name: str = "pickup_air_quality_pm25"
+    air: DataFrame,
+    codes: Sequence[tuple[str, str, str]] | None = None,
+    value: str = "sample_measurement",
+    name: str = "pickup_air_quality_pm25",
 ) -> DataFrame:
-    """Mean measurement per county and hour; codes as numbers so that '005' meets 5."""
-    keys = [
-        F.col("state_code").cast("int").alias("state_code"),
-        F.col("county_code").cast("int").alias("county_code"),
-        F.col("time_utc"),
-    ]
-    return air.groupBy(*keys).agg(F.avg(value).alias(name))
+    """Mean measurement per county and hour; codes as numbers so that '005' meets 5.
+
+    With `codes` only the counties that trips can have are read and aggregated.
+    """
+    state, county = F.col("state_code").cast("int"), F.col("county_code").cast("int")
+    if codes is not None:
+        wanted = [(state == int(s)) & (county == int(c)) for _, s, c in codes]
+        air = air.where(reduce(Column.__or__, wanted))
+    return air.groupBy(state.alias("state_code"), county.alias("county_code"), "time_utc").agg(
+        F.avg(value).alias(name)
+    )
 
 
 def attach_air(trips: DataFrame, means: DataFrame) -> DataFrame:
-    """LEFT join of pre-aggregated measurements on (state, county, hour)."""
+    """LEFT join of pre-aggregated measurements on (state, county, hour).
+
+    `means` is measured and then joined, so it should be a stored frame.
+    """
     side = broadcast_if_small(
         means.withColumnsRenamed({"state_code": "_state", "county_code": "_county", "time_utc": "_hour"})
     )

@@ -36,7 +36,10 @@ def _known_keys(target: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def new_rows(updates: DataFrame, target: DataFrame, keys: Sequence[str], prune: bool = True) -> DataFrame:
-    """The update rows without a match on all keys (NULL equals NULL)."""
+    """The update rows without a match on all keys (NULL equals NULL).
+
+    With `prune` the updates are read twice, first for their key bounds.
+    """
     if prune:
         target = _within_key_range(target, updates, keys)
     keyed = updates.withColumn("_key", F.struct(*keys))

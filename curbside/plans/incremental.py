@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from curbside.functions.names import snake_case_columns
@@ -69,10 +69,8 @@ def quarantine(spark: SparkSession, root: str, dataset: str, rejects: DataFrame,
     """Append rejects with run id and time; returns their number. Nothing is written for none."""
     if rejects.isEmpty():
         return 0
-    table = VersionedTable(spark, root, f"rejects_{dataset}")
-    before = table.history().agg(F.max("n_rows")).first()[0] or 0
-    table.append(rejects.withColumns({"_run_id": F.lit(run_id), "_rejected_at": F.current_timestamp()}))
-    return table.history().agg(F.max("n_rows")).first()[0] - before
+    stamped = rejects.withColumns({"_run_id": F.lit(run_id), "_rejected_at": F.current_timestamp()})
+    return VersionedTable(spark, root, f"rejects_{dataset}").append(stamped).added_rows
 
 
 def align_types(updates: DataFrame, target: DataFrame) -> DataFrame:
@@ -81,24 +79,26 @@ def align_types(updates: DataFrame, target: DataFrame) -> DataFrame:
     return updates.select(*[F.col(c).cast(known[c]) if c in known else F.col(c) for c in updates.columns])
 
 
-def merge_batch(spark: SparkSession, root: str, spec: DatasetSpec, updates: DataFrame) -> dict:
-    """Insert the rows with new keys as one batch; columns the table lacks are added to it."""
-    table = VersionedTable(spark, root, spec.name).require()
-    target = table.read()
-    history = table.history().select("version", "columns", "n_rows")
-    before = history.orderBy(F.desc("version")).first()
-    first = history.where("version = 0").first()
-    version = table.append(new_rows(align_types(updates, target), target, spec.keys), op="merge")
-    after = table.history().where(F.col("version") == version).first()
-    evolved = sorted(set(after["columns"]) - set(before["columns"]))
-    added_in_all = set(after["columns"]) - set(first["columns"])
-    return {
-        "version": version,
-        "rows_before": before["n_rows"],
-        "rows_after": after["n_rows"],
-        "inserted": after["n_rows"] - before["n_rows"],
-        "schema_evolved_on_target": evolved,
-        "schema_version": f"{spec.schema_version.split('.')[0]}.{len(added_in_all)}",
+def merge_batch(
+    spark: SparkSession, root: str, spec: DatasetSpec, updates: DataFrame
+) -> tuple[VersionedTable, Row, dict]:
+    """Insert the rows with new keys as one batch; columns the table lacks are added to it.
+
+    `updates` is read twice (key bounds, then the join), so it should be a stored frame.
+    """
+    table = VersionedTable(spark, root, spec.name)
+    before = table.require()
+    target = table.rows_of(before)
+    after = table.append(new_rows(align_types(updates, target), target, spec.keys), op="merge")
+    first = before if before.version == 0 else table.require(0)
+    major = spec.schema_version.split(".")[0]
+    return table, after, {
+        "rows_before": before.n_rows,
+        "rows_after": after.n_rows,
+        "inserted": after.added_rows,
+        "schema_columns_added_from_update": sorted(set(updates.columns) - set(before.columns)),
+        "schema_evolved_on_target": sorted(set(after.columns) - set(before.columns)),
+        "schema_version": f"{major}.{len(set(after.columns) - set(first.columns))}",
     }
 
 
@@ -160,16 +160,13 @@ def apply_update(
             report["rejected_invalid_records"] = sum(m.rows_failed for m in metrics) - duplicates
             report["quarantined_records"] = quarantine(spark, root, spec.name, rejected(tagged), run_id)
             updates = passed(tagged)
-        target_columns = VersionedTable(spark, root, spec.name).require().read().columns
-        report["schema_columns_added_from_update"] = sorted(set(updates.columns) - set(target_columns))
         report["update_rows_considered"] = updates.count()
-        merge = merge_batch(spark, root, spec, updates)
-        version = merge.pop("version")
+        table, commit, merge = merge_batch(spark, root, spec, updates)
         report |= merge
         report["duplicates_ignored_vs_target"] = report["update_rows_considered"] - report["inserted"]
         if options.integrate and spec.name == "taxi_trips" and report["inserted"]:
             if integrated_table(spark, root).exists():
-                integrate_inserted(spark, root, VersionedTable(spark, root, spec.name).added(version))
+                integrate_inserted(spark, root, table.added_rows(commit))
 
     failures = report["rejected_invalid_records"] + report["intra_file_duplicate_records"]
     report["validation_failures"] = failures

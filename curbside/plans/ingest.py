@@ -6,10 +6,11 @@ import time
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from curbside.operators.clean import clean
 from curbside.operators.joins import (
+    REGION_CODES,
     attach_air,
     attach_hourly,
     attach_zones,
@@ -17,6 +18,7 @@ from curbside.operators.joins import (
     hourly_weather,
     map_region_codes,
 )
+from curbside.session import settle
 from curbside.sources.layout import with_pickup_date
 from curbside.sources.readers import conform, read_dataset, require_columns
 from curbside.sources.spec import MOBILITY, DatasetSpec
@@ -39,9 +41,8 @@ def ingest(spark: SparkSession, root: str, spec: DatasetSpec, paths: str | Seque
     """Write one cleaned table; returns its ingestion-log row."""
     started = time.time()
     table = VersionedTable(spark, root, spec.name)
-    table.overwrite(cleaned(spark, spec, paths))
+    rows_kept = table.overwrite(cleaned(spark, spec, paths)).added_rows
     rows_in = read_dataset(spark, spec, paths).count()
-    rows_kept = table.read().count()
     return (
         spec.name,
         rows_in,
@@ -68,7 +69,7 @@ def integrate(trips: DataFrame, zones: DataFrame, weather: DataFrame, air: DataF
     out = attach_zones(trips, zones)
     out = map_region_codes(out)
     out = attach_hourly(out, hourly_weather(weather))
-    out = attach_air(out, county_hour_means(air))
+    out = attach_air(out, settle(county_hour_means(air, REGION_CODES), "county-hour-means"))
     return with_pickup_date(out)
 
 
@@ -80,13 +81,13 @@ def _base(spark: SparkSession, root: str, name: str) -> DataFrame:
     return VersionedTable(spark, root, name).read()
 
 
-def integrate_tables(spark: SparkSession, root: str) -> int:
+def integrate_tables(spark: SparkSession, root: str) -> Row:
     """Build the integrated table from the cleaned tables."""
     frame = integrate(*[_base(spark, root, n) for n in ("taxi_trips", "taxi_zone", "weather", "air_quality")])
     return integrated_table(spark, root).overwrite(frame)
 
 
-def integrate_inserted(spark: SparkSession, root: str, inserted: DataFrame) -> int:
+def integrate_inserted(spark: SparkSession, root: str, inserted: DataFrame) -> Row:
     """Integrate new trips only and append them, so that products see an update."""
     frame = integrate(inserted, *[_base(spark, root, n) for n in ("taxi_zone", "weather", "air_quality")])
     return integrated_table(spark, root).append(frame)

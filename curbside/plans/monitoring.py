@@ -42,7 +42,10 @@ def runtime_by_dataset(runs: DataFrame) -> DataFrame:
 
 
 def runs_by_time(runs: DataFrame) -> DataFrame:
-    return runs.select("executed_at", "dataset", "processed_records", "rejected_records").orderBy("executed_at")
+    # the further columns let the sort split a moment that many runs share
+    return runs.select("executed_at", "dataset", "processed_records", "rejected_records").orderBy(
+        "executed_at", "dataset", "processed_records", "rejected_records"
+    )
 
 
 def runtime_change(runs: DataFrame, order: tuple[str, ...] = ("executed_at",)) -> DataFrame:
@@ -84,7 +87,7 @@ def hard_failures(rule_log: DataFrame) -> DataFrame:
     return (
         rule_log.where("hard_failure")
         .select("run_id", "dataset", "executed_at", "rule_id")
-        .orderBy(F.desc("executed_at"))
+        .orderBy(F.desc("executed_at"), "run_id", "dataset", "rule_id")
     )
 
 

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # split hot join keys even where that costs one more shuffle
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 BUILD_SETTINGS = {

@@ -8,7 +8,6 @@ version stays readable after any later write. One writer per table; no concurren
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -19,8 +18,9 @@ from curbside.sources.layout import spread_for
 
 COMMITS = (
     "table_name string, version int, op string, batches array<int>, columns array<string>, "
-    "column_types array<string>, n_rows bigint, committed_at timestamp"
+    "column_types array<string>, n_rows bigint, added_rows bigint, next_batch int, committed_at timestamp"
 )
+_COMMIT_FIELDS = [part.split(" ")[0] for part in COMMITS.split(", ")]
 
 
 class VersionedTable:
@@ -38,109 +38,92 @@ class VersionedTable:
 
     def history(self) -> DataFrame:
         """All versions of this table, one row each."""
-        try:
-            commits = self.spark.read.schema(COMMITS).parquet(f"{self.root}/_commits")
-        except AnalysisException:
-            commits = self.spark.createDataFrame([], COMMITS)
-        return commits.where(F.col("table_name") == self.name)
+        return read_if_exists(self.spark, f"{self.root}/_commits", COMMITS).where(F.col("table_name") == self.name)
 
-    def _commit(self, version: int | None = None) -> Row | None:
+    def commit(self, version: int | None = None) -> Row | None:
+        """The commit row of a version, the latest by default; None if there is none."""
         history = self.history()
         if version is not None:
             history = history.where(F.col("version") == version)
         return history.orderBy(F.desc("version")).first()
 
     def exists(self) -> bool:
-        return self._commit() is not None
+        return self.commit() is not None
 
-    def require(self) -> "VersionedTable":
-        if not self.exists():
-            raise RuntimeError(f"table {self.name} not found below {self.root}")
-        return self
+    def require(self, version: int | None = None) -> Row:
+        found = self.commit(version)
+        if found is None:
+            which = "" if version is None else f" version {version}"
+            raise RuntimeError(f"table {self.name}{which} not found below {self.root}")
+        return found
 
     def latest_version(self) -> int:
-        return self.require()._commit().version
+        return self.require().version
 
     # -- reads ------------------------------------------------------------------------------
 
     def read(self, version: int | None = None) -> DataFrame:
         """The rows of a version (latest by default); columns a batch lacks are NULL."""
-        commit = self._commit(version)
-        if commit is None:
-            raise RuntimeError(f"table {self.name} has no version {version if version is not None else ''}")
-        return self._read_batches(commit)
-
-    def added(self, version: int) -> DataFrame:
-        """The rows a version added over the version before it."""
-        commit = self._commit(version)
-        before = self._commit(version - 1) if version else None
-        known = set(before.batches) if before else set()
-        return self._read_batches(commit, [b for b in commit.batches if b not in known])
-
-    def _read_batches(self, commit: Row, batches: Sequence[int] | None = None) -> DataFrame:
-        fields = [f"`{c}` {t}" for c, t in zip(commit.columns, commit.column_types)]
-        schema = self.spark.createDataFrame([], ", ".join(fields)).schema
-        paths = [f"{self.path}/_batch={b}" for b in (commit.batches if batches is None else batches)]
+        return self.rows_of(self.require(version))
+
+    def rows_of(self, commit: Row, batches: Sequence[int] | None = None) -> DataFrame:
+        """Some batches of a commit, all by default, under the commit's schema."""
+        schema = StructType.fromDDL(", ".join(f"`{c}` {t}" for c, t in zip(commit.columns, commit.column_types)))
+        paths = [f"{self.path}/_batch={n}" for n in (commit.batches if batches is None else batches)]
         reader = self.spark.read.schema(schema).option("basePath", self.path)
         return reader.parquet(*paths).select(*commit.columns)
 
+    def added_rows(self, commit: Row) -> DataFrame:
+        """The rows of the batch an append or merge wrote."""
+        return self.rows_of(commit, commit.batches[-1:])
+
     # -- writes -----------------------------------------------------------------------------
 
-    def overwrite(self, df: DataFrame) -> int:
-        return self._write(df, "overwrite", keep=[], known=None)
+    def overwrite(self, df: DataFrame) -> Row:
+        return self._write(df, "overwrite", self.commit(), keep=False)
 
-    def append(self, df: DataFrame, op: str = "append") -> int:
+    def append(self, df: DataFrame, op: str = "append") -> Row:
         """Add a batch. New columns join the schema; a changed type is refused."""
-        last = self._commit()
-        return self._write(df, op, keep=list(last.batches) if last else [], known=last)
+        return self._write(df, op, self.commit(), keep=True)
 
-    def restore(self, version: int) -> int:
+    def restore(self, version: int) -> Row:
         """A new version made of an older version's batches; no data is rewritten."""
-        old = self._commit(version)
-        if old is None:
-            raise RuntimeError(f"table {self.name} has no version {version}")
-        return self._log("restore", old.batches, old.columns, old.column_types, old.n_rows)
+        old = self.require(version)
+        return self._log("restore", self.require(), old.batches, old.columns, old.column_types, old.n_rows, 0)
 
-    def _write(self, df: DataFrame, op: str, keep: list[int], known: Row | None) -> int:
+    def _write(self, df: DataFrame, op: str, last: Row | None, keep: bool) -> Row:
+        known = last if keep else None
+        schema = dict(zip(known.columns, known.column_types)) if known else {}
         incoming = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-        merged = dict(zip(known.columns, known.column_types)) if known else {}
-        changed = {c for c, t in incoming.items() if merged.get(c, t) != t}
+        changed = sorted(c for c, t in incoming.items() if schema.get(c, t) != t)
         if changed:
-            raise ValueError(f"[{self.name}] type of column(s) {sorted(changed)} differs from the table")
-        merged |= incoming
-        batch = self._next_batch()
+            raise ValueError(f"[{self.name}] type of column(s) {changed} differs from the table")
+        schema |= incoming
+        batch = last.next_batch if last else 0
         target = f"{self.path}/_batch={batch}"
         if self.partition_by:
             spread_for(df, self.partition_by).write.partitionBy(*self.partition_by).parquet(target)
         else:
             df.write.parquet(target)
-        written = self.spark.read.schema(df.schema).parquet(target).count()  # footers only
+        written = self.spark.read.schema(df.schema).parquet(target).count()  # from the file footers
+        batches = [*(known.batches if known else []), batch]
         n_rows = written + (known.n_rows if known else 0)
-        return self._log(op, [*keep, batch], list(merged), list(merged.values()), n_rows)
-
-    def _next_batch(self) -> int:
-        used = self.history().select(F.max(F.array_max("batches"))).first()[0]
-        return 0 if used is None else used + 1
+        return self._log(op, last, batches, list(schema), list(schema.values()), n_rows, written, batch + 1)
 
-    def _log(self, op: str, batches, columns, types, n_rows: int) -> int:
-        last = self._commit()
+    def _log(self, op, last, batches, columns, types, n_rows, added, next_batch=None) -> Row:
         version = 0 if last is None else last.version + 1
-        row = [(self.name, version, op, list(batches), list(columns), list(types), int(n_rows), None)]
-        (
-            self.spark.createDataFrame(row, COMMITS)
-            .withColumn("committed_at", F.current_timestamp())
-            .coalesce(1)  # a single row
-            .write.mode("append")
-            .parquet(f"{self.root}/_commits")
-        )
-        return version
+        next_batch = last.next_batch if next_batch is None else next_batch
+        values = (self.name, version, op, list(batches), list(columns), list(types), n_rows, added, next_batch, None)
+        row = self.spark.createDataFrame([values], COMMITS).withColumn("committed_at", F.current_timestamp())
+        row.coalesce(1).write.mode("append").parquet(f"{self.root}/_commits")
+        return Row(*_COMMIT_FIELDS)(*values)
 
 
 def schema_versions(history: DataFrame, major: int | str = 1) -> DataFrame:
     """Per version: the columns it added over version 0, and `major.<number of them>`."""
     first = history.where("version = 0").select("table_name", F.col("columns").alias("_first"))
     added = F.array_sort(F.array_except("columns", "_first"))
-    return history.join(F.broadcast(first), "table_name").select(
+    return history.join(first, "table_name").select(
         "table_name",
         "version",
         added.alias("columns_added"),
@@ -154,12 +137,8 @@ def append_rows(spark: SparkSession, path: str, rows: Sequence[tuple], schema: S
 
 
 def read_if_exists(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """The table at `path`, or no rows if nothing was written there yet."""
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException:
         return spark.createDataFrame([], schema)
-
-
-def union_rejects(frames: Sequence[DataFrame]) -> DataFrame:
-    """Rejects of differing shape in one frame; missing columns are NULL."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

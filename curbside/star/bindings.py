@@ -15,6 +15,7 @@ from curbside.operators.dedup import keep_first
 from curbside.operators.joins import (
     attach_air,
     attach_hourly,
+    attach_role,
     attach_zones,
     broadcast_if_small,
     county_hour_means,
@@ -30,7 +31,7 @@ from curbside.operators.rules import (
     ReferenceIntegrity,
     Rule,
 )
-from curbside.session import ensure_settings
+from curbside.session import ensure_settings, settle
 from curbside.sources.layout import with_pickup_date
 
 # Region name, state code, county code; one region has none.
@@ -111,12 +112,21 @@ def with_zones(spark: SparkSession, folder: str) -> DataFrame:
     return attach_zones(hour_trips(spark, folder), zones(spark, folder))
 
 
+def with_pickup_zones(spark: SparkSession, folder: str) -> DataFrame:
+    """Pickup zone and borough only, for questions that do not ask where trips end."""
+    places = broadcast_if_small(zones(spark, folder).select("location_id", "zone", "borough"))
+    names = {"zone": "pickup_zone", "borough": "pickup_borough"}
+    return attach_role(hour_trips(spark, folder), places, "pu_location_id", "location_id", names)
+
+
 def with_weather(spark: SparkSession, folder: str, trips: DataFrame) -> DataFrame:
-    return attach_hourly(trips, hourly_weather(hour_weather(spark, folder), HOUR_WEATHER_COLUMNS))
+    observed = settle(hour_weather(spark, folder), "hour-weather")
+    return attach_hourly(trips, hourly_weather(observed, HOUR_WEATHER_COLUMNS))
 
 
 def with_air(spark: SparkSession, folder: str, trips: DataFrame) -> DataFrame:
-    return attach_air(map_region_codes(trips, codes=REGIONS), county_hour_means(hour_air(spark, folder)))
+    means = settle(county_hour_means(hour_air(spark, folder), REGIONS), "county-hour-means")
+    return attach_air(map_region_codes(trips, codes=REGIONS), means)
 
 
 def integrated(spark: SparkSession, folder: str) -> DataFrame:
@@ -203,7 +213,7 @@ def base_and_update(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFr
     line = table(spark, folder, "lineitem")
     base = line.where(F.col("l_shipdate") < F.lit(BASE_UNTIL).cast("timestamp_ntz"))
     update = line.where(F.col("l_shipdate") >= F.lit(UPDATE_FROM).cast("timestamp_ntz"))
-    return keep_first(base, LINE_KEYS), keep_first(update, LINE_KEYS)
+    return keep_first(base, LINE_KEYS), settle(keep_first(update, LINE_KEYS), "update")
 
 
 def run_log(spark: SparkSession, folder: str) -> DataFrame:

@@ -587,6 +587,21 @@ ORACLES: dict[str, str] = {
                any_value(f.i) AS l_returnflag_index, count(*) AS rows
         FROM priced JOIN t ON priced.p_type = t.p_type JOIN f ON priced.l_returnflag = f.l_returnflag
         GROUP BY 1, 3""",
+    "training_set": f"""WITH {_PRICED},
+        split AS (SELECT *, CASE WHEN u < 0.7 THEN 'train' WHEN u < 0.85 THEN 'validation' ELSE 'test' END AS split
+                  FROM (SELECT *, {_uniform(42, *b.LINE_ROW_KEYS)} AS u FROM priced)),
+        train AS (SELECT * FROM split WHERE split = 'train'),
+        t AS (SELECT p_type, CAST(row_number() OVER (ORDER BY count(*) DESC, p_type) - 1 AS DOUBLE) AS i
+              FROM train GROUP BY 1),
+        f AS (SELECT l_returnflag, CAST(row_number() OVER (ORDER BY count(*) DESC, l_returnflag) - 1 AS DOUBLE) AS i
+              FROM train GROUP BY 1)
+        SELECT split, l_extendedprice,
+               round(l_quantity / (SELECT stddev_samp(l_quantity) FROM train), 6) AS quantity,
+               round(l_discount / (SELECT stddev_samp(l_discount) FROM train), 6) AS discount,
+               round(l_tax / (SELECT stddev_samp(l_tax) FROM train), 6) AS tax, f.i AS returnflag, t.i AS p_type,
+               CAST(hour(l_shipdate) AS DOUBLE) AS hour, CAST(dayofweek(l_shipdate) + 1 AS DOUBLE) AS day_of_week,
+               CAST(month(l_shipdate) AS DOUBLE) AS month
+        FROM split JOIN t ON split.p_type = t.p_type JOIN f ON split.l_returnflag = f.l_returnflag""",
     "regression_metrics": f"""WITH {_PRICED},
         e AS (SELECT l_extendedprice AS y, avg(l_extendedprice) OVER (PARTITION BY l_quantity) AS p FROM priced)
         SELECT round(sqrt(sum((p - y) * (p - y)) / count(*)), 4) AS rmse, round(avg(abs(p - y)), 4) AS mae,

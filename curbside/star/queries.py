@@ -239,7 +239,7 @@ def time_from_strings(spark, sf):
 
 @query("map_region_code")
 def map_region_code(spark, sf):
-    coded = b.map_region_codes(b.with_zones(spark, sf), codes=b.REGIONS)
+    coded = b.map_region_codes(b.with_pickup_zones(spark, sf), codes=b.REGIONS)
     return coded.select("trip_id", "pickup_borough", "state_code", "county_code")
 
 
@@ -377,7 +377,7 @@ def join_hourly(spark, sf):
 
 @query("join_composite_preagg")
 def join_composite_preagg(spark, sf):
-    trips = b.with_air(spark, sf, b.with_zones(spark, sf))
+    trips = b.with_air(spark, sf, b.with_pickup_zones(spark, sf))
     return trips.select(
         "trip_id", "state_code", "county_code", "time_utc", F.round("pickup_air_quality_pm25", 6).alias("pm25")
     )
@@ -423,29 +423,31 @@ def monthly_zone_demand(spark, sf):
 
 @query("metric_by_bucket")
 def metric_by_bucket(spark, sf):
-    return demand.distance_by_bucket(b.integrated(spark, sf), condition_labels(spark), condition_buckets(spark))
+    trips = b.with_weather(spark, sf, b.hour_trips(spark, sf))
+    return demand.distance_by_bucket(trips, condition_labels(spark), condition_buckets(spark))
 
 
 @query("metric_by_bucket_hint")
 def metric_by_bucket_hint(spark, sf):
-    return demand.distance_by_bucket(
-        b.integrated(spark, sf), condition_labels(spark), condition_buckets(spark), hint=True
-    )
+    trips = b.with_weather(spark, sf, b.hour_trips(spark, sf))
+    return demand.distance_by_bucket(trips, condition_labels(spark), condition_buckets(spark), hint=True)
 
 
 @query("metric_by_label")
 def metric_by_label(spark, sf):
-    return demand.distance_by_label(b.integrated(spark, sf), condition_labels(spark))
+    trips = b.with_weather(spark, sf, b.hour_trips(spark, sf))
+    return demand.distance_by_label(trips, condition_labels(spark))
 
 
 @query("demand_by_band")
 def demand_by_band(spark, sf):
-    return demand.demand_by_band(b.integrated(spark, sf))
+    return demand.demand_by_band(b.with_air(spark, sf, b.with_pickup_zones(spark, sf)))
 
 
 @query("zone_variation")
 def zone_variation(spark, sf):
-    return demand.zone_variation(b.integrated(spark, sf), condition_labels(spark), condition_buckets(spark))
+    trips = b.with_weather(spark, sf, b.with_pickup_zones(spark, sf))
+    return demand.zone_variation(trips, condition_labels(spark), condition_buckets(spark))
 
 
 @query("top_hours_per_weekday")
@@ -482,7 +484,7 @@ def zone_stats(spark, sf):
 
 @query("band_impact_summary")
 def band_impact_summary(spark, sf):
-    return products.band_impact_summary(b.integrated(spark, sf))
+    return products.band_impact_summary(b.with_air(spark, sf, b.with_pickup_zones(spark, sf)))
 
 
 @query("borough_summary")
@@ -492,7 +494,7 @@ def borough_summary(spark, sf):
 
 @query("weekday_summary")
 def weekday_summary(spark, sf):
-    return products.weekday_summary(b.with_zones(spark, sf))
+    return products.weekday_summary(b.with_pickup_zones(spark, sf))
 
 
 def _nation_orders(spark, sf) -> DataFrame:
@@ -856,8 +858,7 @@ def scale_numeric(spark, sf):
 @query("string_index")
 def string_index(spark, sf):
     lines = b.priced_lines(spark, sf)
-    stages = features.index_stages(("p_type", "l_returnflag"))
-    indexed = Pipeline(stages=stages).fit(lines).transform(lines)
+    indexed = features.indexer(("p_type", "l_returnflag")).fit(lines).transform(lines)
     return indexed.groupBy("p_type", "p_type_index", "l_returnflag", "l_returnflag_index").agg(
         F.count("*").alias("rows")
     )
@@ -871,17 +872,24 @@ FEATURES = {
 }
 
 
+FEATURE_NAMES = ("quantity", "discount", "tax", "returnflag", "p_type", "hour", "day_of_week", "month")
+
+
 @query("training_set")
 def training_set(spark, sf):
-    parts = training.training_data(b.priced_lines(spark, sf), **FEATURES, keys=b.LINE_ROW_KEYS)
+    lines = settle(b.priced_lines(spark, sf), "priced-lines")
+    parts = training.training_data(lines, **FEATURES, keys=b.LINE_ROW_KEYS)
     named = [p.withColumn("split", F.lit(n)) for n, p in zip(("train", "validation", "test"), parts)]
     every = named[0].union(named[1]).union(named[2])
-    return every.select("split", "l_extendedprice", vector_to_array("features").alias("features"))
+    values = vector_to_array("features")
+    return every.select(
+        "split", "l_extendedprice", *[F.round(values[i], 6).alias(name) for i, name in enumerate(FEATURE_NAMES)]
+    )
 
 
 @query("gbt_predict")
 def gbt_predict(spark, sf):
-    lines = b.priced_lines(spark, sf)
+    lines = settle(b.priced_lines(spark, sf), "priced-lines")
     train, test = features.hash_split(lines, training.SPLIT, b.LINE_ROW_KEYS)
     stages = [
         *features.feature_stages(FEATURES["categorical"], FEATURES["numeric"], FEATURES["dates"]),
