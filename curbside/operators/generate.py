@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curbside.functions.bands import piecewise_index
-from curbside.functions.hashing import uniform
+from curbside.functions.hashing import key_columns, uniform
 from curbside.operators.ordered import last_n, latest_per_key
 
 # Default seed, shares and jitter widths of generated trips.
@@ -27,7 +27,7 @@ NEW_HOURS = 24 * 7
 
 def hash_sample(df: DataFrame, fraction: float, seed: int, keys: Sequence[str]) -> DataFrame:
     """Bernoulli sample decided by the row's key values."""
-    return df.where(uniform(seed, *keys) < fraction)
+    return df.where(uniform(seed, *key_columns(df, keys)) < fraction)
 
 
 def _shift(ts: Column, seconds: Column) -> Column:
@@ -54,11 +54,12 @@ def trip_update(
 ) -> DataFrame:
     """New trips that follow the last known pickup, plus verbatim duplicates of old ones.
 
+    `trips` is read three times (bounds, new trips, duplicates), so it should be a stored frame.
     The earliest sampled pickup lands one second after the newest original one. Without
     `window_s` the new trips are spread so that their density matches the history.
     """
-    sample = hash_sample(trips, new_fraction, seed, keys)
-    sampled = uniform(seed, *keys) < new_fraction
+    row_key = key_columns(trips, keys)
+    sampled = uniform(seed, *row_key) < new_fraction
     bounds = trips.agg(
         F.min(pickup).alias("lo"),
         F.max(pickup).alias("hi"),
@@ -71,14 +72,14 @@ def trip_update(
     if base.shift_s is None:
         raise ValueError(f"no {pickup} bounds: the data set is empty")
     window = window_s if window_s is not None else int(base.span_s * new_fraction)
-    jitter = F.floor(uniform(seed + 1, *keys) * window)
+    jitter = F.floor(uniform(seed + 1, *row_key) * window)
     moved = F.lit(base.shift_s) + jitter
 
     def noise(k: int) -> Column:
-        return uniform(seed + k, *keys) * 2 - 1
+        return uniform(seed + k, *row_key) * 2 - 1
 
-    step = F.when(uniform(seed + 5, *keys) < PASSENGER_JITTER_PROBABILITY,
-                  F.when(uniform(seed + 6, *keys) < 0.5, -1).otherwise(1)).otherwise(0)
+    turn = F.when(uniform(seed + 6, *row_key) < 0.5, -1).otherwise(1)
+    step = F.when(uniform(seed + 5, *row_key) < PASSENGER_JITTER_PROBABILITY, turn).otherwise(0)
     passengers = F.greatest(F.lit(1), F.col("passenger_count") + step)
     # all new values are computed from the old row, hence one projection
     changed = {
@@ -88,7 +89,7 @@ def trip_update(
         "trip_distance": F.col("trip_distance") * (noise(4) * DISTANCE_JITTER + 1),
         "passenger_count": passengers.cast(trips.schema["passenger_count"].dataType),
     }
-    new_trips = sample.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in trips.columns])
+    new_trips = trips.where(sampled).select(*[changed[c].alias(c) if c in changed else F.col(c) for c in trips.columns])
     return new_trips.unionByName(hash_sample(trips, duplicate_fraction, seed + 2, keys))
 
 
@@ -119,7 +120,7 @@ def air_update(raw: DataFrame, hours: int = NEW_HOURS, seed: int = SEED) -> Data
         timed, site, [F.col("_gmt").desc_nulls_last(), *[F.col(c) for c in raw.columns]], hours,
         {"_gmt": "_new_gmt", "_local": "_new_local"},
     )
-    noise = uniform(seed, *site, "offset_h") * 6.0 - 3.0
+    noise = uniform(seed, *key_columns(grown, [*site, "offset_h"])) * 6.0 - 3.0
     out = grown.withColumns(
         {
             "sample_measurement": F.greatest(F.lit(0.0), F.round(F.col("sample_measurement") + noise, 1)),

@@ -17,9 +17,10 @@ from curbside.operators.features import (
     FEATURES_NUMERIC,
     TARGET,
     feature_stages,
-    hash_split,
+    with_split_name,
 )
 from curbside.plans.ingest import integrated_table
+from curbside.session import settle
 from curbside.sources.tables import append_rows
 
 # Model settings.
@@ -35,9 +36,22 @@ REGISTRY = (
 )
 
 
-def _split(df: DataFrame, weights: Sequence[float], seed: int, keys: Sequence[str] | None) -> list[DataFrame]:
-    """With row keys a hash split, otherwise Spark's random split."""
-    return hash_split(df, weights, keys, seed) if keys else df.randomSplit(list(weights), seed=seed)
+def _split(
+    df: DataFrame, target: str, features: Sequence[str], weights: Sequence[float], seed: int,
+    keys: Sequence[str] | None,
+) -> list[DataFrame]:
+    """Rows with a known target, split by weight; only the columns needed are kept.
+
+    Every stage of a pipeline passes over its input, so the rows are stored once, with the name
+    of their split. With row keys the split is by hash, otherwise it is Spark's random split.
+    """
+    known = df.where(F.col(target).isNotNull())
+    if not keys:
+        return settle(known.select(target, *features), "training").randomSplit(list(weights), seed=seed)
+    names = [f"part{i}" for i in range(len(weights))]
+    kept = dict.fromkeys([target, *features, *keys, "split"])
+    stored = settle(with_split_name(known, names, weights, keys, seed).select(*kept), "training")
+    return [stored.where(F.col("split") == name).drop("split") for name in names]
 
 
 def training_data(
@@ -55,9 +69,8 @@ def training_data(
 
     Preprocessing is fitted on the training rows alone and applied to all three.
     """
-    known = df.where(F.col(target).isNotNull())
     weights = [train_ratio, validation_ratio, 1.0 - train_ratio - validation_ratio]
-    parts = _split(known, weights, seed, keys)
+    parts = _split(df, target, (*categorical, *numeric, *dates), weights, seed, keys)
     model = Pipeline(stages=feature_stages(categorical, numeric, dates)).fit(parts[0])
     train, validation, test = (model.transform(p).select(target, "features") for p in parts)
     return train, validation, test
@@ -85,7 +98,7 @@ def regression_metrics(
     )
 
 
-def train_and_evaluate(
+def fit_and_score(
     df: DataFrame,
     target: str = TARGET,
     categorical: Sequence[str] = FEATURES_CATEGORICAL,
@@ -95,13 +108,18 @@ def train_and_evaluate(
     max_bins: int = MAX_BINS,
     seed: int = SEED,
     keys: Sequence[str] | None = None,
-) -> tuple[PipelineModel, dict[str, float]]:
-    """Fit preprocessing and model on 80 %, score the other 20 %."""
-    train, test = _split(df.where(F.col(target).isNotNull()), SPLIT, seed, keys)
+) -> tuple[PipelineModel, DataFrame, DataFrame]:
+    """Fit preprocessing and model on 80 %; the other 20 % come back scored, with their metrics."""
+    train, test = _split(df, target, (*categorical, *numeric, *dates), SPLIT, seed, keys)
     stages = [*feature_stages(categorical, numeric, dates), gbt(target, max_iter, max_bins, seed)]
     model = Pipeline(stages=stages).fit(train)
-    metrics = regression_metrics(model.transform(test), target).first().asDict()
-    return model, metrics
+    scored = model.transform(test)
+    return model, scored, regression_metrics(scored, target)
+
+
+def train_and_evaluate(df: DataFrame, **settings) -> tuple[PipelineModel, dict[str, float]]:
+    model, _, metrics = fit_and_score(df, **settings)
+    return model, metrics.first().asDict()
 
 
 def train_on_version(

@@ -43,7 +43,7 @@ REGIONS = (
 )
 MONTHS = ("1996-01-01", "1996-04-01")
 LINE_KEYS = ("l_orderkey", "l_linenumber")
-LINE_ROW_KEYS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate")
+LINE_ROW_KEYS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
 BASE_UNTIL = "2000-01-01"
 UPDATE_FROM = "1999-07-01"
 
@@ -262,5 +262,5 @@ def priced_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Order lines with part type: target, numbers, categories and dates for the model."""
     line, part = table(spark, folder, "lineitem"), table(spark, folder, "part")
     return line.join(part, line.l_partkey == part.p_partkey, "left").select(
-        *LINE_ROW_KEYS, "l_extendedprice", "l_quantity", "l_discount", "l_tax", "l_returnflag", "p_type"
+        *LINE_ROW_KEYS, "l_shipdate", "l_extendedprice", "l_quantity", "l_discount", "l_tax", "l_returnflag", "p_type"
     )

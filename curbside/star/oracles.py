@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from curbside.functions.bands import AQI_SEGMENTS, PM25_ABOVE, PM25_BANDS, PM25_MISSING
+from curbside.functions.hashing import KEY_MULTIPLIER, PRIME, ROUNDS
 from curbside.operators import generate
 from curbside.sources.lookups import CONDITIONS
 from curbside.star import bindings as b
@@ -10,8 +11,13 @@ from curbside.star import queries as q
 
 
 def _uniform(seed: int, *keys: str) -> str:
-    text = " || '|' || ".join([f"'{seed}'", *[f"coalesce(CAST({k} AS VARCHAR), '')" for k in keys]])
-    return f"(CAST(('0x' || substr(md5({text}), 1, 8)) AS BIGINT) / 4294967296.0::DOUBLE)"
+    state = f"{seed % PRIME}::BIGINT"
+    for key in keys:
+        for part in (f"CAST({key} AS BIGINT)", f"(CAST({key} AS BIGINT) >> 31)"):
+            state = f"(xor({state}, {part} & {PRIME}) * {KEY_MULTIPLIER} + {seed % 65536 + 1}) % {PRIME}"
+    for mask, multiplier in ROUNDS:
+        state = f"(xor({state}, {mask}::BIGINT) * {multiplier}) % {PRIME}"
+    return f"(({state}) / {float(PRIME)}::DOUBLE)"
 
 
 def _band(value: str) -> str:

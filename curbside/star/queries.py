@@ -594,7 +594,7 @@ def update_batch(spark, sf):
         *b.LINE_ROW_KEYS, "pickup_time_local", "dropoff_time_local", "fare_amount", "trip_distance", "passenger_count"
     )
     batch = generate.trip_update(
-        trips, b.LINE_ROW_KEYS, pickup="pickup_time_local", dropoff="dropoff_time_local"
+        settle(trips, "trips"), b.LINE_ROW_KEYS, pickup="pickup_time_local", dropoff="dropoff_time_local"
     )
     return batch.select(
         "l_orderkey", "l_partkey", "l_linenumber", "pickup_time_local", "dropoff_time_local",
@@ -641,7 +641,7 @@ def rule_reference(spark, sf):
 @query("rule_duplicate")
 def rule_duplicate(spark, sf):
     return mark_duplicates(b.table(spark, sf, "lineitem"), b.LINE_KEYS, flag="is_duplicate").select(
-        *b.LINE_ROW_KEYS, "is_duplicate"
+        *b.LINE_ROW_KEYS, "l_shipdate", "is_duplicate"
     )
 
 
@@ -657,7 +657,7 @@ def validate_waterfall(spark, sf):
 
 @query("validate_rejects")
 def validate_rejects(spark, sf):
-    return rejected(_tagged(spark, sf)[1]).select(*b.LINE_ROW_KEYS, "_rule_id", "_reject_reason")
+    return rejected(_tagged(spark, sf)[1]).select(*b.LINE_ROW_KEYS, "l_shipdate", "_rule_id", "_reject_reason")
 
 
 @query("validate_rule_metrics")
@@ -877,7 +877,7 @@ FEATURE_NAMES = ("quantity", "discount", "tax", "returnflag", "p_type", "hour",
 
 @query("training_set")
 def training_set(spark, sf):
-    lines = settle(b.priced_lines(spark, sf), "priced-lines")
+    lines = b.priced_lines(spark, sf)
     parts = training.training_data(lines, **FEATURES, keys=b.LINE_ROW_KEYS)
     named = [p.withColumn("split", F.lit(n)) for n, p in zip(("train", "validation", "test"), parts)]
     every = named[0].union(named[1]).union(named[2])
@@ -889,14 +889,8 @@ def training_set(spark, sf):
 
 @query("gbt_predict")
 def gbt_predict(spark, sf):
-    lines = settle(b.priced_lines(spark, sf), "priced-lines")
-    train, test = features.hash_split(lines, training.SPLIT, b.LINE_ROW_KEYS)
-    stages = [
-        *features.feature_stages(FEATURES["categorical"], FEATURES["numeric"], FEATURES["dates"]),
-        training.gbt(FEATURES["target"], max_iter=3),
-    ]
-    model = Pipeline(stages=stages).fit(train)
-    return model.transform(test).select("l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice", "prediction")
+    _, scored, _ = training.fit_and_score(b.priced_lines(spark, sf), **FEATURES, max_iter=3, keys=b.LINE_ROW_KEYS)
+    return scored.select("l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice", "prediction")
 
 
 @query("regression_metrics")
