@@ -1,10 +1,12 @@
 from __future__ import annotations
 
 import csv
+import shutil
 from datetime import datetime, timedelta
 
 import pytest
 
+from curbside.plans.ingest import ingest_all, integrate_tables
 from curbside.session import get_spark
 
 TRIP_SCHEMA = (
@@ -103,9 +105,10 @@ def write_csv(path, header, rows) -> str:
     return str(path)
 
 
-@pytest.fixture
-def raw_paths(spark, tmp_path) -> dict[str, str]:
+@pytest.fixture(scope="session")
+def raw_paths(spark, tmp_path_factory) -> dict[str, str]:
     """Raw files of the four datasets."""
+    tmp_path = tmp_path_factory.mktemp("raw")
     trips = str(tmp_path / "trips.parquet")
     spark.createDataFrame(TRIPS, TRIP_SCHEMA).write.parquet(trips)
     zones = [(i, borough, zone, "Zone") for i, borough, zone in ZONES]
@@ -117,5 +120,21 @@ def raw_paths(spark, tmp_path) -> dict[str, str]:
     }
 
 
+@pytest.fixture(scope="session")
+def built(spark, raw_paths, tmp_path_factory) -> str:
+    """All base tables and the integrated table, built once."""
+    root = str(tmp_path_factory.mktemp("built") / "tables")
+    ingest_all(spark, root, raw_paths)
+    integrate_tables(spark, root)
+    return root
+
+
+@pytest.fixture
+def platform(built, root) -> str:
+    """A copy of the built tables that a test may change."""
+    shutil.copytree(built, root)
+    return root
+
+
 def rows(df) -> list[tuple]:
     return sorted((tuple(r) for r in df.collect()), key=lambda r: tuple((v is not None, str(v)) for v in r))
