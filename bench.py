@@ -100,6 +100,7 @@ def run_experiments(spark, folder: str) -> dict:
         "broadcasting": ex.broadcasting(spark, hourly, labels, buckets),
         "adaptive": {k: v for k, v in adaptive.items() if not k.endswith("_plan")},
         "layouts": ex.layouts(spark, trips),
+        "validation": ex.validation_passes(b.shipments(spark, folder), b.shipment_rules(spark, folder)),
         "update_overhead": ex.update_overhead(spark, root, LINES_SPEC, batch),
         "storage_overhead": ex.overhead_of(
             VersionedTable(spark, root, "rejects_lines").read(), VersionedTable(spark, root, "lines").read()

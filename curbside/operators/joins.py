@@ -96,7 +96,9 @@ WEATHER_COLUMNS = {
 
 
 def hourly_weather(weather: DataFrame, columns: Mapping[str, str] = WEATHER_COLUMNS) -> DataFrame:
-    return weather.select("time_utc", *[F.col(c).alias(name) for c, name in columns.items()])
+    """Observations under their names on the trip; the condition code as a whole number."""
+    values = {c: F.col(c).cast("int") if c == "coco" else F.col(c) for c in columns}
+    return weather.select("time_utc", *[values[c].alias(name) for c, name in columns.items()])
 
 
 def attach_hourly(trips: DataFrame, hourly: DataFrame) -> DataFrame:

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import statistics
 import time
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager, redirect_stdout
 from io import StringIO
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curbside.operators.rules import Rule, Validator, passed, rejected
 from curbside.plans import demand
 from curbside.plans.incremental import UpdateOptions, apply_update
 from curbside.session import fresh_folder
@@ -157,6 +158,25 @@ def update_overhead(
     return medians
 
 
+def validation_passes(df: DataFrame, rules: Sequence[Rule]) -> dict:
+    """All rules in one pass, against one filter and count per rule."""
+
+    def one_pass() -> list[int]:
+        validator = Validator(rules)
+        found = validator.rule_metrics(validator.tag(df)).orderBy("rule_order").collect()
+        return [row.rows_failed for row in found]
+
+    def rule_by_rule() -> list[int]:
+        current, failed = df, []
+        for rule in rules:
+            tagged = Validator([rule]).tag(current)
+            failed.append(rejected(tagged).count())
+            current = passed(tagged)
+        return failed
+
+    return compare(one_pass, rule_by_rule, ("one_pass", "rule_by_rule"))
+
+
 def overhead_of(extra: DataFrame, base: DataFrame) -> dict:
     """Storage of one stored table as a share of another."""
     return storage_overhead(storage_footprint(extra), storage_footprint(base)).first().asDict()

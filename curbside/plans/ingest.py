@@ -20,6 +20,7 @@ from curbside.operators.joins import (
 )
 from curbside.session import settle
 from curbside.sources.layout import with_pickup_date
+from curbside.sources.lookups import register_view
 from curbside.sources.readers import conform, read_dataset, require_columns
 from curbside.sources.spec import MOBILITY, DatasetSpec
 from curbside.sources.tables import VersionedTable, append_rows
@@ -77,6 +78,15 @@ def integrated_table(spark: SparkSession, root: str) -> VersionedTable:
     return VersionedTable(spark, root, INTEGRATED, partition_by=["pickup_date"])
 
 
+def register_tables(spark: SparkSession, root: str, cache: bool = False) -> list[str]:
+    """Every table that exists as a view of its name, for SQL users; caching is their choice."""
+    tables = [VersionedTable(spark, root, name) for name in (*MOBILITY, INTEGRATED)]
+    found = [table for table in tables if table.exists()]
+    for table in found:
+        register_view(table.read(), table.name, cache)
+    return [table.name for table in found]
+
+
 def _base(spark: SparkSession, root: str, name: str) -> DataFrame:
     return VersionedTable(spark, root, name).read()
 

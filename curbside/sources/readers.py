@@ -2,24 +2,27 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from curbside.functions.names import snake_case, snake_case_columns
 from curbside.sources.spec import DatasetSpec
 
 
 def read_files(
-    spark: SparkSession, fmt: str, paths: str | Sequence[str], schema: StructType | str | None = None
+    spark: SparkSession,
+    fmt: str,
+    paths: str | Sequence[str],
+    schema: StructType | str | None = None,
+    types: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Scan CSV (with header) or Parquet, one path or many.
 
-    Without a schema CSV types are inferred, which costs a pass over the text, and clock texts
-    such as `07:00` are kept as text.
+    CSV columns get the types of `schema`, or of `types` by snake-cased name. Only if columns
+    remain that neither names are types inferred, which costs a pass over the text.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if fmt == "parquet":
@@ -27,21 +30,17 @@ def read_files(
         return reader.parquet(*paths)
     if fmt == "csv":
         reader = spark.read.option("header", True)
-        if schema:
-            return reader.schema(schema).csv(paths)
-        return reader.schema(_infer_csv(spark, paths)).csv(paths)
+        return reader.schema(schema or _csv_schema(spark, paths, types or {})).csv(paths)
     raise ValueError(f"Unsupported format: {fmt}")
 
 
-def _infer_csv(spark: SparkSession, paths: list[str]) -> StructType:
-    inferred = spark.read.option("header", True).option("inferSchema", True).csv(paths).schema
-    clock = re.compile(r"^time_(gmt|local)$")
-    return StructType(
-        [
-            StructField(f.name, StringType() if clock.match(snake_case(f.name)) else f.dataType, True)
-            for f in inferred.fields
-        ]
-    )
+def _csv_schema(spark: SparkSession, paths: list[str], types: Mapping[str, str]) -> StructType:
+    header = spark.read.option("header", True).csv(paths)  # reads one line
+    known = {c: types.get(snake_case(c)) for c in header.columns}
+    if not all(known.values()):
+        inferred = spark.read.option("header", True).option("inferSchema", True).csv(paths)
+        known = {c: known[c] or t for c, t in inferred.dtypes}
+    return StructType.fromDDL(", ".join(f"`{c}` {t}" for c, t in known.items()))
 
 
 def missing_columns(df: DataFrame, required: frozenset[str]) -> list[str]:
@@ -57,7 +56,7 @@ def require_columns(df: DataFrame, spec: DatasetSpec) -> DataFrame:
 
 def read_dataset(spark: SparkSession, spec: DatasetSpec, paths: str | Sequence[str]) -> DataFrame:
     """Raw rows with snake-cased names."""
-    return snake_case_columns(read_files(spark, spec.format, paths, spec.schema))
+    return snake_case_columns(read_files(spark, spec.format, paths, types=spec.types))
 
 
 def conform(df: DataFrame, spec: DatasetSpec) -> DataFrame:

@@ -6,8 +6,6 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
-from pyspark.sql.types import StructType
-
 from curbside.functions.timekeys import parts_time_key, text_time_key, trip_time_key
 from curbside.operators.clean import exclude_codes
 from curbside.operators.rules import AllowedValues, NumericRange, Predicate, Rule
@@ -30,7 +28,8 @@ class DatasetSpec:
     extra_rules: Sequence[Rule] = ()
     # column -> (dataset, column) that must contain its values
     references: Mapping[str, tuple[str, str]] = field(default_factory=dict)
-    schema: StructType | str | None = None
+    # known column types of text files; columns not named here are inferred
+    types: Mapping[str, str] = field(default_factory=dict)
     schema_version: str = "1.0"
 
 
@@ -44,7 +43,7 @@ TAXI_ZONE = DatasetSpec(
     format="csv",
     required=frozenset({"location_id", "borough", "zone"}),
     keys=("location_id",),
-    schema="LocationID int, Borough string, Zone string, service_zone string",
+    types={"location_id": "int", "borough": "string", "zone": "string", "service_zone": "string"},
 )
 
 WEATHER = DatasetSpec(
@@ -53,6 +52,12 @@ WEATHER = DatasetSpec(
     required=frozenset({"year", "month", "day", "hour", "temp", "prcp"}),
     keys=("year", "month", "day", "hour"),
     ranges={"temp": (-90, 60)},
+    types={
+        **dict.fromkeys(("year", "month", "day", "hour"), "int"),
+        **dict.fromkeys(
+            ("temp", "rhum", "prcp", "snwd", "wdir", "wspd", "wpgt", "pres", "cldc", "coco", "humidity"), "double"
+        ),
+    },
     add_time_key=parts_time_key,
     extra_rules=(NumericRange("humidity", 0.0, 100.0), NumericRange("prcp", 0.0, None)),
 )
@@ -65,6 +70,17 @@ AIR_QUALITY = DatasetSpec(
     ),
     keys=("state_code", "county_code", "site_num", "date_local", "time_utc", "poc"),
     ranges={"sample_measurement": (0, None)},
+    types={
+        **dict.fromkeys(("state_code", "county_code", "site_num", "parameter_code", "poc", "aqi"), "int"),
+        **dict.fromkeys(("date_local", "date_gmt", "date_of_last_change"), "date"),
+        **dict.fromkeys(("time_local", "time_gmt"), "string"),
+        **dict.fromkeys(("sample_measurement", "latitude", "longitude", "mdl", "uncertainty"), "double"),
+        **dict.fromkeys(
+            ("datum", "parameter_name", "units_of_measure", "qualifier", "method_type", "method_code",
+             "method_name", "state_name", "county_name"),
+            "string",
+        ),
+    },
     add_time_key=text_time_key,
     extra_rules=(NumericRange("aqi", 0, 500),),
 )

@@ -148,11 +148,12 @@ def test_previous_value_equals_lag_for_a_hot_group(spark):
     data = [("hot" if i % 3 else rng.choice(["a", "b", None]), rng.randrange(50), i, rng.choice([None, 1.0, 2.5]))
             for i in range(800)]
     df = spark.createDataFrame(data, "g string, t int, id int, v double")
-    got = {r.id: r.before for r in previous_value(df, "g", ["t", "id"], "v", "before").collect()}
-    last = {}
-    for g, t, i, v in sorted(data, key=lambda r: (str(r[0]), r[1], r[2])):
-        assert got[i] == last.get(g)
-        last[g] = v
+    for limit in (1000, 10):  # a plain window, then ranges
+        found = previous_value(df, "g", ["t", "id"], "v", "before", max_group=limit)
+        got, last = {r.id: r.before for r in found.collect()}, {}
+        for g, t, i, v in sorted(data, key=lambda r: (str(r[0]), r[1], r[2])):
+            assert got[i] == last.get(g)
+            last[g] = v
 
 
 def test_latest_and_last_n(spark):

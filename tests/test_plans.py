@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from curbside.plans import demand, monitoring, products
 from curbside.plans.incremental import RUN_REPORT, UpdateOptions, run_updates
-from curbside.plans.ingest import build_from_raw, integrated_table
+from curbside.plans.ingest import build_from_raw, integrated_table, register_tables
 from curbside.plans.updates import MANIFEST, generate_updates
 from curbside.sources.lookups import condition_buckets, condition_labels, register_conditions
 from curbside.sources.readers import read_dataset, read_files, require_columns
@@ -22,6 +22,11 @@ def test_readers(spark, raw_paths, tmp_path):
         require_columns(read_dataset(spark, TAXI_ZONE, raw_paths["taxi_zone"]).drop("zone"), TAXI_ZONE)
     air = read_dataset(spark, MOBILITY["air_quality"], raw_paths["air_quality"])
     assert dict(air.dtypes)["time_gmt"] == "string"
+    assert dict(air.dtypes)["state_code"] == "int" and dict(air.dtypes)["date_gmt"] == "date"
+    extra = write_csv(tmp_path / "extra.csv", ["temp", "Some Note", "n"], [(1, "x", 5)])
+    assert dict(read_files(spark, "csv", extra, types={"temp": "double"}).dtypes) == {
+        "temp": "double", "Some Note": "string", "n": "int"
+    }
     twice = read_files(spark, "parquet", [raw_paths["taxi_trips"], raw_paths["taxi_trips"]])
     assert twice.count() == 26
 
@@ -53,6 +58,17 @@ def test_integrated_rows(spark, platform, raw_paths):
     assert rows(raw.select(*sorted(out.columns))) == rows(out.select(*sorted(out.columns)))
 
 
+def test_views_for_sql_users(spark, platform):
+    assert set(register_tables(spark, platform)) == {*MOBILITY, "integrated_taxi_trips"}
+    register_conditions(spark)
+    answer = spark.sql(
+        """SELECT weather_bucket, count(*) AS trips FROM integrated_taxi_trips
+           LEFT JOIN condition_labels ON pickup_weather_condition_code = coco
+           LEFT JOIN condition_buckets USING (weather_condition) GROUP BY 1"""
+    )
+    assert rows(answer) == [(None, 3), ("Cloudy", 1), ("Rain", 2)]
+
+
 def test_six_questions(spark, platform):
     trips = integrated_table(spark, platform).read()
     labels, buckets = register_conditions(spark)
@@ -176,8 +192,11 @@ def test_generated_updates_apply(spark, platform, raw_paths, tmp_path):
     folder = str(tmp_path / "updates")
     paths = generate_updates(spark, folder, raw)
     manifest = {r.dataset: r for r in spark.read.schema(MANIFEST).parquet(f"{folder}/_manifest").collect()}
-    assert manifest["weather"].records_in_update == 168 and manifest["weather"].schema_changes == ["humidity"]
-    assert manifest["air_quality"].records_in_update == 4 * 168 and manifest["air_quality"].schema_changes == ["aqi"]
+    assert manifest["weather"].new_records == 168 and manifest["weather"].schema_changes == ["humidity"]
+    assert manifest["air_quality"].new_records == 4 * 168 and manifest["air_quality"].schema_changes == ["aqi"]
+    trips = manifest["taxi_trips"]
+    assert trips.original_to == at("2024-03-15 08:00") and trips.schema_changes == []
+    assert trips.new_records + trips.duplicate_records == spark.read.parquet(paths["taxi_trips"]).count()
     air = read_files(spark, "csv", paths["air_quality"])
     assert air.where("sample_measurement < 0 or aqi < 0 or aqi > 500").count() == 0
     reports = {r.dataset: r for r in run_updates(spark, platform, {n: paths[n] for n in ("weather", "air_quality")}).collect()}
