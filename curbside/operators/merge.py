@@ -12,7 +12,8 @@ from pyspark.sql.types import DateType, NumericType, TimestampNTZType, Timestamp
 def _within_key_range(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keep the target rows whose numeric and time keys lie in the updates' range.
 
-    The bounds reach the Parquet scan, so files that cannot match are not read.
+    The bounds reach the Parquet scan, so files that cannot match are not read. They travel as
+    text, which keeps wall-clock times independent of the driver's time zone.
     """
     simple = (NumericType, DateType, TimestampType, TimestampNTZType)
     usable = [k for k in keys if isinstance(updates.schema[k].dataType, simple)]
@@ -20,7 +21,11 @@ def _within_key_range(target: DataFrame, updates: DataFrame, keys: Sequence[str]
         return target
     stats = []
     for k in usable:
-        stats += [F.min(k).alias(f"lo_{k}"), F.max(k).alias(f"hi_{k}"), F.max(F.col(k).isNull()).alias(f"null_{k}")]
+        stats += [
+            F.min(k).cast("string").alias(f"lo_{k}"),
+            F.max(k).cast("string").alias(f"hi_{k}"),
+            F.max(F.col(k).isNull()).alias(f"null_{k}"),
+        ]
     bounds = updates.agg(*stats).first()
     for k in usable:
         kind = target.schema[k].dataType

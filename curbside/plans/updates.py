@@ -59,7 +59,7 @@ def generate_updates(spark: SparkSession, folder: str, raw: Mapping[str, DataFra
         reader = spark.read.schema(update.schema)
         written = reader.parquet(paths[name]) if fmt == "parquet" else reader.option("header", True).csv(paths[name])
         # only trip updates repeat rows; those are the ones that do not lie after the history
-        is_new = F.col("_at") > F.lit(before.hi) if name == "taxi_trips" else F.lit(True)
+        is_new = F.col("_at") > F.lit(str(before.hi)).cast("timestamp_ntz") if name == "taxi_trips" else F.lit(True)
         after = timed(written).agg(F.count("*").alias("n"), F.count_if(is_new).alias("new")).first()
         added = [c for c in update.columns if c not in source.columns]
         rows.append(
