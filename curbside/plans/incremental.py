@@ -147,7 +147,7 @@ def apply_update(
             report["rejected_invalid_records"] = schema_check.rows_in
 
     if not report["hard_failure"]:
-        updates = conform(df, spec)
+        updates, considered = conform(df, spec), None
         if options.validate:
             validator = Validator(rules_for(spec, load_references(spark, root, spec)))
             tagged = settle(validator.tag(updates), f"tagged-{spec.name}")
@@ -158,9 +158,11 @@ def apply_update(
             duplicates = sum(m.rows_failed for m in metrics if m.rule_type == "duplicate")
             report["intra_file_duplicate_records"] = duplicates
             report["rejected_invalid_records"] = sum(m.rows_failed for m in metrics) - duplicates
-            report["quarantined_records"] = quarantine(spark, root, spec.name, rejected(tagged), run_id)
+            if any(m.rows_failed for m in metrics):
+                report["quarantined_records"] = quarantine(spark, root, spec.name, rejected(tagged), run_id)
             updates = passed(tagged)
-        report["update_rows_considered"] = updates.count()
+            considered = metrics[-1].rows_passed if metrics else None
+        report["update_rows_considered"] = updates.count() if considered is None else considered
         table, commit, merge = merge_batch(spark, root, spec, updates)
         report |= merge
         report["duplicates_ignored_vs_target"] = report["update_rows_considered"] - report["inserted"]

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from curbside.plans import demand, monitoring, products
+from curbside.plans.experiments import plan_text
 from curbside.plans.incremental import RUN_REPORT, UpdateOptions, run_updates
 from curbside.plans.ingest import build_from_raw, integrated_table, register_tables
 from curbside.plans.updates import MANIFEST, generate_updates
@@ -93,6 +94,22 @@ def test_six_questions(spark, platform):
     assert rows(demand.monthly_trends(trips, prune=False)) == rows(demand.monthly_trends(trips))
 
 
+def test_questions_read_only_what_they_need(spark, platform):
+    trips = integrated_table(spark, platform).read()
+    demand_plan = plan_text(demand.monthly_zone_demand(trips))
+    assert "ReadSchema: struct<pickup_zone:string>" in demand_plan
+    trends = plan_text(demand.monthly_trends(trips)).splitlines()
+    assert any("PartitionFilters" in line and "pickup_date" in line for line in trends)
+    assert "fare_amount" not in next(line for line in trends if line.startswith("ReadSchema"))
+
+
+def test_integration_joins_are_hashed(spark, raw_paths):
+    frame = build_from_raw(spark, raw_paths)
+    plan = plan_text(frame)
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+    assert plan.split("\n\n")[0].count("BroadcastHashJoin") >= 4
+
+
 def test_products_metadata_and_refresh(spark, platform):
     trips = integrated_table(spark, platform).read()
     products.build_products(spark, platform, trips)
