@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curbside.llm import byte_bpe, compression, mixing, secrets, simhash
+from curbside.llm import byte_bpe, compression, mixing, outliers, ppm, secrets, simhash
 from curbside.llm.common import table
 from curbside.llm.oracles import ORACLES  # noqa: F401
 
@@ -19,6 +19,14 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op4_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.judged(table(spark, sf_dir, "documents"))
+
+
+def op5_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.identify(table(spark, sf_dir, "documents"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
@@ -36,6 +44,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op2_quality_classifier,
         op3_byte_bpe,
+        op4_quality_outliers,
+        op5_ppm_language,
         op6_secret_scan,
         op7_source_mix,
         op8_simhash,
