@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curbside.llm import byte_bpe, compression, mixing, outliers, ppm, secrets, simhash
+from curbside.llm import byte_bpe, compression, lm, mixing, outliers, ppm, secrets, simhash
 from curbside.llm.common import table
 from curbside.llm.oracles import ORACLES  # noqa: F401
 
 
+def op1_gru_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.log_likelihood(table(spark, sf_dir, "documents"))
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -42,6 +46,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_gru_lm,
         op2_quality_classifier,
         op3_byte_bpe,
         op4_quality_outliers,
