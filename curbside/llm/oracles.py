@@ -37,4 +37,43 @@ SELECT doc_id, size, source_size::BIGINT AS source_size, target,
 FROM placed
 """
 
-ORACLES: dict[str, str] = {"op7_source_mix": MIX}
+VECTORS = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.93
+), reached(a, b) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+)
+SELECT e.vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e
+LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) c ON c.a = e.vec_id
+LEFT JOIN (SELECT a, min(b)::BIGINT AS component_id FROM reached GROUP BY a) r ON r.a = e.vec_id
+"""
+
+WARC = """
+WITH records AS (
+  SELECT page_id AS key, octet_length(encode(
+    'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '')
+    || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: '
+    || octet_length(encode(coalesce(html, '')))::VARCHAR || chr(13) || chr(10) || chr(13) || chr(10)
+    || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10)))::BIGINT AS length
+  FROM pages WHERE page_id IS NOT NULL
+), placed AS (
+  SELECT *, (sum(length) OVER (PARTITION BY key // 4096 ORDER BY key) - length)::BIGINT AS start FROM records
+)
+SELECT key // 4096 AS archive, (key % 4096)::INTEGER AS slot, key,
+  CASE WHEN key % 101 = 11 THEN 'missing' WHEN key % 97 = 5 THEN 'changed' ELSE 'resized' END AS fault, start AS byte_offset, length,
+  CASE WHEN key % 101 = 11 THEN NULL WHEN key % 97 = 5 THEN length ELSE length - 3 END AS replica_length
+FROM placed WHERE key % 101 = 11 OR key % 97 = 5 OR key % 89 = 7
+UNION ALL
+SELECT -((key + 4096) // 4096), (4095 - key % 4096)::INTEGER, -key - 1, 'extra', NULL, NULL, length
+FROM records WHERE key % 103 = 13
+"""
+
+ORACLES: dict[str, str] = {"op7_source_mix": MIX, "op9_warc_fixity": WARC, "op10_multi_index": VECTORS}

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from curbside.llm import byte_bpe, compression, lm, mixing, outliers, ppm, secrets, simhash
+from curbside.llm import byte_bpe, compression, fixity, lm, mixing, multi_index, outliers, ppm, secrets, simhash
 from curbside.llm.common import table
 from curbside.llm.oracles import ORACLES  # noqa: F401
 
@@ -43,6 +44,17 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC records against a replica with faults at known keys."""
+    pages = table(spark, sf_dir, "pages")
+    records = pages.select(F.col("page_id").alias("key"), fixity.record(F.col("url"), F.col("html")).alias("record"))
+    return fixity.audit(records, fixity.damaged(records))
+
+
+def op10_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -54,5 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_secret_scan,
         op7_source_mix,
         op8_simhash,
+        op9_warc_fixity,
+        op10_multi_index,
     )
 }
