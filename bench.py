@@ -103,10 +103,10 @@ def run_experiments(spark, folder: str) -> dict:
         "validation": ex.validation_passes(b.shipments(spark, folder), b.shipment_rules(spark, folder)),
         "update_overhead": ex.update_overhead(spark, root, LINES_SPEC, batch),
         "storage_overhead": ex.overhead_of(
-            VersionedTable(spark, root, "rejects_lines").read(), VersionedTable(spark, root, "lines").read()
+            VersionedTable(spark, root, "rejects_lines"), VersionedTable(spark, root, "lines")
         ),
         "inputs": compare_inputs(
-            {"raw": lambda: priced, "stored": lambda: stored}, **FEATURES, max_iter=5, keys=b.LINE_ROW_KEYS
+            {"raw": lambda: priced, "stored": lambda: stored}, **FEATURES, keys=b.LINE_ROW_KEYS
         ),
     }
 

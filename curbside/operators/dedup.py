@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 
 def total_order(df: DataFrame, first: Sequence[str] = ()) -> list[Column]:
@@ -29,6 +29,9 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column] | Non
     return df.withColumn("_nth", F.row_number().over(window)).where("_nth = 1").drop("_nth")
 
 
+SALTS = 64
+
+
 def mark_duplicates(
     df: DataFrame,
     keys: Sequence[str],
@@ -38,19 +41,26 @@ def mark_duplicates(
 ) -> DataFrame:
     """Flag every row but the first of its key, keeping all rows.
 
-    Two rounds: first within (key, input partition), a group no larger than one input split;
-    then only the survivors compete per key, at most one per input partition. Rows where
-    `among` is false take no part and are never flagged.
+    Rows are ranked in two rounds: inside (key, salt), the salt being a hash of the whole row and its partition, then
+    among the winners of the salts, at most SALTS to a key. So a key on a third of all rows is SALTS groups, also where
+    a join on that key has put all its rows into one partition; verbatim copies are split by the partitions they come
+    from. Rows where `among` is false take no part and are never flagged.
     """
     order = list(order or total_order(df))
     takes_part = among if among is not None else F.lit(True)
-    tagged = df.withColumns({"_in": takes_part, "_part": F.spark_partition_id()})
-    local = Window.partitionBy(*keys, "_in", "_part").orderBy(*order)
+    whole = [F.col(f"`{f.name}`") for f in df.schema.fields if not _has_map(f.dataType)]
+    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *whole), F.lit(SALTS))
+    tagged = df.withColumns({"_in": takes_part, "_salt": salt})
+    local = Window.partitionBy(*keys, "_in", "_salt").orderBy(*order)
     tagged = tagged.withColumn("_local", F.row_number().over(local))
-    # Local losers stay spread over their partitions; local winners share the group -1.
+    # winners of the salts share the group -1; the others stay where they are
     candidate = F.col("_in") & (F.col("_local") == 1)
-    tagged = tagged.withColumn("_round2", F.when(candidate, F.lit(-1)).otherwise(F.col("_part")))
+    tagged = tagged.withColumn("_round2", F.when(candidate, F.lit(-1)).otherwise(F.col("_salt")))
     final = Window.partitionBy(*keys, "_in", "_round2").orderBy(*order)
     tagged = tagged.withColumn("_final", F.row_number().over(final))
     duplicate = F.col("_in") & ~((F.col("_local") == 1) & (F.col("_final") == 1))
-    return tagged.withColumn(flag, duplicate).drop("_in", "_part", "_local", "_round2", "_final")
+    return tagged.withColumn(flag, duplicate).drop("_in", "_salt", "_local", "_round2", "_final")
+
+
+def _has_map(kind: DataType) -> bool:
+    return isinstance(kind, MapType) or any(_has_map(f.dataType) for f in getattr(kind, "fields", []))

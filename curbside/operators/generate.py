@@ -108,14 +108,17 @@ def latest_expanded(
 
 
 def air_update(raw: DataFrame, hours: int = NEW_HOURS, seed: int = SEED) -> DataFrame:
-    """Hourly measurements after each monitor's newest row, with noise and the index column."""
+    """Hourly measurements after each monitor's newest row with readable times, with noise and the index column."""
     site = ["state_code", "county_code", "site_num", "poc"]
 
     def moment(kind: str) -> Column:
         text = F.concat_ws(" ", F.col(f"date_{kind}").cast("string"), F.col(f"time_{kind}"))
-        return F.to_timestamp(text, "yyyy-MM-dd HH:mm").cast("timestamp_ntz")
+        return F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm")).cast("timestamp_ntz")
 
-    timed = raw.withColumns({"_gmt": moment("gmt"), "_local": moment("local")})
+    # rows without a readable time cannot be moved on
+    timed = raw.withColumns({"_gmt": moment("gmt"), "_local": moment("local")}).where(
+        F.col("_gmt").isNotNull() & F.col("_local").isNotNull()
+    )
     grown = latest_expanded(
         timed, site, [F.col("_gmt").desc_nulls_last(), *[F.col(c) for c in raw.columns]], hours,
         {"_gmt": "_new_gmt", "_local": "_new_local"},
@@ -168,6 +171,7 @@ def weather_update(raw: DataFrame, hours: int = NEW_HOURS, seed: int = SEED) ->
 
     types = {f.name: f.dataType for f in raw.schema.fields}
     new = F.col("new_ts")
+    # How far each measurement may move.
     changed: dict[str, Column] = {
         "year": F.year(new), "month": F.month(new), "day": F.dayofmonth(new), "hour": F.hour(new)
     }

@@ -1,4 +1,8 @@
-"""Joins of facts with dimensions and observations."""
+"""Joins of facts with dimensions and observations.
+
+The joins of trips are not hinted: Spark broadcasts a side that a scan or a shuffle has shown to be below its threshold, and adaptive
+execution splits hot keys of the others.
+"""
 
 from __future__ import annotations
 
@@ -50,11 +54,10 @@ def attach_zones(
     dropoff: str = "do_location_id",
     key: str = "location_id",
 ) -> DataFrame:
-    """Zone and borough for both ends of a trip; the dimension is measured once for both joins."""
+    """Zone and borough for both ends of a trip."""
     wanted = zones.select(key, "zone", "borough")
-    small = broadcast_if_small(wanted)
-    out = attach_role(trips, small, pickup, key, {"zone": "pickup_zone", "borough": "pickup_borough"})
-    return attach_role(out, small, dropoff, key, {"zone": "dropoff_zone", "borough": "dropoff_borough"})
+    out = attach_role(trips, wanted, pickup, key, {"zone": "pickup_zone", "borough": "pickup_borough"})
+    return attach_role(out, wanted, dropoff, key, {"zone": "dropoff_zone", "borough": "dropoff_borough"})
 
 
 # Borough, state code, county code.
@@ -80,7 +83,7 @@ def map_region_codes(
     return df.withColumns({"state_code": lookup(1), "county_code": lookup(2)})
 
 
-# Observation column -> name on the trip.
+# Observation column -> name on the trip.
 WEATHER_COLUMNS = {
     "temp": "pickup_weather_temperature",
     "rhum": "pickup_weather_relative_humidity",
@@ -103,7 +106,7 @@ def hourly_weather(weather: DataFrame, columns: Mapping[str, str] = WEATHER_COLU
 
 def attach_hourly(trips: DataFrame, hourly: DataFrame) -> DataFrame:
     """LEFT join of observations keyed by `time_utc`."""
-    return trips.join(broadcast_if_small(hourly), "time_utc", "left")
+    return trips.join(hourly, "time_utc", "left")
 
 
 def county_hour_means(
@@ -126,13 +129,8 @@ def county_hour_means(
 
 
 def attach_air(trips: DataFrame, means: DataFrame) -> DataFrame:
-    """LEFT join of pre-aggregated measurements on (state, county, hour).
-
-    `means` is measured and then joined, so it should be a stored frame.
-    """
-    side = broadcast_if_small(
-        means.withColumnsRenamed({"state_code": "_state", "county_code": "_county", "time_utc": "_hour"})
-    )
+    """LEFT join of pre-aggregated measurements on (state, county, hour)."""
+    side = means.withColumnsRenamed({"state_code": "_state", "county_code": "_county", "time_utc": "_hour"})
     matches = (
         (F.col("state_code").cast("int") == F.col("_state"))
         & (F.col("county_code").cast("int") == F.col("_county"))

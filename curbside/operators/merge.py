@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
+FILTER_BITS = 1 << 24  # of the filter that cuts a merge's target to keys the updates may have
+
 
 def _within_key_range(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keep the target rows whose numeric and time keys lie in the updates' range.
@@ -34,10 +36,20 @@ def _within_key_range(target: DataFrame, updates: DataFrame, keys: Sequence[str]
     return target
 
 
-def _known_keys(target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    # Struct equality treats NULL fields as equal, and grouping by the struct leaves the rows
-    # partitioned as the join needs them: one shuffle of distinct target keys in all.
-    return target.select(F.struct(*keys).alias("_key")).distinct()
+def _known_keys(target: DataFrame, keyed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct keys of the target that the updates may have too.
+
+    The updates' keys are hashed into a table of bits, which is broadcast: it has FILTER_BITS / 64 rows at most, however
+    many the updates are. Only target keys whose bit is set are shuffled, few of them more than the updates have.
+    """
+    cell = F.pmod(F.xxhash64("_key"), F.lit(FILTER_BITS))
+    word, bit = F.floor(cell / 64).cast("int"), (cell % 64).cast("int")
+    bits = keyed.groupBy(word.alias("_word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("_bits"))
+    found = target.select(F.struct(*keys).alias("_key"))
+    possible = found.withColumns({"_w": word, "_bit": bit}).join(F.broadcast(bits), F.col("_w") == F.col("_word"))
+    # Struct equality treats NULL fields as equal, and grouping by the struct leaves the rows partitioned as the join
+    # needs them.
+    return possible.where(F.getbit("_bits", F.col("_bit")) == 1).select("_key").distinct()
 
 
 def new_rows(updates: DataFrame, target: DataFrame, keys: Sequence[str], prune: bool = True) -> DataFrame:
@@ -48,7 +60,7 @@ def new_rows(updates: DataFrame, target: DataFrame, keys: Sequence[str], prune:
     if prune:
         target = _within_key_range(target, updates, keys)
     keyed = updates.withColumn("_key", F.struct(*keys))
-    return keyed.join(_known_keys(target, keys), "_key", "left_anti").drop("_key")
+    return keyed.join(_known_keys(target, keyed, keys), "_key", "left_anti").drop("_key")
 
 
 def merged(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -57,21 +69,19 @@ def merged(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFr
 
 
 def merge_stats(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row: rows before and after, update rows considered, inserted, ignored."""
-    none = F.lit(0).cast("bigint")
-    parts = [
-        target.agg(F.count("*").alias("rows_before"), none.alias("considered"), none.alias("inserted")),
-        updates.agg(none, F.count("*"), none),
-        new_rows(updates, target, keys).agg(none, none, F.count("*")),
-    ]
-    total = parts[0].union(parts[1]).union(parts[2]).agg(
-        F.sum("rows_before").alias("rows_before"),
-        F.sum("considered").alias("update_rows_considered"),
-        F.sum("inserted").alias("inserted"),
+    """One row: rows before and after, update rows considered, inserted, ignored.
+
+    The updates are tagged by one join and counted by one aggregate; the target's row count comes from its footers.
+    """
+    keyed = updates.withColumn("_key", F.struct(*keys))
+    known = _known_keys(_within_key_range(target, updates, keys), keyed, keys).withColumn("_known", F.lit(True))
+    counted = keyed.join(known, "_key", "left").agg(
+        F.count("*").alias("update_rows_considered"), F.count_if(F.col("_known").isNull()).alias("inserted")
     )
-    return total.withColumns(
-        {
-            "rows_after": F.col("rows_before") + F.col("inserted"),
-            "duplicates_ignored_vs_target": F.col("update_rows_considered") - F.col("inserted"),
-        }
+    return counted.crossJoin(target.agg(F.count("*").alias("rows_before"))).select(  # one row each
+        "rows_before",
+        "update_rows_considered",
+        "inserted",
+        (F.col("rows_before") + F.col("inserted")).alias("rows_after"),
+        (F.col("update_rows_considered") - F.col("inserted")).alias("duplicates_ignored_vs_target"),
     )

@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from curbside.operators.dedup import keep_first
 from curbside.session import settle
 
-MAX_GROUP_ROWS = 1_000_000
-
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The newest row of each key; `order` is ascending in age, newest first."""
@@ -23,19 +21,13 @@ def last_n(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def previous_value(
-    df: DataFrame, group: str, order: Sequence[str], value: str, name: str, max_group: int = MAX_GROUP_ROWS
-) -> DataFrame:
-    """`lag(value)` over (partition by group order by order), also for groups too large for a task.
+def previous_value(df: DataFrame, group: str, order: Sequence[str], value: str, name: str) -> DataFrame:
+    """`lag(value)` over (partition by group order by order), whatever the size of a group.
 
-    Groups are counted first. If the largest has at most `max_group` rows a plain window does.
-    Otherwise rows are range-partitioned on (group, order), so that a large group spans many
-    tasks. The lag is taken inside each range; the first row of a range takes the last value of
-    the range before, which comes from one row per (group, range).
+    Rows are range-partitioned on (group, order), so that a large group spans many tasks. The lag is taken inside each
+    range; the first row of a range takes the last value of the range before, which comes from one row per (group,
+    range). Rows that tie on all of `order` should be alike in `value`, or their order is any.
     """
-    largest = df.groupBy(group).count().agg(F.max("count")).first()[0] or 0
-    if largest <= max_group:
-        return df.withColumn(name, F.lag(value).over(Window.partitionBy(group).orderBy(*order)))
     ranged = df.repartitionByRange(group, *order).withColumn("_range", F.spark_partition_id())
     ranged = settle(ranged, "ranged")
     inside = Window.partitionBy(group, "_range").orderBy(*order)

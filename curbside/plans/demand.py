@@ -10,6 +10,7 @@ from curbside.functions.timekeys import minutes_between, weekday_name
 
 PM25 = "pickup_air_quality_pm25"
 CONDITION_CODE = "pickup_weather_condition_code"
+MAX_HINTED_ROWS = 10_000
 
 
 def _mean(value: Column | str, name: str, digits: int = 2) -> Column:
@@ -29,15 +30,20 @@ def _with_label(trips: DataFrame, labels: DataFrame) -> DataFrame:
     return trips.join(labels, trips[CONDITION_CODE] == labels["coco"], "left")
 
 
+def _is_short(lookup: DataFrame) -> bool:
+    """Whether a lookup has at most MAX_HINTED_ROWS rows; reads no more than one row beyond."""
+    return lookup.limit(MAX_HINTED_ROWS + 1).count() <= MAX_HINTED_ROWS
+
+
 def distance_by_bucket(
     trips: DataFrame, labels: DataFrame, buckets: DataFrame, hint: bool = False
 ) -> DataFrame:
     """Mean distance and trips per weather bucket; no bucket is NULL.
 
-    `hint` asks for broadcast joins; use it with the fixed code tables only.
+    `hint` asks for broadcast joins of lookups with at most MAX_HINTED_ROWS rows; larger ones join unhinted.
     """
     if hint:
-        labels, buckets = F.broadcast(labels), F.broadcast(buckets)
+        labels, buckets = (F.broadcast(side) if _is_short(side) else side for side in (labels, buckets))
     return (
         _with_label(trips, labels)
         .join(buckets, "weather_condition", "left")

@@ -121,7 +121,7 @@ def layouts(spark: SparkSession, trips: DataFrame) -> dict[str, dict]:
     for path, write in writes.items():
         write_s, _ = timed(write)
         stored = spark.read.parquet(path)
-        size = storage_footprint(stored).first()
+        size = storage_footprint(spark, path).first()
         latency, _ = timed(
             lambda: [
                 fingerprint(q(stored))
@@ -177,9 +177,10 @@ def validation_passes(df: DataFrame, rules: Sequence[Rule]) -> dict:
     return compare(one_pass, rule_by_rule, ("one_pass", "rule_by_rule"))
 
 
-def overhead_of(extra: DataFrame, base: DataFrame) -> dict:
+def overhead_of(extra: VersionedTable, base: VersionedTable) -> dict:
     """Storage of one stored table as a share of another."""
-    return storage_overhead(storage_footprint(extra), storage_footprint(base)).first().asDict()
+    sizes = [storage_footprint(t.spark, t.path) for t in (extra, base)]
+    return storage_overhead(*sizes).first().asDict()
 
 
 def run_timings(queries: Mapping[str, Callable[[], DataFrame]]) -> dict[str, float]:

@@ -24,13 +24,14 @@ from curbside.operators.rules import (
     rejected,
     with_reference,
 )
-from curbside.plans.ingest import integrate_inserted, integrated_table
+from curbside.plans.ingest import integrate_changes, integrated_table
 from curbside.plans.monitoring import RULE_LOG, RUN_LOG
-from curbside.session import settle
+from curbside.session import discard, fresh_folder, settle_at
 from curbside.sources.readers import conform, read_dataset
 from curbside.sources.spec import MOBILITY, DatasetSpec
-from curbside.sources.tables import VersionedTable, append_rows
+from curbside.sources.tables import VersionedTable, append_rows, read_if_exists
 
+# Fields of a run's report.
 RUN_REPORT = (
     "run_id string, started_at timestamp, dataset string, hard_failure boolean, hard_failure_reason string, "
     "rejected_invalid_records bigint, intra_file_duplicate_records bigint, quarantined_records bigint, "
@@ -110,7 +111,31 @@ def apply_update(
     run_id: str | None = None,
     options: UpdateOptions = UpdateOptions(),
 ) -> dict:
-    """Apply one batch to one dataset and return its report."""
+    """Apply one batch to one dataset, integrate what it inserted, and return its report."""
+    report, inserted = merge_update(spark, root, spec, batch, run_id, options)
+    if inserted is not None and options.integrate:
+        _integrate(spark, root, {spec.name: inserted})
+    return report
+
+
+def _integrate(spark: SparkSession, root: str, inserted: Mapping[str, DataFrame]) -> None:
+    inserted = {n: rows for n, rows in inserted.items() if n in ("taxi_trips", "weather", "air_quality")}
+    if inserted and integrated_table(spark, root).exists():
+        integrate_changes(spark, root, inserted)
+
+
+def merge_update(
+    spark: SparkSession,
+    root: str,
+    spec: DatasetSpec,
+    batch: DataFrame,
+    run_id: str | None = None,
+    options: UpdateOptions = UpdateOptions(),
+) -> tuple[dict, DataFrame | None]:
+    """Validate and merge one batch; its report, and the rows it inserted, None for none.
+
+    A run id that the run log has already, as a stream sends after a failure, logs and quarantines nothing again.
+    """
     run_id = run_id or str(uuid.uuid4())
     started_at, clock = datetime.now(timezone.utc), time.time()
     df = snake_case_columns(batch)
@@ -146,11 +171,13 @@ def apply_update(
             report["hard_failure_reason"] = schema_check.reason
             report["rejected_invalid_records"] = schema_check.rows_in
 
+    folder, inserted = fresh_folder(spark, f"tagged-{spec.name}"), None
+    replayed = _is_logged(spark, root, run_id, spec.name)
     if not report["hard_failure"]:
         updates, considered = conform(df, spec), None
         if options.validate:
             validator = Validator(rules_for(spec, load_references(spark, root, spec)))
-            tagged = settle(validator.tag(updates), f"tagged-{spec.name}")
+            tagged = settle_at(validator.tag(updates), folder)
             metrics = validator.rule_metrics(tagged).orderBy("rule_order").collect()  # one row per rule
             rule_rows += [
                 (m.rule_id, m.rule_type, m.rows_in, m.rows_failed, m.rows_passed, False) for m in metrics
@@ -158,7 +185,7 @@ def apply_update(
             duplicates = sum(m.rows_failed for m in metrics if m.rule_type == "duplicate")
             report["intra_file_duplicate_records"] = duplicates
             report["rejected_invalid_records"] = sum(m.rows_failed for m in metrics) - duplicates
-            if any(m.rows_failed for m in metrics):
+            if any(m.rows_failed for m in metrics) and not replayed:
                 report["quarantined_records"] = quarantine(spark, root, spec.name, rejected(tagged), run_id)
             updates = passed(tagged)
             considered = metrics[-1].rows_passed if metrics else None
@@ -166,19 +193,25 @@ def apply_update(
         table, commit, merge = merge_batch(spark, root, spec, updates)
         report |= merge
         report["duplicates_ignored_vs_target"] = report["update_rows_considered"] - report["inserted"]
-        if options.integrate and spec.name == "taxi_trips" and report["inserted"]:
-            if integrated_table(spark, root).exists():
-                integrate_inserted(spark, root, table.added_rows(commit))
+        if report["inserted"]:
+            inserted = table.added_rows(commit)
+        discard(spark, folder)
 
     failures = report["rejected_invalid_records"] + report["intra_file_duplicate_records"]
     report["validation_failures"] = failures
     report["processed_records"] = 0 if report["hard_failure"] else report["update_rows_considered"] + failures
     report["execution_time_s"] = round(time.time() - clock, 2)
     report["executed_at"] = datetime.now(timezone.utc)
-    if options.monitor:
+    if options.monitor and not replayed:
         log_run(spark, root, report)
         log_rules(spark, root, report, rule_rows)
-    return report
+    return report, inserted
+
+
+def _is_logged(spark: SparkSession, root: str, run_id: str, dataset: str) -> bool:
+    """Whether the rule log has rows of this run and dataset."""
+    log = read_if_exists(spark, f"{root}/_validation_metrics", RULE_LOG)
+    return not log.where((F.col("run_id") == run_id) & (F.col("dataset") == dataset)).isEmpty()
 
 
 def log_run(spark: SparkSession, root: str, report: dict, name: str = "incremental_update") -> None:
@@ -197,12 +230,13 @@ def log_run(spark: SparkSession, root: str, report: dict, name: str = "increment
 
 
 def log_rules(spark: SparkSession, root: str, report: dict, rule_rows: list[tuple]) -> None:
-    """One row per rule. Rules run in one pass, so `elapsed_s` is the time of the whole batch."""
+    """One row per rule. Rules run in one pass and have no time of their own: `elapsed_s` is NULL, and the time of the
+    batch is in the run log."""
     if not rule_rows:
         return
     rows = [
         (report["run_id"], report["dataset"], report["executed_at"], rule_id, rule_type, rows_in, failed, ok,
-         float(report["execution_time_s"]), hard, report["schema_version"])
+         None, hard, report["schema_version"])
         for rule_id, rule_type, rows_in, failed, ok, hard in rule_rows
     ]
     append_rows(spark, f"{root}/_validation_metrics", rows, RULE_LOG)
@@ -215,15 +249,23 @@ def run_updates(
     specs: Mapping[str, DatasetSpec] = MOBILITY,
     options: UpdateOptions = UpdateOptions(),
 ) -> DataFrame:
-    """Apply one batch per dataset (a path or a frame) and append the run's report rows."""
+    """Apply one batch per dataset (a path or a frame) and append the run's report rows.
+
+    All datasets are merged before anything is integrated, so their order does not matter.
+    """
     unknown = sorted(set(batches) - set(specs))
     if unknown:
         raise ValueError(f"Unknown datasets: {unknown}. Available: {sorted(specs)}")
     run_id = str(uuid.uuid4())
-    reports = []
+    reports, inserted = [], {}
     for name, batch in batches.items():
         frame = read_dataset(spark, specs[name], batch) if isinstance(batch, str) else batch
-        reports.append(apply_update(spark, root, specs[name], frame, run_id, options))
+        report, rows = merge_update(spark, root, specs[name], frame, run_id, options)
+        reports.append(report)
+        if rows is not None:
+            inserted[name] = rows
+    if options.integrate:
+        _integrate(spark, root, inserted)
     names = [part.split(" ")[0] for part in RUN_REPORT.split(", ")]
     rows = [tuple(r[n] for n in names) for r in reports]
     append_rows(spark, f"{root}/_run_report", rows, RUN_REPORT)

@@ -5,8 +5,10 @@ from __future__ import annotations
 import time
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
+from functools import reduce
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import functions as F
 
 from curbside.operators.clean import clean
 from curbside.operators.joins import (
@@ -18,7 +20,6 @@ from curbside.operators.joins import (
     hourly_weather,
     map_region_codes,
 )
-from curbside.session import settle
 from curbside.sources.layout import with_pickup_date
 from curbside.sources.lookups import register_view
 from curbside.sources.readers import conform, read_dataset, require_columns
@@ -34,16 +35,21 @@ INGESTION_LOG = (
 
 def cleaned(spark: SparkSession, spec: DatasetSpec, paths: str | Sequence[str]) -> DataFrame:
     """Raw files of one dataset as a cleaned frame, nothing written."""
-    raw = require_columns(read_dataset(spark, spec, paths), spec)
-    return clean(conform(raw, spec), spec.keys, spec.ranges)
+    return _cleaned(read_dataset(spark, spec, paths), spec)
+
+
+def _cleaned(raw: DataFrame, spec: DatasetSpec) -> DataFrame:
+    return clean(conform(require_columns(raw, spec), spec), spec.keys, spec.ranges)
 
 
 def ingest(spark: SparkSession, root: str, spec: DatasetSpec, paths: str | Sequence[str]) -> tuple:
     """Write one cleaned table; returns its ingestion-log row."""
     started = time.time()
     table = VersionedTable(spark, root, spec.name)
-    rows_kept = table.overwrite(cleaned(spark, spec, paths)).added_rows
-    rows_in = read_dataset(spark, spec, paths).count()
+    seen = Observation(f"raw-{spec.name}")
+    raw = read_dataset(spark, spec, paths).observe(seen, F.count(F.lit(1)).alias("rows"))
+    rows_kept = table.overwrite(_cleaned(raw, spec)).added_rows
+    rows_in = seen.get["rows"]  # counted while the table was written
     return (
         spec.name,
         rows_in,
@@ -70,7 +76,7 @@ def integrate(trips: DataFrame, zones: DataFrame, weather: DataFrame, air: DataF
     out = attach_zones(trips, zones)
     out = map_region_codes(out)
     out = attach_hourly(out, hourly_weather(weather))
-    out = attach_air(out, settle(county_hour_means(air, REGION_CODES), "county-hour-means"))
+    out = attach_air(out, county_hour_means(air, REGION_CODES))
     return with_pickup_date(out)
 
 
@@ -97,10 +103,34 @@ def integrate_tables(spark: SparkSession, root: str) -> Row:
     return integrated_table(spark, root).overwrite(frame)
 
 
-def integrate_inserted(spark: SparkSession, root: str, inserted: DataFrame) -> Row:
-    """Integrate new trips only and append them, so that products see an update."""
-    frame = integrate(inserted, *[_base(spark, root, n) for n in ("taxi_zone", "weather", "air_quality")])
-    return integrated_table(spark, root).append(frame)
+def integrate_changes(spark: SparkSession, root: str, inserted: Mapping[str, DataFrame]) -> Row | None:
+    """Bring the integrated table up to date with the rows that updates have inserted, by dataset.
+
+    To be called once all datasets are merged, so that their order does not matter. New trips are integrated and
+    appended. Where new weather or air rows fall into hours of trips, the days of these trips are integrated anew;
+    the table's other days are carried over as they are, which rewrites the table once for a late delivery.
+    """
+    table = integrated_table(spark, root)
+    zones, weather, air = (_base(spark, root, n) for n in ("taxi_zone", "weather", "air_quality"))
+    trips = with_pickup_date(_base(spark, root, "taxi_trips"))
+    observed = [inserted[n].select("time_utc") for n in ("weather", "air_quality") if n in inserted]
+    days: list[str] = []
+    if observed:
+        hours = reduce(DataFrame.union, observed).distinct()
+        touched = trips.join(hours, "time_utc", "left_semi").select("pickup_date").distinct()
+        days = [row.pickup_date for row in touched.orderBy("pickup_date").toLocalIterator()]  # one value per day
+    new = with_pickup_date(inserted["taxi_trips"]) if "taxi_trips" in inserted else None
+    if not days:
+        return None if new is None else table.append(integrate(new.drop("pickup_date"), zones, weather, air))
+    again = trips.where(F.col("pickup_date").isin(days))
+    parts = [again] if new is None else [again, new.where(~F.coalesce(F.col("pickup_date").isin(days), F.lit(False)))]
+    fresh = integrate(reduce(_by_name, parts).drop("pickup_date"), zones, weather, air)
+    kept = table.read().where(~F.coalesce(F.col("pickup_date").isin(days), F.lit(False)))
+    return table.overwrite(_by_name(kept, fresh))
+
+
+def _by_name(a: DataFrame, b: DataFrame) -> DataFrame:
+    return a.unionByName(b, allowMissingColumns=True)
 
 
 def build_from_raw(spark: SparkSession, paths: Mapping[str, str | Sequence[str]]) -> DataFrame:

@@ -50,12 +50,11 @@ def runs_by_time(runs: DataFrame) -> DataFrame:
 
 def runtime_change(runs: DataFrame, order: tuple[str, ...] = ("executed_at",)) -> DataFrame:
     """Difference to the dataset's run before; NULL for the first."""
-    changed = previous_value(
-        runs.select("dataset", *order, "execution_time_s"), "dataset", order, "execution_time_s", "_before"
-    )
+    ties = (*order, "execution_time_s")  # runs of one moment follow each other by their time
+    changed = previous_value(runs.select("dataset", *ties), "dataset", ties, "execution_time_s", "_before")
     return changed.select(
         "dataset", *order, "execution_time_s", (F.col("execution_time_s") - F.col("_before")).alias("change_s")
-    ).orderBy("dataset", *order)
+    ).orderBy("dataset", *ties)
 
 
 def rule_failures(rule_log: DataFrame) -> DataFrame:

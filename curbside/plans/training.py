@@ -17,10 +17,11 @@ from curbside.operators.features import (
     FEATURES_NUMERIC,
     TARGET,
     feature_stages,
+    require_few_values,
     with_split_name,
 )
 from curbside.plans.ingest import integrated_table
-from curbside.session import settle
+from curbside.session import fresh_folder, settle
 from curbside.sources.tables import append_rows
 
 # Model settings.
@@ -50,10 +51,19 @@ def _split(
         return settle(known.select(target, *features), "training").randomSplit(list(weights), seed=seed)
     names = [f"part{i}" for i in range(len(weights))]
     kept = dict.fromkeys([target, *features, *keys, "split"])
-    stored = settle(with_split_name(known, names, weights, keys, seed).select(*kept), "training")
+    path = fresh_folder(df.sparkSession, "training")
+    # one folder per split, so that each is read alone
+    with_split_name(known, names, weights, keys, seed).select(*kept).write.partitionBy("split").parquet(path)
+    stored = df.sparkSession.read.schema(f"{_ddl(known, kept)}").parquet(path)
     return [stored.where(F.col("split") == name).drop("split") for name in names]
 
 
+def _ddl(df: DataFrame, names: Sequence[str]) -> str:
+    """The columns as a schema text; the split is text."""
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields} | {"split": "string"}
+    return ", ".join(f"`{n}` {kinds[n]}" for n in names)
+
+
 def training_data(
     df: DataFrame,
     target: str = TARGET,
@@ -71,6 +81,7 @@ def training_data(
     """
     weights = [train_ratio, validation_ratio, 1.0 - train_ratio - validation_ratio]
     parts = _split(df, target, (*categorical, *numeric, *dates), weights, seed, keys)
+    require_few_values(parts[0], categorical, MAX_BINS)
     model = Pipeline(stages=feature_stages(categorical, numeric, dates)).fit(parts[0])
     train, validation, test = (model.transform(p).select(target, "features") for p in parts)
     return train, validation, test
@@ -111,6 +122,7 @@ def fit_and_score(
 ) -> tuple[PipelineModel, DataFrame, DataFrame]:
     """Fit preprocessing and model on 80 %; the other 20 % come back scored, with their metrics."""
     train, test = _split(df, target, (*categorical, *numeric, *dates), SPLIT, seed, keys)
+    require_few_values(train, categorical, max_bins)
     stages = [*feature_stages(categorical, numeric, dates), gbt(target, max_iter, max_bins, seed)]
     model = Pipeline(stages=stages).fit(train)
     scored = model.transform(test)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -43,10 +44,14 @@ def ensure_settings(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach, as the cluster names it in `spark.checkpoint.dir`.
 
-    Only where nothing is configured (tests, single machine) a temporary folder is used.
+    Where nothing is configured a local master gets a temporary folder; on a cluster that would be a folder of each
+    machine's own, so it is refused.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not configured:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder all machines share (master {master})")
         configured = tempfile.mkdtemp(prefix="curbside-")
         spark.sparkContext.setCheckpointDir(configured)
     return configured.rstrip("/")
@@ -63,6 +68,16 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     Later steps that branch over the same rows then agree on them, need no recomputation,
     and survive the loss of any executor.
     """
-    path = fresh_folder(df.sparkSession, name)
+    return settle_at(df, fresh_folder(df.sparkSession, name))
+
+
+def settle_at(df: DataFrame, path: str) -> DataFrame:
+    """`settle` into a given folder, for callers that discard it when they are done."""
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nothing will read again."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -30,16 +30,18 @@ def with_pickup_month(df: DataFrame) -> DataFrame:
     return df.withColumn("pickup_month", F.date_format("pickup_time_local", "yyyy-MM"))
 
 
-def storage_footprint(df: DataFrame) -> DataFrame:
-    """One row: files, bytes and megabytes of the files a scan touches, and its rows."""
-    files = df.groupBy(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")
-    ).agg(F.count("*").alias("rows"))
-    return files.agg(
-        F.count("*").alias("files"),
-        F.sum("size").alias("bytes"),
-        F.round(F.sum("size") / F.lit(1024.0 * 1024.0), 2).alias("megabytes"),
-        F.sum("rows").alias("rows"),
+def storage_footprint(spark: SparkSession, *paths: str) -> DataFrame:
+    """One row: files, bytes and megabytes of the Parquet files below the paths, and their rows.
+
+    Files are listed, not read, so that files without rows count; rows come from the footers.
+    """
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+    files = listed.load(list(paths)).select("length").agg(
+        F.count("*").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")
+    )
+    rows = spark.read.option("mergeSchema", "true").parquet(*paths).agg(F.count("*").alias("rows"))
+    return files.crossJoin(rows).select(  # one row each
+        "files", "bytes", F.round(F.col("bytes") / F.lit(1024.0 * 1024.0), 2).alias("megabytes"), "rows"
     )
 
 

@@ -64,8 +64,18 @@ def register_conditions(
 
 
 def register_view(df: DataFrame, name: str, cache: bool = False) -> DataFrame:
-    """Expose a table as a view. Caching is a choice: a cached view no longer prunes partitions."""
+    """Expose a table as a view. Caching is a choice: a cached view no longer prunes partitions.
+
+    A cached view is released with `release_view`.
+    """
     if cache:
         df = df.cache()
     df.createOrReplaceTempView(name)
     return df
+
+
+def release_view(spark: SparkSession, name: str) -> None:
+    """Drop a view and the cached rows behind it."""
+    if spark.catalog.isCached(name):
+        spark.catalog.uncacheTable(name)
+    spark.catalog.dropTempView(name)

@@ -101,10 +101,11 @@ class VersionedTable:
         schema |= incoming
         batch = last.next_batch if last else 0
         target = f"{self.path}/_batch={batch}"
+        # no commit names this batch yet: what a writer that died before its commit left there goes
         if self.partition_by:
-            spread_for(df, self.partition_by).write.partitionBy(*self.partition_by).parquet(target)
+            spread_for(df, self.partition_by).write.mode("overwrite").partitionBy(*self.partition_by).parquet(target)
         else:
-            df.write.parquet(target)
+            df.write.mode("overwrite").parquet(target)
         written = self.spark.read.schema(df.schema).parquet(target).count()  # from the file footers
         batches = [*(known.batches if known else []), batch]
         n_rows = written + (known.n_rows if known else 0)
@@ -137,8 +138,10 @@ def append_rows(spark: SparkSession, path: str, rows: Sequence[tuple], schema: S
 
 
 def read_if_exists(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """The table at `path`, or no rows if nothing was written there yet."""
+    """The table at `path`, or no rows if nothing was written there yet. Any other error is the caller's."""
     try:
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)

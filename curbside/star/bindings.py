@@ -17,7 +17,6 @@ from curbside.operators.joins import (
     attach_hourly,
     attach_role,
     attach_zones,
-    broadcast_if_small,
     county_hour_means,
     hourly_weather,
     map_region_codes,
@@ -41,6 +40,8 @@ REGIONS = (
     ("ASIA", "36", "061"),
     ("EUROPE", "34", "013"),
 )
+# Regions under the names of boroughs, for the operators that know these; one region has none.
+BOROUGHS = {"AFRICA": "Bronx", "AMERICA": "Brooklyn", "ASIA": "Manhattan", "EUROPE": "EWR"}
 MONTHS = ("1996-01-01", "1996-04-01")
 LINE_KEYS = ("l_orderkey", "l_linenumber")
 LINE_ROW_KEYS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
@@ -86,18 +87,18 @@ def hour_trips(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def hour_weather(spark: SparkSession, folder: str) -> DataFrame:
-    """Error events as observations: mean value and a condition code per hour."""
-    events = table(spark, folder, "events").where("event_type = 'error'")
+    """Events as observations: mean value and a condition code per hour."""
+    events = table(spark, folder, "events")
     return events.groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("time_utc")).agg(
         F.avg("value").alias("temp"), (F.count("*") * 7 % 30).cast("int").alias("coco")
     )
 
 
 def hour_air(spark: SparkSession, folder: str) -> DataFrame:
-    """View events as measurements at the user's region."""
-    views = table(spark, folder, "events").where("event_type = 'view'")
-    places = broadcast_if_small(map_region_codes(zones(spark, folder), "borough", REGIONS))
-    return views.join(places, views.user_id == places.location_id).select(
+    """Events as measurements at the user's region."""
+    events = table(spark, folder, "events")
+    places = map_region_codes(zones(spark, folder), "borough", REGIONS)
+    return events.join(places, events.user_id == places.location_id).select(
         "state_code",
         "county_code",
         F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("time_utc"),
@@ -114,18 +115,17 @@ def with_zones(spark: SparkSession, folder: str) -> DataFrame:
 
 def with_pickup_zones(spark: SparkSession, folder: str) -> DataFrame:
     """Pickup zone and borough only, for questions that do not ask where trips end."""
-    places = broadcast_if_small(zones(spark, folder).select("location_id", "zone", "borough"))
+    places = zones(spark, folder).select("location_id", "zone", "borough")
     names = {"zone": "pickup_zone", "borough": "pickup_borough"}
     return attach_role(hour_trips(spark, folder), places, "pu_location_id", "location_id", names)
 
 
 def with_weather(spark: SparkSession, folder: str, trips: DataFrame) -> DataFrame:
-    observed = settle(hour_weather(spark, folder), "hour-weather")
-    return attach_hourly(trips, hourly_weather(observed, HOUR_WEATHER_COLUMNS))
+    return attach_hourly(trips, hourly_weather(hour_weather(spark, folder), HOUR_WEATHER_COLUMNS))
 
 
 def with_air(spark: SparkSession, folder: str, trips: DataFrame) -> DataFrame:
-    means = settle(county_hour_means(hour_air(spark, folder), REGIONS), "county-hour-means")
+    means = county_hour_means(hour_air(spark, folder), REGIONS)
     return attach_air(map_region_codes(trips, codes=REGIONS), means)
 
 

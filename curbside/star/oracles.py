@@ -2,13 +2,58 @@
 
 from __future__ import annotations
 
-from curbside.functions.bands import AQI_SEGMENTS, PM25_ABOVE, PM25_BANDS, PM25_MISSING
 from curbside.functions.hashing import KEY_MULTIPLIER, PRIME, ROUNDS
 from curbside.operators import generate
-from curbside.sources.lookups import CONDITIONS
 from curbside.star import bindings as b
 from curbside.star import queries as q
 
+# Fixed values, written out a second time so that a wrong one in the code under test shows.
+PM25_MISSING, PM25_ABOVE = "Unknown", "Hazardous"
+PM25_BANDS = (
+    (9.0, "Good"),
+    (35.4, "Moderate"),
+    (55.4, "Unhealthy for Sensitive"),
+    (125.4, "Unhealthy"),
+    (225.4, "Very Unhealthy"),
+)
+AQI_SEGMENTS = (
+    (0.0, 9.0, 0.0, 50.0),
+    (9.1, 35.4, 51.0, 100.0),
+    (35.5, 55.4, 101.0, 150.0),
+    (55.5, 125.4, 151.0, 200.0),
+    (125.5, 225.4, 201.0, 300.0),
+    (225.5, 500.0, 301.0, 500.0),
+)
+CONDITIONS = (
+    (1, "Clear", "Clear"),
+    (2, "Fair", "Clear"),
+    (3, "Cloudy", "Cloudy"),
+    (4, "Overcast", "Cloudy"),
+    (5, "Fog", "Fog"),
+    (6, "Freezing Fog", "Fog"),
+    (7, "Light Rain", "Rain"),
+    (8, "Rain", "Rain"),
+    (9, "Heavy Rain", "Rain"),
+    (10, "Freezing Rain", "Rain"),
+    (11, "Heavy Freezing Rain", "Rain"),
+    (12, "Sleet", "Snow"),
+    (13, "Heavy Sleet", "Snow"),
+    (14, "Light Snowfall", "Snow"),
+    (15, "Snowfall", "Snow"),
+    (16, "Heavy Snowfall", "Snow"),
+    (17, "Rain Shower", "Rain"),
+    (18, "Heavy Rain Shower", "Rain"),
+    (19, "Sleet Shower", "Snow"),
+    (20, "Heavy Sleet Shower", "Snow"),
+    (21, "Snow Shower", "Snow"),
+    (22, "Heavy Snow Shower", "Snow"),
+    (23, "Lightning", "Storm"),
+    (24, "Hail", "Storm"),
+    (25, "Thunderstorm", "Storm"),
+    (26, "Heavy Thunderstorm", "Storm"),
+    (27, "Storm", "Storm"),
+)
+
 
 def _uniform(seed: int, *keys: str) -> str:
     state = f"{seed % PRIME}::BIGINT"
@@ -74,11 +119,11 @@ placed AS (
     LEFT JOIN zone d ON do_location_id = d.location_id),
 weather AS (
     SELECT date_trunc('hour', ts) AS hour, avg(value) AS temp, CAST(count(*) * 7 % 30 AS INTEGER) AS coco
-    FROM events WHERE event_type = 'error' GROUP BY 1),
+    FROM events GROUP BY 1),
 air AS (
     SELECT state_code, county_code, hour, avg(value) AS pm25
     FROM (SELECT {_codes('zone.borough')}, date_trunc('hour', ts) AS hour, value
-          FROM events JOIN zone ON user_id = location_id WHERE event_type = 'view')
+          FROM events JOIN zone ON user_id = location_id)
     WHERE state_code IS NOT NULL GROUP BY 1, 2, 3),
 label AS (SELECT * FROM (VALUES {', '.join(f"({c}, '{l}', '{g}')" for c, l, g in CONDITIONS)}) AS t(code, label, bucket)),
 full_trip AS (
@@ -192,8 +237,9 @@ _NATION_ORDERS = """nation_order AS (
     SELECT * FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
 metadata AS (
     SELECT n_name AS table_name, 'orders' AS data_source, '1.0' AS schema_version,
-           min(o_orderdate) AS created_at, max(o_orderdate) AS refresh_at
-    FROM nation_order WHERE o_orderstatus = 'F' AND n_regionkey <> 4 GROUP BY 1)"""
+           min(o_orderdate) FILTER (o_orderstatus = 'F') AS created_at,
+           max(o_orderdate) FILTER (o_orderstatus = 'F') AS refresh_at
+    FROM nation_order GROUP BY 1 HAVING min(n_nationkey) % 5 <> 4)"""
 
 _RUNS = """run AS (
     SELECT o_orderkey AS run_id, o_orderpriority AS dataset, o_orderdate AS executed_at,
@@ -255,7 +301,7 @@ _TIME_PARTS = {"hour": "hour({})", "day_of_week": "dayofweek({}) + 1", "month":
 ORACLES: dict[str, str] = {
     # sources, tables, layouts
     "scan_parquet": """SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate FROM lineitem
-        WHERE l_shipdate >= TIMESTAMP '2000-01-01'""",
+        UNION ALL SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate FROM lineitem""",
     "table_overwrite_read": "SELECT * REPLACE (round(o_totalprice * 2, 2) AS o_totalprice) FROM orders",
     "table_append_read": "SELECT * FROM orders",
     "schema_evolve_append": """SELECT * REPLACE (
@@ -271,10 +317,10 @@ ORACLES: dict[str, str] = {
     "schema_versions": """SELECT * FROM (VALUES (0, '', '1.0'), (1, 'o_orderpriority', '1.1'),
         (2, 'o_custkey,o_orderdate,o_orderpriority', '1.3')) AS t(version, columns_added, schema_version)""",
     "layout_partitioned": _months(
-        f"""SELECT substr(pickup_date, 1, 7) AS pickup_month, count(*) AS trips,
-            round(sum(trip_distance), 2) AS distance FROM trip
-            WHERE pickup_date >= '{b.MONTHS[0]}' AND pickup_date < '{b.MONTHS[1]}' GROUP BY 1"""
+        """SELECT substr(pickup_date, 1, 7) AS pickup_month, count(*) AS trips,
+            round(sum(trip_distance), 2) AS distance FROM trip GROUP BY 1"""
     ),
+    "storage_footprint": "SELECT count(*) AS rows, true AS has_files, true AS has_bytes FROM lineitem",
     "cached_view": _months(
         """SELECT pickup_zone, count(*) AS trips,
            round(count(*) / sum(count(*)) OVER (PARTITION BY pickup_borough) * 100, 4) AS share
@@ -438,12 +484,13 @@ ORACLES: dict[str, str] = {
     "product_metadata": f"""WITH {_NATION_ORDERS}, refreshed AS (
             SELECT n_name AS table_name, 'orders' AS data_source, '1.1' AS schema_version,
                    max(o_orderdate) AS refresh_at
-            FROM nation_order WHERE o_orderdate >= TIMESTAMP '2001-07-28' GROUP BY 1)
+            FROM nation_order GROUP BY 1 HAVING min(n_nationkey) % 2 = 1)
         SELECT r.table_name, r.data_source, r.schema_version, coalesce(m.created_at, r.refresh_at) AS created_at,
                r.refresh_at FROM refreshed r LEFT JOIN metadata m ON r.table_name = m.table_name
         UNION ALL SELECT * FROM metadata WHERE table_name NOT IN (SELECT table_name FROM refreshed)""",
     "refresh_plan": f"""WITH {_NATION_ORDERS}, dependency AS (
-            SELECT DISTINCT n_name AS table_name, c_mktsegment AS dataset FROM nation_order WHERE o_orderstatus = 'P'),
+            SELECT DISTINCT n_name AS table_name, c_mktsegment AS dataset FROM nation_order
+            WHERE ascii(c_mktsegment) % 5 <> n_nationkey % 5),
         change AS (
             SELECT c_mktsegment AS dataset, max(o_orderdate) AS executed_at,
                    count(*) FILTER (o_orderstatus = 'O' AND o_orderdate >= TIMESTAMP '2001-07-31') AS inserted
@@ -535,6 +582,17 @@ ORACLES: dict[str, str] = {
                '1.1' AS schema_version, 'l_tax' AS schema_evolved_on_target, inserted AS rows_with_tax,
                CAST((SELECT sum(l_orderkey) FROM base) + (SELECT sum(l_orderkey) FROM fresh) AS BIGINT) AS checksum
         FROM n""",
+    "incremental_integration": f"""WITH {_EVENT_TRIPS},
+        name AS (SELECT * FROM (VALUES ('AFRICA', '36', '005'), ('AMERICA', '36', '047'), ('ASIA', '36', '061'),
+                                       ('EUROPE', '34', '013')) AS t(region, state, county)),
+        mean AS (SELECT state, county, date_trunc('hour', ts) AS hour, avg(value) AS pm25
+                 FROM events JOIN zone ON user_id = location_id JOIN name ON borough = region GROUP BY 1, 2, 3),
+        whole AS (
+            SELECT trip_id, pickup_date, pickup_zone, dropoff_zone, round(temp, 6) AS temperature,
+                   coco AS code, round(mean.pm25, 6) AS pm25
+            FROM placed LEFT JOIN weather ON time_utc = weather.hour LEFT JOIN name ON pickup_borough = region
+            LEFT JOIN mean ON mean.state = name.state AND mean.county = name.county AND mean.hour = time_utc)
+        SELECT CAST(0 AS INTEGER) AS run, * FROM whole UNION ALL SELECT 1, * FROM whole""",
     # monitoring
     "latest_run": """SELECT l_orderkey AS run_id, o_orderdate AS started_at, l_linenumber AS step,
         l_quantity AS inserted FROM lineitem JOIN orders ON l_orderkey = o_orderkey
@@ -581,6 +639,10 @@ ORACLES: dict[str, str] = {
     "training_split": f"""SELECT l_orderkey, l_partkey, l_linenumber,
         CASE WHEN u < 0.7 THEN 'train' WHEN u < 0.85 THEN 'validation' ELSE 'test' END AS split
         FROM (SELECT *, {_uniform(42, *b.LINE_ROW_KEYS)} AS u FROM lineitem)""",
+    "impute_median": """SELECT count(*) AS rows, count(*) FILTER (l_discount = 0) AS filled, CAST(0 AS BIGINT) AS changed,
+        true AS is_median FROM lineitem""",
+    "gbt_predict": f"""SELECT l_orderkey, l_partkey, l_linenumber, l_extendedprice, true AS beats_mean
+        FROM (SELECT *, {_uniform(42, *b.LINE_ROW_KEYS)} AS u FROM lineitem) WHERE u >= 0.8""",
     "scale_numeric": """SELECT l_orderkey, l_partkey, l_linenumber,
         round(l_quantity / (SELECT stddev_samp(l_quantity) FROM lineitem), 6) AS quantity_scaled,
         round(l_discount / (SELECT stddev_samp(l_discount) FROM lineitem), 6) AS discount_scaled FROM lineitem""",
@@ -594,8 +656,10 @@ ORACLES: dict[str, str] = {
         FROM priced JOIN t ON priced.p_type = t.p_type JOIN f ON priced.l_returnflag = f.l_returnflag
         GROUP BY 1, 3""",
     "training_set": f"""WITH {_PRICED},
-        split AS (SELECT *, CASE WHEN u < 0.7 THEN 'train' WHEN u < 0.85 THEN 'validation' ELSE 'test' END AS split
-                  FROM (SELECT *, {_uniform(42, *b.LINE_ROW_KEYS)} AS u FROM priced)),
+        drawn AS (SELECT * REPLACE (nullif(l_discount, 0) AS l_discount), {_uniform(42, *b.LINE_ROW_KEYS)} AS u FROM priced),
+        median AS (SELECT quantile_disc(l_discount, 0.5) AS m FROM drawn WHERE u < 0.7),
+        split AS (SELECT * REPLACE (coalesce(l_discount, (SELECT m FROM median)) AS l_discount),
+                         CASE WHEN u < 0.7 THEN 'train' WHEN u < 0.85 THEN 'validation' ELSE 'test' END AS split FROM drawn),
         train AS (SELECT * FROM split WHERE split = 'train'),
         t AS (SELECT p_type, CAST(row_number() OVER (ORDER BY count(*) DESC, p_type) - 1 AS DOUBLE) AS i
               FROM train GROUP BY 1),

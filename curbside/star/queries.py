@@ -34,7 +34,7 @@ from curbside.operators.rules import (
     rejected,
     summarise,
 )
-from curbside.plans import demand, incremental, monitoring, products, training
+from curbside.plans import demand, incremental, ingest, monitoring, products, training
 from curbside.session import fresh_folder, settle
 from curbside.sources.layout import storage_footprint, with_pickup_month, write_partitioned
 from curbside.sources.lookups import condition_buckets, condition_labels, register_view
@@ -70,9 +70,11 @@ def checksum(column: str = "l_orderkey"):
 
 @query("scan_parquet")
 def scan_parquet(spark, sf):
-    lines = read_files(spark, "parquet", [f"{sf}/lineitem.parquet"])
-    recent = lines.where(F.col("l_shipdate") >= F.lit("2000-01-01").cast("timestamp_ntz"))
-    return recent.select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
+    """Two paths of one table: the given file, and a copy of all its rows that Spark has written."""
+    copy = fresh_folder(spark, "lines")
+    b.table(spark, sf, "lineitem").write.parquet(copy)
+    lines = read_files(spark, "parquet", [f"{sf}/lineitem.parquet", copy])
+    return lines.select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
 
 
 def _orders_by_status(spark, sf) -> tuple[DataFrame, DataFrame]:
@@ -166,16 +168,18 @@ def layout_partitioned(spark, sf):
     path = fresh_folder(spark, "by-month")
     write_partitioned(with_pickup_month(b.month_trips(spark, sf)), path, ["pickup_month"])
     stored = spark.read.parquet(path)
-    start, end = b.MONTHS
-    months = stored.where((F.col("pickup_month") >= start[:7]) & (F.col("pickup_month") < end[:7]))
-    return months.groupBy("pickup_month").agg(
+    return stored.groupBy("pickup_month").agg(
         F.count("*").alias("trips"), F.round(F.sum("trip_distance"), 2).alias("distance")
     )
 
 
 @query("storage_footprint")
 def storage_footprint_of_lines(spark, sf):
-    return storage_footprint(b.table(spark, sf, "lineitem"))
+    """Whether the listed files of a written table hold its rows: files, size and rows are positive or equal."""
+    path = fresh_folder(spark, "lines")
+    b.table(spark, sf, "lineitem").write.parquet(path)
+    found = storage_footprint(spark, path)
+    return found.select("rows", (F.col("files") > 0).alias("has_files"), (F.col("bytes") > F.col("rows")).alias("has_bytes"))
 
 
 
@@ -457,7 +461,10 @@ def top_hours_per_weekday(spark, sf):
 
 @query("monthly_trends")
 def monthly_trends(spark, sf):
-    return demand.monthly_trends(b.month_trips(spark, sf), *b.MONTHS)
+    """Over a table stored by day: only the days asked for are read."""
+    path = fresh_folder(spark, "by-day")
+    write_partitioned(b.month_trips(spark, sf), path, ["pickup_date"])
+    return demand.monthly_trends(spark.read.parquet(path), *b.MONTHS)
 
 
 @query("monthly_trends_unpruned")
@@ -505,26 +512,31 @@ def _nation_orders(spark, sf) -> DataFrame:
 
 
 def _filled_metadata(spark, sf) -> DataFrame:
-    """Nations as products, last refreshed with their newest filled order; one region has none."""
-    filled = _nation_orders(spark, sf).where("o_orderstatus = 'F' AND n_regionkey <> 4")
-    return filled.groupBy(F.col("n_name").alias("table_name")).agg(
+    """Nations as products, last refreshed with their newest filled order; every fifth has none."""
+    filled = F.when(F.col("o_orderstatus") == "F", F.col("o_orderdate"))
+    orders = _nation_orders(spark, sf).withColumn("o_orderdate", filled)
+    built = orders.groupBy(F.col("n_name").alias("table_name")).agg(
         F.lit("orders").alias("data_source"),
         F.lit("1.0").alias("schema_version"),
         F.min("o_orderdate").alias("created_at"),
         F.max("o_orderdate").alias("refresh_at"),
+        F.min("n_nationkey").alias("_key"),
     )
+    return built.where("_key % 5 <> 4").drop("_key")
 
 
 @query("product_metadata")
 def product_metadata(spark, sf):
-    late = F.col("o_orderdate") >= F.lit("2001-07-28").cast("timestamp_ntz")
+    """Nations of odd keys are refreshed with their newest order of any status."""
     refreshed = (
-        _nation_orders(spark, sf).where(late).groupBy(F.col("n_name").alias("table_name"))
+        _nation_orders(spark, sf).groupBy(F.col("n_name").alias("table_name"))
         .agg(
             F.lit("orders").alias("data_source"),
             F.lit("1.1").alias("schema_version"),
             F.max("o_orderdate").alias("refresh_at"),
+            F.min("n_nationkey").alias("_key"),
         )
+        .where("_key % 2 = 1").drop("_key")
     )
     return products.upsert_metadata(_filled_metadata(spark, sf), refreshed)
 
@@ -532,9 +544,10 @@ def product_metadata(spark, sf):
 @query("refresh_plan")
 def refresh_plan(spark, sf):
     orders = _nation_orders(spark, sf)
-    dependencies = orders.where("o_orderstatus = 'P'").select(
-        F.col("n_name").alias("table_name"), F.col("c_mktsegment").alias("dataset")
-    ).distinct()
+    # every nation with its customers' segments but the one whose initial its key points at
+    dependencies = orders.select(
+        F.col("n_name").alias("table_name"), F.col("c_mktsegment").alias("dataset"), "n_nationkey"
+    ).distinct().where("ascii(dataset) % 5 <> n_nationkey % 5").drop("n_nationkey")
     late = F.col("o_orderdate") >= F.lit("2001-07-31").cast("timestamp_ntz")
     changes = orders.groupBy(F.col("c_mktsegment").alias("dataset")).agg(
         F.count_if(late & (F.col("o_orderstatus") == "O")).alias("inserted"),
@@ -740,6 +753,63 @@ def incremental_update(spark, sf):
     )
 
 
+CITY_SPECS = {
+    "taxi_zone": DatasetSpec("taxi_zone", "parquet", frozenset({"location_id"}), ("location_id",)),
+    "weather": DatasetSpec("weather", "parquet", frozenset({"time_utc"}), ("time_utc",)),
+    "air_quality": DatasetSpec("air_quality", "parquet", frozenset({"time_utc"}), ("event_id",)),
+    "taxi_trips": DatasetSpec("taxi_trips", "parquet", frozenset({"trip_id"}), ("trip_id",)),
+}
+
+
+def _city(spark, sf) -> dict[str, DataFrame]:
+    """Events as the four datasets of the integrated table; regions bear the names of boroughs."""
+    names = F.create_map(*[F.lit(x) for pair in b.BOROUGHS.items() for x in pair])
+    zones = b.zones(spark, sf).withColumn("borough", F.try_element_at(names, F.col("borough"))).drop("zone_code")
+    events = b.table(spark, sf, "events")
+    hour = F.date_trunc("hour", "ts").cast("timestamp_ntz")
+    measures = {"rhum": 1.0, "prcp": 0.0, "snwd": 0.0, "wspd": 2.0, "wdir": 3.0, "wpgt": 4.0, "pres": 5.0, "cldc": 6.0}
+    weather = events.groupBy(hour.alias("time_utc")).agg(
+        F.avg("value").alias("temp"), *[F.lit(v).alias(n) for n, v in measures.items()],
+        (F.count("*") * 7 % 30).cast("double").alias("coco"),
+    )
+    codes = b.map_region_codes(zones, "borough")
+    air = events.join(codes, F.col("user_id") == F.col("location_id")).where("state_code IS NOT NULL").select(
+        "event_id", "state_code", "county_code", hour.alias("time_utc"), F.col("value").alias("sample_measurement")
+    )
+    trips = b.hour_trips(spark, sf).drop("pickup_date")
+    return {"taxi_zone": zones, "weather": weather, "air_quality": air, "taxi_trips": trips}
+
+
+def _updated_city(spark, sf, order) -> DataFrame:
+    """The integrated table after an update that brings the later half of trips, and every third hour's weather and every
+    third measurement late, also for trips that are there already."""
+    data, root = _city(spark, sf), fresh_folder(spark, "city")
+    late = {
+        "weather": F.hour("time_utc") % 3 == 1,
+        "air_quality": F.col("event_id") % 3 == 1,
+        "taxi_trips": F.col("trip_id") % 2 == 1,
+    }
+    for name, frame in data.items():
+        VersionedTable(spark, root, name).overwrite(frame.where(~late[name]) if name in late else frame)
+    ingest.integrate_tables(spark, root)
+    incremental.run_updates(spark, root, {n: data[n].where(late[n]) for n in order}, CITY_SPECS)
+    return ingest.integrated_table(spark, root).read()
+
+
+@query("incremental_integration")
+def incremental_integration(spark, sf):
+    orders = (("taxi_trips", "weather", "air_quality"), ("air_quality", "weather", "taxi_trips"))
+    tables = [
+        _updated_city(spark, sf, order).select(
+            F.lit(n).alias("run"), "trip_id", "pickup_date", "pickup_zone", "dropoff_zone",
+            F.round("pickup_weather_temperature", 6).alias("temperature"),
+            F.col("pickup_weather_condition_code").alias("code"), F.round("pickup_air_quality_pm25", 6).alias("pm25"),
+        )
+        for n, order in enumerate(orders)
+    ]
+    return tables[0].union(tables[1])
+
+
 # -- monitoring ---------------------------------------------------------------------------------
 
 
@@ -839,16 +909,32 @@ def training_split(spark, sf):
 
 @query("impute_median")
 def impute_median(spark, sf):
-    trips = b.with_weather(spark, sf, b.hour_trips(spark, sf))
-    filled = features.imputer(("pickup_weather_temperature",)).fit(trips).transform(trips)
-    return filled.select("trip_id", "pickup_weather_temperature", "pickup_weather_temperature_imputed")
+    """Discounts with the zeros taken out and filled again: how many rows were filled, whether kept values are as they
+    were, and whether the filler is a median within the imputer's rank error."""
+    lines = b.priced_lines(spark, sf).select(*b.LINE_ROW_KEYS, F.nullif("l_discount", F.lit(0.0)).alias("discount"))
+    filled = features.imputer(("discount",)).fit(lines).transform(lines)
+    given, out = F.col("discount"), F.col("discount_imputed")
+    filler = filled.agg(F.max(F.when(given.isNull(), out)).alias("filler"))
+    ranks = filled.crossJoin(F.broadcast(filler)).agg(  # one row
+        F.count("*").alias("rows"),
+        F.count_if(given.isNull()).alias("filled"),
+        F.count_if(given.isNull() & (out != F.col("filler")) | given.isNotNull() & (out != given)).alias("changed"),
+        F.count_if(given < F.col("filler")).alias("below"),
+        F.count_if(given <= F.col("filler")).alias("up_to"),
+        F.count("discount").alias("known"),
+    )
+    error = F.col("known") * 0.001 + 1
+    middle = F.col("known") / 2
+    return ranks.select(
+        "rows", "filled", "changed", ((F.col("below") <= middle + error) & (F.col("up_to") >= middle - error)).alias("is_median")
+    )
 
 
 @query("scale_numeric")
 def scale_numeric(spark, sf):
     lines = b.priced_lines(spark, sf).select(*b.LINE_ROW_KEYS, "l_quantity", "l_discount")
     scaled = Pipeline(stages=features.number_stages(("l_quantity", "l_discount"))).fit(lines).transform(lines)
-    values = vector_to_array("scaled_numeric_features")
+    values = vector_to_array("numbers_scaled")
     return scaled.select(
         "l_orderkey", "l_partkey", "l_linenumber",
         F.round(values[0], 6).alias("quantity_scaled"), F.round(values[1], 6).alias("discount_scaled"),
@@ -877,7 +963,7 @@ FEATURE_NAMES = ("quantity", "discount", "tax", "returnflag", "p_type", "hour",
 
 @query("training_set")
 def training_set(spark, sf):
-    lines = b.priced_lines(spark, sf)
+    lines = b.priced_lines(spark, sf).withColumn("l_discount", F.nullif("l_discount", F.lit(0.0)))
     parts = training.training_data(lines, **FEATURES, keys=b.LINE_ROW_KEYS)
     named = [p.withColumn("split", F.lit(n)) for n, p in zip(("train", "validation", "test"), parts)]
     every = named[0].union(named[1]).union(named[2])
@@ -889,8 +975,13 @@ def training_set(spark, sf):
 
 @query("gbt_predict")
 def gbt_predict(spark, sf):
-    _, scored, _ = training.fit_and_score(b.priced_lines(spark, sf), **FEATURES, max_iter=3, keys=b.LINE_ROW_KEYS)
-    return scored.select("l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice", "prediction")
+    """The test rows, and whether the model has learned: its squared error on the training rows is below that of their
+    mean."""
+    lines = b.priced_lines(spark, sf)
+    model, scored, _ = training.fit_and_score(lines, **FEATURES, keys=b.LINE_ROW_KEYS)
+    train = features.with_split_name(lines, ("train", "test"), training.SPLIT, b.LINE_ROW_KEYS).where("split = 'train'")
+    fitted = training.regression_metrics(model.transform(train), "l_extendedprice").select((F.col("r2") > 0).alias("beats_mean"))
+    return scored.select("l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice").crossJoin(F.broadcast(fitted))
 
 
 @query("regression_metrics")

@@ -7,7 +7,9 @@ import os
 import pytest
 
 import __spark_entry__ as entry_point
-from curbside.star.bindings import LINE_KEYS
+from curbside.star.oracles import ORACLES
+from curbside.star.queries import QUERIES
+from curbside.plans.experiments import plan_text
 
 duckdb = pytest.importorskip("duckdb")
 FOLDER = entry_point.SMOKE_DIR
@@ -33,12 +35,10 @@ def canonical(arrow) -> tuple[list[str], list[tuple]]:
 
 def test_every_oracle_has_a_query():
     assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
-    assert set(entry_point.queries()) - set(entry_point.oracle_sql()) == {
-        "impute_median", "gbt_predict", "storage_footprint"
-    }
+    assert set(ORACLES) == set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, duck, name):
     ours = entry_point.queries()[name](spark, FOLDER).toArrow()
     theirs = duck.execute(entry_point.oracle_sql()[name]).to_arrow_table()
@@ -46,11 +46,12 @@ def test_query_matches_sql(spark, duck, name):
     assert canonical(ours) == canonical(theirs)
 
 
-def test_entry_and_rows_only_queries(spark):
+def test_entry(spark):
     assert entry_point.entry(spark).count() > 0
-    filled = entry_point.queries()["impute_median"](spark, FOLDER)
-    assert filled.where("pickup_weather_temperature_imputed IS NULL").isEmpty()
-    size = entry_point.queries()["storage_footprint"](spark, FOLDER).first()
-    assert size.rows == 6000 and size.files == 1
-    scored = entry_point.queries()["gbt_predict"](spark, FOLDER)
-    assert scored.where("prediction IS NULL").isEmpty() and set(LINE_KEYS) <= set(scored.columns)
+
+
+def test_trends_read_only_their_days(spark):
+    """The registered query runs on a table stored by day, and its filter is on the partition column."""
+    plan = plan_text(entry_point.queries()["monthly_trends"](spark, FOLDER))
+    filters = [line for line in plan.splitlines() if "PartitionFilters" in line]
+    assert filters and "pickup_date" in filters[0] and "1996-01-01" in filters[0]
