@@ -67,11 +67,17 @@ def load_references(spark: SparkSession, root: str, spec: DatasetSpec) -> dict[s
 
 
 def quarantine(spark: SparkSession, root: str, dataset: str, rejects: DataFrame, run_id: str) -> int:
-    """Append rejects with run id and time; returns their number. Nothing is written for none."""
+    """Append rejects with run id and time; returns their number. Nothing is written for none.
+
+    Rejects of a run that are stored already, as when a stream sends its batch again, are not stored twice.
+    """
     if rejects.isEmpty():
         return 0
+    table = VersionedTable(spark, root, f"rejects_{dataset}")
+    if table.exists() and (stored := table.read().where(F.col("_run_id") == run_id).count()):
+        return stored
     stamped = rejects.withColumns({"_run_id": F.lit(run_id), "_rejected_at": F.current_timestamp()})
-    return VersionedTable(spark, root, f"rejects_{dataset}").append(stamped).added_rows
+    return table.append(stamped).added_rows
 
 
 def align_types(updates: DataFrame, target: DataFrame) -> DataFrame:
@@ -134,7 +140,7 @@ def merge_update(
 ) -> tuple[dict, DataFrame | None]:
     """Validate and merge one batch; its report, and the rows it inserted, None for none.
 
-    A run id that the run log has already, as a stream sends after a failure, logs and quarantines nothing again.
+    A run id that the rule log has already, as a stream sends after a failure, is not logged again.
     """
     run_id = run_id or str(uuid.uuid4())
     started_at, clock = datetime.now(timezone.utc), time.time()
@@ -185,7 +191,7 @@ def merge_update(
             duplicates = sum(m.rows_failed for m in metrics if m.rule_type == "duplicate")
             report["intra_file_duplicate_records"] = duplicates
             report["rejected_invalid_records"] = sum(m.rows_failed for m in metrics) - duplicates
-            if any(m.rows_failed for m in metrics) and not replayed:
+            if any(m.rows_failed for m in metrics):
                 report["quarantined_records"] = quarantine(spark, root, spec.name, rejected(tagged), run_id)
             updates = passed(tagged)
             considered = metrics[-1].rows_passed if metrics else None

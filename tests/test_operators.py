@@ -218,3 +218,30 @@ def test_partitioned_write_prunes_and_measures(spark, tmp_path):
     assert size.files >= 2 and size.bytes > 0 and size.rows == 300
     whole = storage_footprint(spark, path)
     assert storage_overhead(whole, whole).first().overhead_percent == 100.0
+
+
+def test_duplicates_of_a_hot_key_after_a_join_on_it(spark):
+    """Half of all rows have one key and lie in one partition: the first round still has many groups."""
+    lines = spark.range(2000).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("k"), "id")
+    names = spark.range(2000).select(F.col("id").alias("k"), F.lit("n").alias("name"))
+    joined = lines.join(names.hint("shuffle_hash"), "k")
+    marked = mark_duplicates(joined, ["k"])
+    found = rows(marked.where("NOT _duplicate").groupBy("k").agg(F.min("id").alias("id"), F.count("*").alias("n")))
+    assert [r for r in found if r[0] == 7] == [(7, 0, 1)] and all(n == 1 for _, _, n in found)
+    assert marked.count() == joined.count()
+    window = [line for line in plan_text(marked).splitlines() if "Arguments" in line and "_salt" in line]
+    assert window
+
+
+def test_air_update_skips_unreadable_dates(spark):
+    from curbside.operators.generate import air_update
+
+    raw = spark.createDataFrame(
+        [(36, 61, 1, 1, "2024-01-05", "10:00", "2024-01-05", "15:00", 8.0),
+         (36, 61, 1, 1, "2024-01-06", "10:00", None, "15:00", 9.0),
+         (36, 61, 2, 1, "not a day", "10:00", "2024-01-05", "99:00", 9.0)],
+        "state_code int, county_code int, site_num int, poc int, date_local string, time_local string, "
+        "date_gmt string, time_gmt string, sample_measurement double",
+    )
+    new = air_update(raw, hours=2)
+    assert rows(new.select("site_num", "date_gmt", "time_gmt")) == [(1, "2024-01-05", "16:00"), (1, "2024-01-05", "17:00")]

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from curbside.plans import demand, monitoring, products
 from curbside.plans.experiments import plan_text
-from curbside.plans.incremental import RUN_REPORT, UpdateOptions, run_updates
+from curbside.plans.incremental import RUN_REPORT, UpdateOptions, apply_update, run_updates
 from curbside.plans.ingest import build_from_raw, integrated_table, register_tables
 from curbside.plans.updates import MANIFEST, generate_updates
 from curbside.sources.lookups import condition_buckets, condition_labels, register_conditions
@@ -238,6 +238,61 @@ def test_stream_of_files(spark, platform, tmp_path):
     assert table.read().count() == 9
 
 
+def late_rows() -> dict:
+    """A new trip, and weather and air of its hour and of a trip that is there already."""
+    hours = [(2024, 2, 1, 14), (2024, 4, 1, 14), (2024, 3, 15, 13)]
+    return {
+        "taxi_trips": [trip("2024-04-01 10:00", pu=4, fare=44.0)],
+        "weather": [(*h, 9.5, 50, 0.0, 0, 200, 7.0, 9, 1000.0, 8, 1) for h in hours],
+        "air_quality": [
+            ("36", "005", 70, 1, "2024-04-01", "10:00", "2024-04-01", "14:00", 50.0),
+            ("36", "061", 71, 1, "2024-01-05", "10:00", "2024-01-05", "15:00", 28.0),  # third monitor of that hour
+        ],
+    }
+
+
+@pytest.mark.parametrize("order", [("taxi_trips", "weather", "air_quality"), ("air_quality", "weather", "taxi_trips")])
+def test_updates_do_not_depend_on_the_order_of_datasets(spark, platform, tmp_path, order):
+    data = late_rows()
+    batches = {
+        "taxi_trips": spark.createDataFrame(data["taxi_trips"], TRIP_SCHEMA),
+        "weather": write_csv(tmp_path / "w.csv", WEATHER_HEADER, data["weather"]),
+        "air_quality": write_csv(tmp_path / "a.csv", AIR_HEADER, data["air_quality"]),
+    }
+    before = {r.pickup_time_local: r for r in integrated_table(spark, platform).read().collect()}
+    run_updates(spark, platform, {n: batches[n] for n in order})
+    after = {r.pickup_time_local: r for r in integrated_table(spark, platform).read().collect()}
+    new = after[at("2024-04-01 10:00")]
+    assert (new.pickup_weather_temperature, new.pickup_air_quality_pm25) == (9.5, 50.0)
+    late = after[at("2024-01-05 10:15")]
+    assert before[at("2024-01-05 10:15")].pickup_air_quality_pm25 == 10.0 and late.pickup_air_quality_pm25 == 16.0
+    assert len(after) == len(before) + 1 and integrated_table(spark, platform).read().count() == 7
+    untouched = at("2024-02-02 09:30")
+    assert after[untouched].asDict() == before[untouched].asDict()
+
+
+def test_a_late_measurement_refreshes_the_air_product(spark, platform, tmp_path):
+    products.build_products(spark, platform, integrated_table(spark, platform).read())
+    path = write_csv(tmp_path / "a.csv", AIR_HEADER, late_rows()["air_quality"])
+    report = run_updates(spark, platform, {"air_quality": path})
+    trips = integrated_table(spark, platform).read()
+    done = products.refresh_products(spark, platform, trips, report.select("dataset", "inserted", "executed_at"))
+    assert done == ["air_quality_impact_summary"]
+    stored = VersionedTable(spark, platform, "air_quality_impact_summary").read()
+    assert rows(stored) == rows(products.band_impact_summary(trips))
+    assert trips.where("pickup_air_quality_pm25 = 16.0").count() == 1
+
+
+def test_a_batch_sent_again_is_logged_and_quarantined_once(spark, platform):
+    batch = spark.createDataFrame(update_rows(), TRIP_SCHEMA)
+    first, second = (apply_update(spark, platform, TAXI_TRIPS, batch, "epoch-1") for _ in range(2))
+    assert (first["inserted"], second["inserted"]) == (2, 0)
+    assert first["quarantined_records"] == second["quarantined_records"] == 6
+    assert VersionedTable(spark, platform, "rejects_taxi_trips").read().count() == 6
+    log = spark.read.schema(monitoring.RULE_LOG).parquet(f"{platform}/_validation_metrics")
+    assert log.count() == log.select("rule_id").distinct().count() and log.where("elapsed_s IS NOT NULL").isEmpty()
+
+
 def test_monitoring_reports(spark):
     runs = spark.createDataFrame(
         [("p", d, at(f"2024-01-0{day} 00:00"), t, 10, 5, f, "1.0", f)

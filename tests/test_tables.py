@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from curbside.plans.experiments import plan_text
-from curbside.sources.tables import VersionedTable, schema_versions
+from curbside.session import shared_folder
+from curbside.sources.tables import VersionedTable, read_if_exists, schema_versions
 from tests.conftest import rows
 
 
@@ -67,3 +68,36 @@ def test_empty_batch(spark, root):
     table.overwrite(spark.range(2))
     commit = table.append(spark.range(0))
     assert commit.added_rows == 0 and table.read().count() == 2
+
+
+def test_a_writer_that_died_before_its_commit_blocks_nothing(spark, root):
+    table = VersionedTable(spark, root, "t")
+    table.overwrite(spark.range(3))
+    spark.range(90, 95).write.parquet(f"{table.path}/_batch=1")  # no commit names it
+    assert table.read().count() == 3
+    table.append(spark.range(3, 5))
+    assert rows(table.read()) == [(i,) for i in range(5)]
+
+
+def test_only_a_missing_path_reads_as_no_table(spark, tmp_path):
+    assert read_if_exists(spark, str(tmp_path / "none"), "a int").isEmpty()
+    with pytest.raises(Exception, match="(?i)parse|syntax"):
+        read_if_exists(spark, str(tmp_path), "a no_such_type(")
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    class Session:
+        class conf:  # noqa: N801
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+
+            @staticmethod
+            def getCheckpointDir():
+                return None
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Session)
