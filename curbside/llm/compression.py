@@ -1,9 +1,10 @@
 """Quality by compression: zstandard dictionaries of good and of bad text.
 
-A text is cut into windows of a few hundred bytes; every window is compressed once with either dictionary. Short
-windows matter: what a dictionary knows shows in each of them, while in a long run a text soon explains itself. The
-difference of the two sizes over their sum, with a little smoothing so that short texts stay near zero, goes through a
-logistic curve fitted on labelled texts that are in neither dictionary.
+A text is cut into windows of some hundred bytes; every window is compressed once with either dictionary. Short windows
+matter: what a dictionary knows shows in each of them, while in a long run a text soon explains itself. The difference of
+the two sizes over their sum goes through a curve fitted on labelled texts that are in neither dictionary: a logistic
+function of the difference, bent at two scales, and weighted by how much there was to compress, so that a text of a few
+words is as good as texts are on the whole.
 """
 
 from __future__ import annotations
@@ -19,21 +20,22 @@ from pyspark.sql import functions as F
 
 from curbside.llm.common import remainder
 
-WINDOW = 256
-LEVEL = 9
+WINDOW = 128
+LEVEL = 12
 FRAME = 8  # bytes that any frame of this kind has besides its content, about
-SMOOTHING = (0, 100)  # added to the sum of sizes; one feature each
+SCALES = (0.03, 0.1)  # of the difference, at which the curve may bend
+EVIDENCE = 100.0  # compressed bytes of both sizes that count half
 
 # Bounds of the fit. It reads at most so many labelled texts of either class, chosen by a hash of the id, none of them
 # longer than MAX_CHARS, and puts at most DICTIONARY_BYTES of whole texts into a dictionary.
 SAMPLE_ROWS = 3000
 MAX_CHARS = 20_000
-DICTIONARY_BYTES = 600_000
+DICTIONARY_BYTES = 1_200_000
 
 
 @dataclass(frozen=True)
 class Model:
-    """Two dictionaries and the logistic curve: weights of the smoothed differences, then the intercept."""
+    """Two dictionaries and the curve: weights of its features, then the log odds of texts on the whole."""
 
     good: bytes
     bad: bytes
@@ -65,9 +67,12 @@ def sizes(good: Sizer, bad: Sizer, text: str | None) -> tuple[int, int]:
     return max(0, good.size(windows)), max(0, bad.size(windows))
 
 
-def differences(good, bad) -> list:
-    """Normalised differences, for arrays and for columns."""
-    return [(good - bad) / (good + bad + k + 1.0) for k in SMOOTHING]
+def features(good, bad, tanh) -> list:
+    """What the curve is a function of, for arrays and for columns: the normalised difference of the sizes at each scale,
+    weighted by the evidence, and the evidence."""
+    both = good + bad
+    difference, evidence = (good - bad) / (both + 1.0), both / (both + EVIDENCE)
+    return [*[tanh(difference / scale) * evidence for scale in SCALES], evidence]
 
 
 def fit(rows: list[tuple[str, int]]) -> Model:
@@ -89,24 +94,32 @@ def fit(rows: list[tuple[str, int]]) -> Model:
     y = np.array([label for _, label in rest], dtype=float)
     if len(set(y)) < 2:
         share = (sum(label for _, label in rows) + 1) / (len(rows) + 2)
-        return Model(good, bad, (*[0.0] * len(SMOOTHING), float(np.log(share / (1 - share)))))
+        return Model(good, bad, (*[0.0] * (len(SCALES) + 1), float(np.log(share / (1 - share)))))
     g, b = Sizer(good), Sizer(bad)
     measured = np.array([sizes(g, b, text) for text, _ in rest], dtype=float)
-    return Model(good, bad, tuple(logistic(np.column_stack(differences(measured[:, 0], measured[:, 1])), y)))
+    return Model(good, bad, tuple(logistic(np.column_stack(features(measured[:, 0], measured[:, 1], np.tanh)), y)))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> list[float]:
-    """Weights and intercept by Newton steps, lightly regularised."""
-    x = np.column_stack([x, np.ones(len(x))])
-    w = np.zeros(x.shape[1])
-    penalty = np.diag([ridge] * (x.shape[1] - 1) + [1e-6])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+    """Weights by damped Newton steps, lightly regularised, and the fixed log odds of `y` as the intercept."""
+    share = y.mean()
+    offset = float(np.log(share / (1 - share)))
+    w, penalty = np.zeros(x.shape[1]), ridge * np.eye(x.shape[1])
+
+    def loss(v: np.ndarray) -> float:
+        z = x @ v + offset
+        return float((np.logaddexp(0, z) - y * z).sum() + v @ penalty @ v / 2)
+
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(x @ w + offset, -30, 30)))
         step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty, x.T @ (y - p) - penalty @ w)
-        w += step
-        if np.abs(step).max() < 1e-8:
+        size = 1.0
+        while size > 1e-6 and loss(w + size * step) > loss(w):
+            size /= 2
+        w = w + size * step
+        if np.abs(size * step).max() < 1e-8:
             break
-    return w.tolist()
+    return [*w.tolist(), offset]
 
 
 def sample(docs: DataFrame, labels: DataFrame, learn_from: Column) -> list[tuple[str, int]]:
@@ -125,7 +138,7 @@ def sample(docs: DataFrame, labels: DataFrame, learn_from: Column) -> list[tuple
 
 
 def with_score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
-    """`docs` and the probability that its text is good; null and empty texts get the curve's value at no difference."""
+    """`docs` and the probability that its text is good; null and empty texts are as good as texts are on the whole."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("good bigint, bad bigint")
@@ -136,8 +149,8 @@ def with_score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
 
     *weights, intercept = model.weights
     total = F.lit(float(intercept))
-    for w, d in zip(weights, differences(F.col(f"{name}.good"), F.col(f"{name}.bad"))):
-        total = total + F.lit(float(w)) * d
+    for w, x in zip(weights, features(F.col(f"{name}.good"), F.col(f"{name}.bad"), F.tanh)):
+        total = total + F.lit(float(w)) * x
     return docs.withColumn(name, measured(F.col("text"))).withColumn(name, 1.0 / (1.0 + F.exp(-total)))
 
 
