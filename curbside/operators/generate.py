@@ -6,6 +6,7 @@ any cluster.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -25,6 +26,11 @@ PASSENGER_JITTER_PROBABILITY = 0.20
 NEW_HOURS = 24 * 7
 
 
+def stream_seed(seed: int, name: str) -> int:
+    """The seed of a named stream of draws, so that draws of one row are independent."""
+    return seed + zlib.crc32(name.encode())
+
+
 def hash_sample(df: DataFrame, fraction: float, seed: int, keys: Sequence[str]) -> DataFrame:
     """Bernoulli sample decided by the row's key values."""
     return df.where(uniform(seed, *key_columns(df, keys)) < fraction)
@@ -54,12 +60,15 @@ def trip_update(
 ) -> DataFrame:
     """New trips that follow the last known pickup, plus verbatim duplicates of old ones.
 
-    `trips` is read three times (bounds, new trips, duplicates), so it should be a stored frame.
-    The earliest sampled pickup lands one second after the newest original one. Without
+    `trips` is read twice, once for its bounds and once for all rows of the update. The earliest sampled pickup lands one second after the newest original one. Without
     `window_s` the new trips are spread so that their density matches the history.
     """
     row_key = key_columns(trips, keys)
-    sampled = uniform(seed, *row_key) < new_fraction
+
+    def draw(stream: str) -> Column:
+        return uniform(stream_seed(seed, stream), *row_key)
+
+    sampled = draw("new") < new_fraction
     bounds = trips.agg(
         F.min(pickup).alias("lo"),
         F.max(pickup).alias("hi"),
@@ -72,25 +81,24 @@ def trip_update(
     if base.shift_s is None:
         raise ValueError(f"no {pickup} bounds: the data set is empty")
     window = window_s if window_s is not None else int(base.span_s * new_fraction)
-    jitter = F.floor(uniform(seed + 1, *row_key) * window)
-    moved = F.lit(base.shift_s) + jitter
-
-    def noise(k: int) -> Column:
-        return uniform(seed + k, *row_key) * 2 - 1
-
-    turn = F.when(uniform(seed + 6, *row_key) < 0.5, -1).otherwise(1)
-    step = F.when(uniform(seed + 5, *row_key) < PASSENGER_JITTER_PROBABILITY, turn).otherwise(0)
+    moved = F.lit(base.shift_s) + F.floor(draw("delay") * window)
+    turn = F.when(draw("direction") < 0.5, -1).otherwise(1)
+    step = F.when(draw("passengers") < PASSENGER_JITTER_PROBABILITY, turn).otherwise(0)
     passengers = F.greatest(F.lit(1), F.col("passenger_count") + step)
     # all new values are computed from the old row, hence one projection
     changed = {
         pickup: _shift(F.col(pickup), moved),
         dropoff: _shift(F.col(dropoff), moved),
-        "fare_amount": F.col("fare_amount") * (noise(3) * FARE_JITTER + 1),
-        "trip_distance": F.col("trip_distance") * (noise(4) * DISTANCE_JITTER + 1),
+        "fare_amount": F.col("fare_amount") * ((draw("fare") * 2 - 1) * FARE_JITTER + 1),
+        "trip_distance": F.col("trip_distance") * ((draw("distance") * 2 - 1) * DISTANCE_JITTER + 1),
         "passenger_count": passengers.cast(trips.schema["passenger_count"].dataType),
     }
-    new_trips = trips.where(sampled).select(*[changed[c].alias(c) if c in changed else F.col(c) for c in trips.columns])
-    return new_trips.unionByName(hash_sample(trips, duplicate_fraction, seed + 2, keys))
+    copied = draw("copy") < duplicate_fraction
+    kinds = F.filter(F.array(F.when(sampled, F.lit(True)), F.when(copied, F.lit(False))), lambda kind: kind.isNotNull())
+    rows = trips.where(sampled | copied).withColumn("_new", F.explode(kinds))
+    return rows.select(
+        *[F.when(F.col("_new"), changed[c]).otherwise(F.col(c)).alias(c) if c in changed else F.col(c) for c in trips.columns]
+    )
 
 
 def latest_expanded(

@@ -179,6 +179,19 @@ def month_trips(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def line_trips(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines as trips without their places."""
+    line, orders = table(spark, folder, "lineitem"), table(spark, folder, "orders")
+    return line.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        *LINE_ROW_KEYS,
+        F.col("o_orderdate").alias("pickup_time_local"),
+        F.col("l_shipdate").alias("dropoff_time_local"),
+        F.col("l_extendedprice").alias("fare_amount"),
+        F.col("l_quantity").alias("trip_distance"),
+        F.col("l_linenumber").alias("passenger_count"),
+    )
+
+
 def shipments(spark: SparkSession, folder: str) -> DataFrame:
     """Order lines with order date and the name of a customer in credit: input of the rules."""
     customers = table(spark, folder, "customer").where(in_range("c_acctbal", 0, None))

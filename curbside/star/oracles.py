@@ -261,30 +261,30 @@ _SAMPLE_KEYS = b.LINE_ROW_KEYS
 _S = generate.SEED
 
 
-def _u(k: int) -> str:
-    return _uniform(_S + k, *_SAMPLE_KEYS)
+def _u(stream: str) -> str:
+    return _uniform(generate.stream_seed(_S, stream), *_SAMPLE_KEYS)
 
 
 _UPDATE = f"""bounds AS (
-    SELECT date_sub('second', min(pickup_time_local) FILTER ({_u(0)} < {generate.NEW_FRACTION}),
+    SELECT date_sub('second', min(pickup_time_local) FILTER ({_u('new')} < {generate.NEW_FRACTION}),
                     max(pickup_time_local)) + 1 AS shift_s,
            CAST(floor(date_sub('second', min(pickup_time_local), max(pickup_time_local))
                       * {generate.NEW_FRACTION}::DOUBLE) AS BIGINT) AS window_s
     FROM trip),
 moved AS (
-    SELECT trip.*, shift_s + CAST(floor({_u(1)} * window_s) AS BIGINT) AS by_s
-    FROM trip, bounds WHERE {_u(0)} < {generate.NEW_FRACTION})
+    SELECT trip.*, shift_s + CAST(floor({_u('delay')} * window_s) AS BIGINT) AS by_s
+    FROM trip, bounds WHERE {_u('new')} < {generate.NEW_FRACTION})
 SELECT l_orderkey, l_partkey, l_linenumber, pickup_time_local + to_seconds(by_s) AS pickup_time_local,
        dropoff_time_local + to_seconds(by_s) AS dropoff_time_local,
-       round(fare_amount * (({_u(3)} * 2 - 1) * {generate.FARE_JITTER}::DOUBLE + 1), 4) AS fare_amount,
-       round(trip_distance * (({_u(4)} * 2 - 1) * {generate.DISTANCE_JITTER}::DOUBLE + 1), 6) AS trip_distance,
-       CAST(greatest(1, passenger_count + CASE WHEN {_u(5)} < {generate.PASSENGER_JITTER_PROBABILITY}
-            THEN CASE WHEN {_u(6)} < 0.5 THEN -1 ELSE 1 END ELSE 0 END) AS INTEGER) AS passenger_count
+       round(fare_amount * (({_u('fare')} * 2 - 1) * {generate.FARE_JITTER}::DOUBLE + 1), 4) AS fare_amount,
+       round(trip_distance * (({_u('distance')} * 2 - 1) * {generate.DISTANCE_JITTER}::DOUBLE + 1), 6) AS trip_distance,
+       CAST(greatest(1, passenger_count + CASE WHEN {_u('passengers')} < {generate.PASSENGER_JITTER_PROBABILITY}
+            THEN CASE WHEN {_u('direction')} < 0.5 THEN -1 ELSE 1 END ELSE 0 END) AS INTEGER) AS passenger_count
 FROM moved
 UNION ALL
 SELECT l_orderkey, l_partkey, l_linenumber, pickup_time_local, dropoff_time_local, round(fare_amount, 4),
        round(trip_distance, 6), passenger_count
-FROM trip WHERE {_u(2)} < {generate.DUPLICATE_FRACTION}"""
+FROM trip WHERE {_u('copy')} < {generate.DUPLICATE_FRACTION}"""
 
 
 def _stats(parts: list[tuple[str, str]], source: str, target: str) -> str:

@@ -603,11 +603,8 @@ def replay_templates(spark, sf):
 
 @query("update_batch")
 def update_batch(spark, sf):
-    trips = b.month_trips(spark, sf).select(
-        *b.LINE_ROW_KEYS, "pickup_time_local", "dropoff_time_local", "fare_amount", "trip_distance", "passenger_count"
-    )
     batch = generate.trip_update(
-        settle(trips, "trips"), b.LINE_ROW_KEYS, pickup="pickup_time_local", dropoff="dropoff_time_local"
+        b.line_trips(spark, sf), b.LINE_ROW_KEYS, pickup="pickup_time_local", dropoff="dropoff_time_local"
     )
     return batch.select(
         "l_orderkey", "l_partkey", "l_linenumber", "pickup_time_local", "dropoff_time_local",
