@@ -544,14 +544,13 @@ ORACLES: dict[str, str] = {
     "schema_contract_report": """WITH n AS (SELECT count(*) AS n FROM lineitem)
         SELECT id AS rule_id, 'schema_contract' AS rule_type, n AS rows_in,
                CASE WHEN hard THEN n ELSE 0 END AS rows_failed, CASE WHEN hard THEN 0 ELSE n END AS rows_passed,
-               hard AS hard_failure, present AS unexpected_columns_present, flagged AS unexpected_columns_flagged,
+               hard AS hard_failure, present AS extra_columns, flagged AS refused_columns,
                why AS reason
         FROM n, (VALUES
-            ('complete', false, '', '', 'all required columns present'),
-            ('extra', false, 'l_partkey', '',
-             'all required columns present; extras (not enforced): [''l_partkey'']'),
-            ('extra_strict', false, 'l_partkey', 'l_partkey', 'unexpected extra columns: [''l_partkey'']'),
-            ('missing', true, '', '', 'missing required columns: [''l_comment'']'))
+            ('complete', false, '', '', 'complete'),
+            ('extra', false, 'l_partkey', '', 'complete; outside the contract: l_partkey'),
+            ('extra_strict', false, 'l_partkey', 'l_partkey', 'outside a strict contract: l_partkey'),
+            ('missing', true, '', '', 'not found: l_comment'))
             AS t(id, hard, present, flagged, why)""",
     "quarantine_rows": f"""WITH {_WATERFALL}
         SELECT 'run-1' AS _run_id, r AS _rule_id, why AS _reject_reason, count(*) AS rows,
