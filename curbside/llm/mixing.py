@@ -115,11 +115,15 @@ def mix(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def mixed(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The mix itself: each row of `docs` as often as it is taken, columns as they were."""
     names = [F.col(f"row.{c}").alias(c) for c in docs.columns]
-    measured = docs.select(
-        "doc_id", "source", F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long").alias("size"),
-        F.struct(*docs.columns).alias("row"),
-    )
-    return (
-        taken_words(quality_weights(measured, labels))
-        .select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select(*names)
+    stored = settle(
+        docs.select(
+            F.struct(*docs.columns).alias("row"),
+            F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long").alias("size"),
+            F.monotonically_increasing_id().alias("at"),
+        ),
+        "mix-rows",
     )
+    # numbers alone decide; texts are moved once, to those numbers
+    measured = stored.select("row.doc_id", "row.source", "size", "at")
+    decided = taken_words(quality_weights(measured, labels)).where("copies > 0").select("at", "copies")
+    return stored.join(decided, "at").select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select(*names)
