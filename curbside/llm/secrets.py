@@ -11,7 +11,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 import zstandard
@@ -29,7 +31,6 @@ KINDS = ("assign", "access", "hex", "novel")
 
 # Candidates of the method: at least this long, with a digit and a letter, this near to a sensitive word.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=~-]{16,}")
-_PART = re.compile(r"[A-Za-z0-9+/_=~-]")
 SENSITIVE = re.compile(r"passw|secret|token|api_?key|credential|bearer|private|auth|akia|pwd", re.IGNORECASE | re.ASCII)
 REACH = 80
 NOVELTY = 0.55  # marginal compressed bytes per character; random hexadecimal costs 0.5, random base64 0.75
@@ -63,23 +64,27 @@ def _order(span: Span) -> tuple[int, int, int]:
     return span[1], KINDS.index(span[0]), span[2]
 
 
+def long_strings(text: str, base: list[Span]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """Places of whole long strings with digits and letters outside the base spans: those at most REACH characters away
+    from a sensitive word, and all others."""
+    near: list[tuple[int, int]] = []
+    far: list[tuple[int, int]] = []
+    starts, ends = [s for _, s, _ in base], list(accumulate((e for _, _, e in base), max))
+    words = SENSITIVE.finditer(text)
+    word = next(words, None)
+    for m in CANDIDATE.finditer(text):
+        start, end = m.span()
+        while word and word.end() + REACH < start:
+            word = next(words, None)  # too far behind for this string and all later ones
+        before = bisect_left(starts, end)
+        if SECRET_SHAPE.match(m.group()) and not (before and ends[before - 1] > start):
+            (near if word and word.start() - REACH <= end else far).append((start, end))
+    return near, far
+
+
 def candidates(text: str, base: list[Span]) -> list[tuple[int, int]]:
     """Places of long strings with digits and letters near a sensitive word and outside the base spans."""
-    out: list[tuple[int, int]] = []
-    reached = 0  # text before this place has been searched
-    for near in SENSITIVE.finditer(text):
-        start, stop = max(reached, near.start() - REACH), near.end() + REACH
-        while reached < start and _PART.match(text[start - 1]):
-            start -= 1  # not into the middle of a string
-        for m in CANDIDATE.finditer(text, start, max(start, stop)):
-            end = m.end()
-            while end < len(text) and _PART.match(text[end]):
-                end += 1
-            reached = max(reached, end)
-            if SECRET_SHAPE.match(text[m.start() : end]) and not any(s < end and m.start() < e for _, s, e in base):
-                out.append((m.start(), end))
-        reached = max(reached, stop)
-    return sorted(set(out))
+    return long_strings(text, base)[0] if SENSITIVE.search(text) else []
 
 
 class Novelty:

@@ -342,3 +342,17 @@ def test_ball_links_chains(spark):
     assert found[signed[3]] == signed[3]
     with pytest.raises(ValueError):
         simhash.fingerprint_links(df, 3)
+
+
+def test_secrets_at_the_end_of_a_window():
+    """A string that begins in the last characters before the end of one word's reach is found whole."""
+    novelty = secrets.Novelty(secrets.CODE_WORDS.encode())
+    key = "Zk3v9QpL0xWm7TbY2cRf8HsJ4uNd6GaE1iKo5"
+    filler = ("river walks under the green letter " * 4)
+    for gap in range(60, 82):
+        for tail in ("", " private"):
+            text = "token " + filler[: gap - 2].ljust(gap - 2, "x") + " " + key + tail
+            at = text.index(key)
+            if at - len("token") <= secrets.REACH or tail:
+                assert secrets.all_spans(text, novelty) == [("novel", at, at + len(key))], (gap, tail)
+    assert secrets.all_spans("token " + "word " * 30 + key, novelty) == []
