@@ -2,9 +2,9 @@
 
 Fixed patterns give the base spans. Further candidates are long unbroken strings near a word that speaks of secrets.
 A candidate's novelty is the number of bytes by which it lengthens a zstandard frame of the text around it, primed with
-code words and with identifiers that the corpus itself repeats: names, paths and copied constants are nearly free, a
-random string costs most of its bits again. Candidates whose marginal bytes per character reach a threshold are
-reported as kind `novel`.
+code words and with identifiers that the corpus repeats away from sensitive words: parts of names and paths are nearly
+free, a random string costs most of its bits again. Candidates that are no identifier themselves and whose marginal
+bytes per character reach a threshold are reported as kind `novel`.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 import hashlib
 import re
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import accumulate
 
 import pandas as pd
@@ -20,6 +20,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from curbside.session import settle
+
 # The base patterns and the least lengths of their matches.
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII
@@ -46,7 +48,9 @@ CODE_WORDS = (
     "xxxxxxxxxxxxxxxxxxxxxxxxxxxxxxxx your_api_key_here your-secret-token changeme"
 )
 IDENTIFIERS = 4096  # identifiers in the dictionary at most
-IDENTIFIER_DOCS = 3  # a string in so many different texts names something; it is no secret of one of them
+IDENTIFIER_DOCS = 3  # a string in so many texts and surroundings away from sensitive words names something
+SURROUND = 32  # characters on either side that tell places of a string apart
+INSIDE, OUTSIDE, LEFT, RIGHT = range(4)  # what an occurrence is evidence of
 
 Span = tuple[str, int, int]
 
@@ -105,9 +109,14 @@ class Novelty:
         return (whole - without) / (end - start)
 
 
-def all_spans(text: str, novelty: Novelty) -> list[Span]:
-    base = base_spans(text)
-    extra = [("novel", a, b) for a, b in candidates(text, base) if novelty.of(text, a, b) >= NOVELTY]
+def all_spans(text: str, novelty: Novelty, known: Iterable[str] = ()) -> list[Span]:
+    """Spans of the patterns, and of the candidates that are new to the dictionary and not among `known` identifiers."""
+    base, known = base_spans(text), frozenset(known)
+    extra = [
+        ("novel", a, b)
+        for a, b in candidates(text, base)
+        if text[a:b] not in known and novelty.of(text, a, b) >= NOVELTY
+    ]
     return sorted([*base, *extra], key=_order)
 
 
@@ -115,29 +124,60 @@ def joined(spans: list[Span]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
-def identifier_dictionary(docs: DataFrame) -> bytes:
-    """Code words and the strings of candidate form that most different texts of the corpus share, commonest last.
+def identifiers(docs: DataFrame) -> tuple[bytes, DataFrame]:
+    """The dictionary, and (digest, known): the strings beside sensitive words that are identifiers, by text.
 
-    Counted over all documents; a text counts once however often it is copied. The dictionary is bounded.
+    Evidence that a string is an identifier comes only from texts that never show it beside a sensitive word: at least
+    IDENTIFIER_DOCS of them, no fewer than those that do, and with as many different surroundings on its left and on its
+    right, so near copies and shared passages count once. Counts are exact and over all documents. The dictionary has
+    the commonest identifiers and only primes; that a string is no secret is looked up in the whole table.
     """
 
     def strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for text in batch["text"]:
-                if text and (found := candidates(text, base_spans(text))):
-                    digest = hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest()
-                    seen = {text[a:b] for a, b in found}
-                    rows += [(s, int.from_bytes(digest, "big", signed=True)) for s in seen]
-            yield pd.DataFrame(rows, columns=["string", "source"])
-
-    shared = (
-        docs.select(F.col("text").cast("string").alias("text")).mapInPandas(strings, "string string, source bigint")
-        .distinct().groupBy("string").count().where(F.col("count") >= IDENTIFIER_DOCS)
-        .orderBy(F.desc("count"), "string").limit(IDENTIFIERS)
+            rows: set[tuple[str, int, int]] = set()
+            for text, digest in zip(batch["text"], batch["digest"]):
+                if not text:
+                    continue
+                near, far = long_strings(text, base_spans(text))
+                secretive = {text[a:b] for a, b in near}
+                rows.update((s, INSIDE, digest) for s in secretive)
+                for a, b in far:
+                    if (s := text[a:b]) not in secretive:
+                        rows.add((s, OUTSIDE, digest))
+                        rows.add((s, LEFT, _hash(text[max(0, a - SURROUND) : a])))
+                        rows.add((s, RIGHT, _hash(text[b : b + SURROUND])))
+            yield pd.DataFrame(sorted(rows), columns=["string", "side", "value"])
+
+    texts = docs.select(F.col("text").cast("string").alias("text")).withColumn("digest", F.xxhash64("text"))
+    evidence = settle(texts.mapInPandas(strings, "string string, side int, value bigint").distinct(), "strings")
+    counts = evidence.groupBy("string").agg(*[F.count_if(F.col("side") == k).alias(f"n{k}") for k in range(4)])
+    least = F.greatest(F.lit(IDENTIFIER_DOCS), f"n{INSIDE}")
+    known = settle(
+        counts.where((F.col(f"n{OUTSIDE}") >= least) & (F.least(f"n{LEFT}", f"n{RIGHT}") >= IDENTIFIER_DOCS))
+        .select("string", F.col(f"n{OUTSIDE}").alias("texts")), "identifiers",
+    )
+    commonest = known.orderBy(F.desc("texts"), "string").limit(IDENTIFIERS)
+    names = [r.string for r in commonest.toLocalIterator()]
+    beside = (
+        evidence.where(F.col("side") == INSIDE).join(known, "string")
+        .groupBy(F.col("value").alias("digest")).agg(F.collect_set("string").alias("known"))
     )
-    names = [r.string for r in shared.toLocalIterator()]
-    return " ".join([*names[::-1], CODE_WORDS]).encode("utf-8", "replace")
+    dictionary = " ".join([*names[::-1], CODE_WORDS]).encode("utf-8", "replace")
+    return dictionary, settle(beside, "beside")
+
+
+def _hash(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
+
+
+def _with_known(docs: DataFrame) -> tuple[bytes, DataFrame]:
+    """The dictionary, and `docs` with the identifiers beside sensitive words of each text as column _known."""
+    dictionary, beside = identifiers(docs)
+    text = F.xxhash64(F.col("text").cast("string"))
+    return dictionary, docs.withColumn("_digest", text).join(
+        beside.select(F.col("digest").alias("_digest"), F.col("known").alias("_known")), "_digest", "left"
+    ).drop("_digest")
 
 
 def find_secrets(docs: DataFrame) -> DataFrame:
@@ -145,15 +185,16 @@ def find_secrets(docs: DataFrame) -> DataFrame:
 
     Null texts count as empty (no span, the digest of nothing); repeated rows stay; other columns are ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(identifier_dictionary(docs))
+    dictionary, docs = _with_known(docs.select("doc_id", "text"))
+    shared = docs.sparkSession.sparkContext.broadcast(dictionary)
 
     @F.pandas_udf("n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string, n_novel bigint")
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def of(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         novelty = Novelty(shared.value)
-        for batch in batches:
+        for texts, known in batches:
             rows = []
-            for text in batch:
-                spans = all_spans(text or "", novelty)
+            for text, names in zip(texts, known):
+                spans = all_spans(text or "", novelty, () if names is None else names)
                 kinds = [k for k, _, _ in spans]
                 base = joined([s for s in spans if s[0] != "novel"])
                 rows.append((
@@ -162,7 +203,7 @@ def find_secrets(docs: DataFrame) -> DataFrame:
                 ))
             yield pd.DataFrame(rows, columns=["n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_novel"])
 
-    return docs.select("doc_id", of(F.col("text").cast("string")).alias("_r")).select("doc_id", "_r.*")
+    return docs.select("doc_id", of(F.col("text").cast("string"), "_known").alias("_r")).select("doc_id", "_r.*")
 
 
 def redacted_text(text: str, spans: list[Span], mark: str = "[SECRET]") -> str:
@@ -179,12 +220,17 @@ def redacted_text(text: str, spans: list[Span], mark: str = "[SECRET]") -> str:
 
 def redact(docs: DataFrame) -> DataFrame:
     """`docs` with the secrets of `text` replaced by [SECRET]; every row stays, null texts stay null."""
-    shared = docs.sparkSession.sparkContext.broadcast(identifier_dictionary(docs))
+    names = docs.columns
+    dictionary, docs = _with_known(docs)
+    shared = docs.sparkSession.sparkContext.broadcast(dictionary)
 
     @F.pandas_udf("string")
-    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def clean(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         novelty = Novelty(shared.value)
-        for batch in batches:
-            yield pd.Series([t and redacted_text(t, all_spans(t, novelty)) for t in batch], dtype=object)
+        for texts, known in batches:
+            yield pd.Series(
+                [t and redacted_text(t, all_spans(t, novelty, () if k is None else k)) for t, k in zip(texts, known)],
+                dtype=object,
+            )
 
-    return docs.withColumn("text", clean(F.col("text").cast("string")))
+    return docs.withColumn("text", clean(F.col("text").cast("string"), "_known")).select(*names)

@@ -356,3 +356,21 @@ def test_secrets_at_the_end_of_a_window():
             if at - len("token") <= secrets.REACH or tail:
                 assert secrets.all_spans(text, novelty) == [("novel", at, at + len(key))], (gap, tail)
     assert secrets.all_spans("token " + "word " * 30 + key, novelty) == []
+
+
+def test_secrets_in_near_copies_and_identifiers(spark, monkeypatch):
+    """Near copies and shared passages hide no credential; identifiers are known however small the dictionary is."""
+    key, name = "Zk3v9QpL0xWm7TbY2cRf8HsJ4uNd6GaE1iKo5", "Build2Qx7Target9VwMirror4Kz8Plugin3Jy"
+    passage = f"the river walks private use {key} for it "
+    copies = [(i, f"letter number {i} of the house. " * 3 + passage + "and the letter ends here " * (1 + i % 3)) for i in range(9)]
+    # a credential that copies also show elsewhere, in one passage without a sensitive word
+    bare = [(10 + i, f"text {i} " * 40 + "open the small green river house with " + key + " and then walk on under it") for i in range(9)]
+    far = [(20 + i, f"page {i}{i} " * 40 + f"{i} see water{i} {name} under{i} the house " + f" {i}end" * 9) for i in range(9)]
+    beside = [(30, f"with this auth we open {name} on the water")]
+    df = spark.createDataFrame(copies + bare + far + beside, "doc_id int, text string").repartition(3)
+    for size in (4096, 0):
+        monkeypatch.setattr(secrets, "IDENTIFIERS", size)
+        got = {r.doc_id: r.n_novel for r in secrets.find_secrets(df).collect()}
+        assert got == {i: int(i < 9) for i, _ in copies + bare + far + beside}
+        cleaned = {r.doc_id: r.text for r in secrets.redact(df).collect()}
+        assert all(key not in cleaned[i] for i, _ in copies) and name in cleaned[30]
