@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbside.llm import byte_bpe, compression, fixity, lm, mixing, multi_index, outliers, ppm, secrets, simhash
+from curbside.llm import byte_bpe, compression, fixity, lm, mixing, multi_index, outliers, ppm, secrets, simhash, whitening
 from curbside.llm.common import table
 from curbside.llm.oracles import ORACLES  # noqa: F401
 
@@ -55,6 +55,10 @@ def op10_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -68,5 +72,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_simhash,
         op9_warc_fixity,
         op10_multi_index,
+        op11_whitening,
     )
 }
