@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbside.llm import byte_bpe, compression, fixity, lm, main_text, mixing, multi_index, outliers, ppm, secrets, simhash, whitening
+from curbside.llm import (
+    byte_bpe,
+    collocations,
+    compression,
+    fixity,
+    lm,
+    main_text,
+    mixing,
+    multi_index,
+    outliers,
+    ppm,
+    secrets,
+    simhash,
+    whitening,
+)
 from curbside.llm.common import table
 from curbside.llm.oracles import ORACLES  # noqa: F401
 
@@ -59,6 +73,10 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.extract(table(spark, sf_dir, "pages"))
 
@@ -77,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_warc_fixity,
         op10_multi_index,
         op11_whitening,
+        op12_collocations,
         op13_main_text,
     )
 }
