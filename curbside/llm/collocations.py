@@ -27,7 +27,7 @@ LONGEST = 4  # words of a candidate; how shards name phrases depends on it
 NESTED = (4, 5)  # a candidate goes if a longer one around it has 4/5 of its occurrences
 TOP = 2000  # of each language
 UNKNOWN = "und"
-SHARD_TOKENS = 1 << 21  # words of a shard, about
+SHARD_TOKENS = 1 << 18  # words of a shard, about; its index takes some 150 bytes a word
 _PLACES = 32  # bits of a place inside a shard
 
 

@@ -26,8 +26,10 @@ def suffix_ranks(text: np.ndarray) -> np.ndarray:
     key = key[order]
     first = np.concatenate([[True], key[1:] != key[:-1]])
     start = np.maximum.accumulate(np.where(first, np.arange(n), 0))
-    rank = np.empty(n, dtype=np.int64)
+    del key
+    rank = np.empty(n, dtype=np.int32)
     rank[order] = start  # the first row of all suffixes alike so far
+    del start
     alone = first & np.concatenate([first[1:], [True]])
     todo, depth = order[~alone], 2
     while len(todo):  # suffixes alike in `depth` symbols have no end in them: there is a symbol at that distance
@@ -51,8 +53,8 @@ class _Side:
     def __init__(self, text: np.ndarray):
         rank = suffix_ranks(text)
         before = np.concatenate([[len(text) - 1], np.arange(len(text) - 1)])
-        self.bwt = np.empty(len(text), dtype=np.int64)
-        self.longer = np.empty(len(text), dtype=np.int64)
+        self.bwt = np.empty(len(text), dtype=np.int32)
+        self.longer = np.empty(len(text), dtype=np.int32)
         self.bwt[rank], self.longer[rank] = text[before], rank[before]
 
 
@@ -92,7 +94,7 @@ class BidirectionalIndex:
 
     def _step(self, side: _Side, lows: np.ndarray, other_lows: np.ndarray, counts: np.ndarray):
         offsets = np.cumsum(counts) - counts
-        rows = np.repeat(lows - offsets, counts) + np.arange(int(counts.sum()))
+        rows = np.repeat((lows - offsets).astype(np.int32), counts) + np.arange(int(counts.sum()), dtype=np.int32)
         key = np.repeat(np.arange(len(counts)) * self.symbols, counts) + side.bwt[rows]
         order = np.argsort(key, kind="stable")
         key = key[order]

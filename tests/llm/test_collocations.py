@@ -55,7 +55,7 @@ def prose(rng, n):
     return " ".join(out)
 
 
-@pytest.mark.parametrize("shard_tokens", [1 << 21, 700])
+@pytest.mark.parametrize("shard_tokens", [1 << 18, 700])
 def test_against_counting(spark, monkeypatch, shard_tokens):
     monkeypatch.setattr(collocations, "SHARD_TOKENS", shard_tokens)
     rng = random.Random(7)
