@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
@@ -19,11 +20,19 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 def is_broadcastable(
     df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> bool:
-    """Measure a side before it is hinted: one pass, one row back to the driver."""
-    width = sum(
-        (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + F.lit(8) for c in df.columns),
-        F.lit(0),
-    )
+    """Measure a side before it is hinted: one pass, one row back to the driver.
+
+    Columns of fixed width count by their type; only texts, bytes and nested values are measured.
+    """
+    fixed, measured = 0, []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            measured.append(F.octet_length(F.col(f"`{f.name}`")))
+        elif isinstance(f.dataType, (ArrayType, MapType, StructType)):
+            measured.append(F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`")))))
+        else:
+            fixed += 8
+    width = sum((F.coalesce(m, F.lit(0)) + F.lit(8) for m in measured), F.lit(fixed))
     size = df.agg(F.count("*").alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
     return size["rows"] <= max_rows and size["bytes"] <= max_bytes
 

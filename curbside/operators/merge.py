@@ -8,59 +8,63 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
-FILTER_BITS = 1 << 24  # of the filter that cuts a merge's target to keys the updates may have
+from curbside.operators.key_filter import KeyFilter
 
+def key_bounds(updates: DataFrame, keys: Sequence[str]) -> tuple[int, dict[str, tuple]]:
+    """Number of rows of the updates, and (least, greatest, any null) of their numeric and time keys; one row's worth.
 
-def _within_key_range(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keep the target rows whose numeric and time keys lie in the updates' range.
-
-    The bounds reach the Parquet scan, so files that cannot match are not read. They travel as
-    text, which keeps wall-clock times independent of the driver's time zone.
+    Bounds travel as text, which keeps wall-clock times independent of the driver's time zone.
     """
     simple = (NumericType, DateType, TimestampType, TimestampNTZType)
     usable = [k for k in keys if isinstance(updates.schema[k].dataType, simple)]
-    if not usable:
-        return target
-    stats = []
-    for k in usable:
+    stats = [F.count("*").alias("n")]
+    for i, k in enumerate(usable):
         stats += [
-            F.min(k).cast("string").alias(f"lo_{k}"),
-            F.max(k).cast("string").alias(f"hi_{k}"),
-            F.max(F.col(k).isNull()).alias(f"null_{k}"),
+            F.min(k).cast("string").alias(f"lo{i}"),
+            F.max(k).cast("string").alias(f"hi{i}"),
+            F.max(F.col(k).isNull()).alias(f"null{i}"),
         ]
-    bounds = updates.agg(*stats).first()
-    for k in usable:
+    found = updates.agg(*stats).first()
+    return found.n, {k: (found[f"lo{i}"], found[f"hi{i}"], found[f"null{i}"]) for i, k in enumerate(usable)}
+
+
+def within(target: DataFrame, bounds: dict[str, tuple]) -> DataFrame:
+    """Keep the target rows whose keys lie in the bounds. These reach the Parquet scan, so files that cannot match are
+    not read."""
+    for k, (low, high, has_null) in bounds.items():
         kind = target.schema[k].dataType
-        test = F.col(k).between(F.lit(bounds[f"lo_{k}"]).cast(kind), F.lit(bounds[f"hi_{k}"]).cast(kind))
-        target = target.where(test | F.col(k).isNull() if bounds[f"null_{k}"] else test)
+        test = F.col(k).between(F.lit(low).cast(kind), F.lit(high).cast(kind))
+        target = target.where(test | F.col(k).isNull() if has_null else test)
     return target
 
 
-def _known_keys(target: DataFrame, keyed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Distinct keys of the target that the updates may have too.
+def within_key_range(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """`within` the bounds of the updates."""
+    return within(target, key_bounds(updates, keys)[1])
+
+
+def _known_keys(target: DataFrame, keyed: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
+    """Distinct keys of the target that the `n` updates may have too.
 
-    The updates' keys are hashed into a table of bits, which is broadcast: it has FILTER_BITS / 64 rows at most, however
-    many the updates are. Only target keys whose bit is set are shuffled, few of them more than the updates have.
+    A filter sized by the number of updates cuts the target's keys before they are shuffled; few pass that the updates
+    do not have.
     """
-    cell = F.pmod(F.xxhash64("_key"), F.lit(FILTER_BITS))
-    word, bit = F.floor(cell / 64).cast("int"), (cell % 64).cast("int")
-    bits = keyed.groupBy(word.alias("_word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("_bits"))
     found = target.select(F.struct(*keys).alias("_key"))
-    possible = found.withColumns({"_w": word, "_bit": bit}).join(F.broadcast(bits), F.col("_w") == F.col("_word"))
     # Struct equality treats NULL fields as equal, and grouping by the struct leaves the rows partitioned as the join
     # needs them.
-    return possible.where(F.getbit("_bits", F.col("_bit")) == 1).select("_key").distinct()
+    return KeyFilter(keyed, n).cut(found, F.col("_key")).select("_key").distinct()
 
 
 def new_rows(updates: DataFrame, target: DataFrame, keys: Sequence[str], prune: bool = True) -> DataFrame:
     """The update rows without a match on all keys (NULL equals NULL).
 
-    With `prune` the updates are read twice, first for their key bounds.
+    The updates are read twice, first for their number and key bounds; with `prune` the bounds cut the target.
     """
+    n, bounds = key_bounds(updates, keys)
     if prune:
-        target = _within_key_range(target, updates, keys)
+        target = within(target, bounds)
     keyed = updates.withColumn("_key", F.struct(*keys))
-    return keyed.join(_known_keys(target, keyed, keys), "_key", "left_anti").drop("_key")
+    return keyed.join(_known_keys(target, keyed, keys, n), "_key", "left_anti").drop("_key")
 
 
 def merged(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -73,8 +77,9 @@ def merge_stats(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> D
 
     The updates are tagged by one join and counted by one aggregate; the target's row count comes from its footers.
     """
+    n, bounds = key_bounds(updates, keys)
     keyed = updates.withColumn("_key", F.struct(*keys))
-    known = _known_keys(_within_key_range(target, updates, keys), keyed, keys).withColumn("_known", F.lit(True))
+    known = _known_keys(within(target, bounds), keyed, keys, n).withColumn("_known", F.lit(True))
     counted = keyed.join(known, "_key", "left").agg(
         F.count("*").alias("update_rows_considered"), F.count_if(F.col("_known").isNull()).alias("inserted")
     )

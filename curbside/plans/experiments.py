@@ -62,7 +62,7 @@ def compare(first: Callable[[], object], second: Callable[[], object], names: tu
 
 
 def caching(trips: DataFrame, labels: DataFrame, buckets: DataFrame) -> dict:
-    """The six questions on the stored table and on a cached one."""
+    """The six questions on the stored table and on a cached one; filling the cache is timed by itself."""
 
     def run() -> dict:
         return {n: fingerprint(df) for n, df in demand.six_questions(trips, labels, buckets).items()}
@@ -70,10 +70,11 @@ def caching(trips: DataFrame, labels: DataFrame, buckets: DataFrame) -> dict:
     seconds, plain = timed(run)
     trips.cache()
     try:
+        fill_seconds, _ = timed(trips.count)
         cached_seconds, cached = timed(run)
     finally:
         trips.unpersist()
-    return {"uncached_s": seconds, "cached_s": cached_seconds, "same_result": plain == cached}
+    return {"uncached_s": seconds, "fill_s": fill_seconds, "cached_s": cached_seconds, "same_result": plain == cached}
 
 
 def pruning(trips: DataFrame, start: str, end: str) -> dict:

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbside.functions.names import snake_case_columns
@@ -24,7 +24,7 @@ from curbside.operators.rules import (
     rejected,
     with_reference,
 )
-from curbside.plans.ingest import integrate_changes, integrated_table
+from curbside.plans.ingest import SOURCES, integrate_pending, integrated_table
 from curbside.plans.monitoring import RULE_LOG, RUN_LOG
 from curbside.session import discard, fresh_folder, settle_at
 from curbside.sources.readers import conform, read_dataset
@@ -66,15 +66,24 @@ def load_references(spark: SparkSession, root: str, spec: DatasetSpec) -> dict[s
     return {name: table.read() if table.exists() else None for name, table in tables.items()}
 
 
+def rejects_table(spark: SparkSession, root: str, dataset: str) -> VersionedTable:
+    return VersionedTable(spark, root, f"rejects_{dataset}", partition_by=["_run_id"])
+
+
+def rejects_of_run(table: VersionedTable, run_id: str) -> DataFrame:
+    return table.read().where(F.col("_run_id") == run_id)
+
+
 def quarantine(spark: SparkSession, root: str, dataset: str, rejects: DataFrame, run_id: str) -> int:
     """Append rejects with run id and time; returns their number. Nothing is written for none.
 
-    Rejects of a run that are stored already, as when a stream sends its batch again, are not stored twice.
+    Rejects are stored by run id. Those of a run that are stored already, as when a stream sends its batch again, are not
+    stored twice; asking for them reads the footers of that run's folder only.
     """
     if rejects.isEmpty():
         return 0
-    table = VersionedTable(spark, root, f"rejects_{dataset}")
-    if table.exists() and (stored := table.read().where(F.col("_run_id") == run_id).count()):
+    table = rejects_table(spark, root, dataset)
+    if table.exists() and (stored := rejects_of_run(table, run_id).count()):
         return stored
     stamped = rejects.withColumns({"_run_id": F.lit(run_id), "_rejected_at": F.current_timestamp()})
     return table.append(stamped).added_rows
@@ -86,9 +95,7 @@ def align_types(updates: DataFrame, target: DataFrame) -> DataFrame:
     return updates.select(*[F.col(c).cast(known[c]) if c in known else F.col(c) for c in updates.columns])
 
 
-def merge_batch(
-    spark: SparkSession, root: str, spec: DatasetSpec, updates: DataFrame
-) -> tuple[VersionedTable, Row, dict]:
+def merge_batch(spark: SparkSession, root: str, spec: DatasetSpec, updates: DataFrame) -> dict:
     """Insert the rows with new keys as one batch; columns the table lacks are added to it.
 
     `updates` is read twice (key bounds, then the join), so it should be a stored frame.
@@ -99,7 +106,7 @@ def merge_batch(
     after = table.append(new_rows(align_types(updates, target), target, spec.keys), op="merge")
     first = before if before.version == 0 else table.require(0)
     major = spec.schema_version.split(".")[0]
-    return table, after, {
+    return {
         "rows_before": before.n_rows,
         "rows_after": after.n_rows,
         "inserted": after.added_rows,
@@ -117,17 +124,20 @@ def apply_update(
     run_id: str | None = None,
     options: UpdateOptions = UpdateOptions(),
 ) -> dict:
-    """Apply one batch to one dataset, integrate what it inserted, and return its report."""
-    report, inserted = merge_update(spark, root, spec, batch, run_id, options)
-    if inserted is not None and options.integrate:
-        _integrate(spark, root, {spec.name: inserted})
+    """Apply one batch to one dataset, integrate whatever is merged and not integrated yet, and return its report.
+
+    A call that dies can be repeated, with the same run id or another: what it merged is not inserted twice, and what it
+    left unintegrated is pending, as `integrate_pending` finds from the tables.
+    """
+    report = merge_update(spark, root, spec, batch, run_id, options)
+    if options.integrate:
+        _integrate(spark, root, [spec.name])
     return report
 
 
-def _integrate(spark: SparkSession, root: str, inserted: Mapping[str, DataFrame]) -> None:
-    inserted = {n: rows for n, rows in inserted.items() if n in ("taxi_trips", "weather", "air_quality")}
-    if inserted and integrated_table(spark, root).exists():
-        integrate_changes(spark, root, inserted)
+def _integrate(spark: SparkSession, root: str, names: Iterable[str]) -> None:
+    if not set(SOURCES).isdisjoint(names) and integrated_table(spark, root).exists():
+        integrate_pending(spark, root)
 
 
 def merge_update(
@@ -137,8 +147,8 @@ def merge_update(
     batch: DataFrame,
     run_id: str | None = None,
     options: UpdateOptions = UpdateOptions(),
-) -> tuple[dict, DataFrame | None]:
-    """Validate and merge one batch; its report, and the rows it inserted, None for none.
+) -> dict:
+    """Validate and merge one batch; its report.
 
     A run id that the rule log has already, as a stream sends after a failure, is not logged again.
     """
@@ -177,7 +187,7 @@ def merge_update(
             report["hard_failure_reason"] = schema_check.reason
             report["rejected_invalid_records"] = schema_check.rows_in
 
-    folder, inserted = fresh_folder(spark, f"tagged-{spec.name}"), None
+    folder = fresh_folder(spark, f"tagged-{spec.name}")
     replayed = _is_logged(spark, root, run_id, spec.name)
     if not report["hard_failure"]:
         updates, considered = conform(df, spec), None
@@ -196,11 +206,8 @@ def merge_update(
             updates = passed(tagged)
             considered = metrics[-1].rows_passed if metrics else None
         report["update_rows_considered"] = updates.count() if considered is None else considered
-        table, commit, merge = merge_batch(spark, root, spec, updates)
-        report |= merge
+        report |= merge_batch(spark, root, spec, updates)
         report["duplicates_ignored_vs_target"] = report["update_rows_considered"] - report["inserted"]
-        if report["inserted"]:
-            inserted = table.added_rows(commit)
         discard(spark, folder)
 
     failures = report["rejected_invalid_records"] + report["intra_file_duplicate_records"]
@@ -211,7 +218,7 @@ def merge_update(
     if options.monitor and not replayed:
         log_run(spark, root, report)
         log_rules(spark, root, report, rule_rows)
-    return report, inserted
+    return report
 
 
 def _is_logged(spark: SparkSession, root: str, run_id: str, dataset: str) -> bool:
@@ -263,15 +270,12 @@ def run_updates(
     if unknown:
         raise ValueError(f"Unknown datasets: {unknown}. Available: {sorted(specs)}")
     run_id = str(uuid.uuid4())
-    reports, inserted = [], {}
+    reports = []
     for name, batch in batches.items():
         frame = read_dataset(spark, specs[name], batch) if isinstance(batch, str) else batch
-        report, rows = merge_update(spark, root, specs[name], frame, run_id, options)
-        reports.append(report)
-        if rows is not None:
-            inserted[name] = rows
+        reports.append(merge_update(spark, root, specs[name], frame, run_id, options))
     if options.integrate:
-        _integrate(spark, root, inserted)
+        _integrate(spark, root, batches)
     names = [part.split(" ")[0] for part in RUN_REPORT.split(", ")]
     rows = [tuple(r[n] for n in names) for r in reports]
     append_rows(spark, f"{root}/_run_report", rows, RUN_REPORT)

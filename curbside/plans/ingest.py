@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from curbside.operators.clean import clean
@@ -20,11 +20,13 @@ from curbside.operators.joins import (
     hourly_weather,
     map_region_codes,
 )
+from curbside.operators.merge import within_key_range
+from curbside.session import settle
 from curbside.sources.layout import with_pickup_date
 from curbside.sources.lookups import register_view
 from curbside.sources.readers import conform, read_dataset, require_columns
 from curbside.sources.spec import MOBILITY, DatasetSpec
-from curbside.sources.tables import VersionedTable, append_rows
+from curbside.sources.tables import VersionedTable, append_rows, read_if_exists
 
 INTEGRATED = "integrated_taxi_trips"
 INGESTION_LOG = (
@@ -46,10 +48,11 @@ def ingest(spark: SparkSession, root: str, spec: DatasetSpec, paths: str | Seque
     """Write one cleaned table; returns its ingestion-log row."""
     started = time.time()
     table = VersionedTable(spark, root, spec.name)
-    seen = Observation(f"raw-{spec.name}")
-    raw = read_dataset(spark, spec, paths).observe(seen, F.count(F.lit(1)).alias("rows"))
+    raw = read_dataset(spark, spec, paths)
     rows_kept = table.overwrite(_cleaned(raw, spec)).added_rows
-    rows_in = seen.get["rows"]  # counted while the table was written
+    # counted by itself, which for Parquet reads footers only: a count observed during the write would count the rows of
+    # a repeated task twice
+    rows_in = raw.count()
     return (
         spec.name,
         rows_in,
@@ -93,44 +96,103 @@ def register_tables(spark: SparkSession, root: str, cache: bool = False) -> list
     return [table.name for table in found]
 
 
-def _base(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return VersionedTable(spark, root, name).read()
+# What the integrated table has taken in: the batches of each dataset, as of a number that grows.
+INTEGRATION_STATE = "number bigint, dataset string, batches array<int>, integrated_at timestamp"
+SOURCES = ("taxi_trips", "taxi_zone", "weather", "air_quality")
+
+
+def _state_path(root: str) -> str:
+    return f"{root.rstrip('/')}/_integration_state"
+
+
+def _taken_in(spark: SparkSession, root: str) -> tuple[int, dict[str, list[int]]]:
+    """Number of the last integration, and the batches of each dataset it had taken in; none before the first."""
+    state = read_if_exists(spark, _state_path(root), INTEGRATION_STATE)
+    last = state.agg(F.max("number")).first()[0]
+    if last is None:
+        return -1, {}
+    return last, {r.dataset: list(r.batches) for r in state.where(F.col("number") == last).collect()}  # a row a dataset
+
+
+def _note_integration(spark: SparkSession, root: str, number: int, commits: Mapping[str, Row]) -> None:
+    """Written after the integrated table: a run that dies in between is taken for one that integrated nothing."""
+    now = datetime.now(timezone.utc)
+    rows = [(number, name, list(commit.batches), now) for name, commit in commits.items()]
+    append_rows(spark, _state_path(root), rows, INTEGRATION_STATE)
+
+
+def _commits(spark: SparkSession, root: str) -> dict[str, Row]:
+    return {name: VersionedTable(spark, root, name).require() for name in SOURCES}
 
 
 def integrate_tables(spark: SparkSession, root: str) -> Row:
     """Build the integrated table from the cleaned tables."""
-    frame = integrate(*[_base(spark, root, n) for n in ("taxi_trips", "taxi_zone", "weather", "air_quality")])
-    return integrated_table(spark, root).overwrite(frame)
+    number, commits = _taken_in(spark, root)[0] + 1, _commits(spark, root)
+    frame = integrate(*[VersionedTable(spark, root, name).rows_of(commits[name]) for name in SOURCES])
+    done = integrated_table(spark, root).overwrite(frame)
+    _note_integration(spark, root, number, commits)
+    return done
 
 
-def integrate_changes(spark: SparkSession, root: str, inserted: Mapping[str, DataFrame]) -> Row | None:
-    """Bring the integrated table up to date with the rows that updates have inserted, by dataset.
+def touched_days(trips: DataFrame, new: Mapping[str, DataFrame]) -> DataFrame:
+    """(pickup_date): the days of trips that new rows of the datasets bear on.
 
-    To be called once all datasets are merged, so that their order does not matter. New trips are integrated and
-    appended. Where new weather or air rows fall into hours of trips, the days of these trips are integrated anew;
-    the table's other days are carried over as they are, which rewrites the table once for a late delivery.
+    Those of new trips; those of trips in an hour of new weather or air rows; those of trips that begin or end in a new
+    zone. `trips` are all trips of the table, the new ones included.
     """
-    table = integrated_table(spark, root)
-    zones, weather, air = (_base(spark, root, n) for n in ("taxi_zone", "weather", "air_quality"))
-    trips = with_pickup_date(_base(spark, root, "taxi_trips"))
-    observed = [inserted[n].select("time_utc") for n in ("weather", "air_quality") if n in inserted]
-    days: list[str] = []
+    dated = with_pickup_date(trips)
+    days = [with_pickup_date(new["taxi_trips"]).select("pickup_date")] if "taxi_trips" in new else []
+    observed = [new[n].select("time_utc") for n in ("weather", "air_quality") if n in new]
     if observed:
-        hours = reduce(DataFrame.union, observed).distinct()
-        touched = trips.join(hours, "time_utc", "left_semi").select("pickup_date").distinct()
-        days = [row.pickup_date for row in touched.orderBy("pickup_date").toLocalIterator()]  # one value per day
-    new = with_pickup_date(inserted["taxi_trips"]) if "taxi_trips" in inserted else None
-    if not days:
-        return None if new is None else table.append(integrate(new.drop("pickup_date"), zones, weather, air))
-    again = trips.where(F.col("pickup_date").isin(days))
-    parts = [again] if new is None else [again, new.where(~F.coalesce(F.col("pickup_date").isin(days), F.lit(False)))]
-    fresh = integrate(reduce(_by_name, parts).drop("pickup_date"), zones, weather, air)
-    kept = table.read().where(~F.coalesce(F.col("pickup_date").isin(days), F.lit(False)))
-    return table.overwrite(_by_name(kept, fresh))
-
-
-def _by_name(a: DataFrame, b: DataFrame) -> DataFrame:
-    return a.unionByName(b, allowMissingColumns=True)
+        hours = settle(reduce(DataFrame.union, observed).distinct(), "hours")
+        inside = within_key_range(dated, hours, ["time_utc"])  # only these hours' row groups are read
+        days.append(inside.join(hours, "time_utc", "left_semi").select("pickup_date"))
+    if "taxi_zone" in new:
+        ends = dated.select("pickup_date", F.explode(F.array("pu_location_id", "do_location_id")).alias("location_id"))
+        zones = new["taxi_zone"].select("location_id").distinct()
+        days.append(ends.join(zones, "location_id", "left_semi").select("pickup_date"))
+    return reduce(DataFrame.union, days).distinct()
+
+
+def integrate_pending(spark: SparkSession, root: str) -> Row | None:
+    """Bring the integrated table up to date with all that was merged since it was written, by whatever run.
+
+    What is pending follows from the tables: batches that the integrated table has not noted. So a run that died after
+    its merge leaves nothing behind but work for the next one. The days that new rows bear on are integrated anew from
+    the cleaned tables and replaced as a whole, so doing it twice does no harm; folders of other days are not touched.
+    A table that lost batches (an overwrite, a restore) has the whole integrated table built anew.
+    """
+    number, taken = _taken_in(spark, root)
+    commits = _commits(spark, root)
+    if any(set(taken.get(name, [-1])) - set(commit.batches) for name, commit in commits.items()):
+        return integrate_tables(spark, root)
+    tables = {name: VersionedTable(spark, root, name) for name in SOURCES}
+    fresh = {name: [b for b in commit.batches if b not in taken[name]] for name, commit in commits.items()}
+    new = {name: tables[name].rows_of(commits[name], batches) for name, batches in fresh.items() if batches}
+    if not new:
+        return None
+    frames = {name: tables[name].rows_of(commits[name]) for name in SOURCES}
+    days = [r.pickup_date for r in touched_days(frames["taxi_trips"], new).toLocalIterator()]  # a value a day
+    done = None
+    if days:
+        trips = _of_days(frames["taxi_trips"], days)
+        again = integrate(trips, *[frames[name] for name in SOURCES[1:]])
+        done = integrated_table(spark, root).replace(again, days)
+    _note_integration(spark, root, number + 1, commits)
+    return done
+
+
+def _of_days(trips: DataFrame, days: Sequence[str | None]) -> DataFrame:
+    """The trips of some local days; the range of days reaches the scan."""
+    known = sorted(day for day in days if day is not None)
+    start = F.col("pickup_time_local")
+    test = F.lit(False)
+    if known:
+        until = F.lit(known[-1]).cast("date") + F.expr("INTERVAL 1 DAY")
+        kind = trips.schema["pickup_time_local"].dataType
+        test = (start >= F.lit(known[0]).cast(kind)) & (start < until.cast(kind))
+        test = test & F.date_format(start, "yyyy-MM-dd").isin(known)
+    return trips.where(test | start.isNull() if None in days else test)
 
 
 def build_from_raw(spark: SparkSession, paths: Mapping[str, str | Sequence[str]]) -> DataFrame:

@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
+from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbside.functions.bands import band_of
 from curbside.functions.timekeys import minutes_between, weekday_name
-from curbside.operators.profile import group_profile
+from curbside.operators.profile import added_parts, group_profile, profile_of, profile_parts
 from curbside.plans.demand import PM25
-from curbside.sources.tables import VersionedTable
+from curbside.plans.ingest import integrated_table
+from curbside.sources.layout import one_of, spread_for, write_partitioned
+from curbside.sources.tables import VersionedTable, append_rows, read_if_exists
 
 
 def _hour() -> Column:
@@ -26,23 +30,40 @@ def _minutes() -> Column:
     return minutes_between("pickup_time_local", "dropoff_time_local")
 
 
-def zone_stats(trips: DataFrame) -> DataFrame:
-    profile = group_profile(
-        trips,
-        "pickup_zone",
-        modes={
-            "most_common_dropoff_zone": F.col("dropoff_zone"),
-            "busiest_hour": _hour(),
-            "busiest_week_day": _weekday(),
-        },
-        means={
-            "distance": F.col("trip_distance"),
-            "duration": _minutes(),
-            "fare": F.col("fare_amount"),
+@dataclass(frozen=True)
+class Product:
+    """A profile of trips by group, and how it is published.
+
+    `breakdowns` gives the modes, means and distinct counts; columns are made when they are needed.
+    """
+
+    group: str
+    breakdowns: Callable[[], dict[str, dict[str, Column]]]
+    publish: Callable[[DataFrame], DataFrame]
+    prepare: Callable[[DataFrame], DataFrame] = lambda trips: trips
+
+    def __call__(self, trips: DataFrame) -> DataFrame:
+        return self.publish(group_profile(self.prepare(trips), self.group, **self.breakdowns()))
+
+    def parts(self, trips: DataFrame) -> DataFrame:
+        """What the trips of each day add to the product."""
+        return profile_parts(self.prepare(trips), self.group, **self.breakdowns(), by="pickup_date", exact=True)
+
+    def from_parts(self, parts: DataFrame) -> DataFrame:
+        names = {kind: list(columns) for kind, columns in self.breakdowns().items()}
+        return self.publish(profile_of(added_parts(parts, self.group), self.group, **names))
+
+
+zone_stats = Product(
+    "pickup_zone",
+    lambda: {
+        "modes": {
+            "most_common_dropoff_zone": F.col("dropoff_zone"), "busiest_hour": _hour(), "busiest_week_day": _weekday(),
         },
-        distincts={"days": F.col("pickup_date")},
-    )
-    return profile.select(
+        "means": {"distance": F.col("trip_distance"), "duration": _minutes(), "fare": F.col("fare_amount")},
+        "distincts": {"days": F.col("pickup_date")},
+    },
+    lambda profile: profile.select(
         "pickup_zone",
         "trips",
         F.round(F.col("trips") / F.col("days"), 2).alias("avg_trip_per_day"),
@@ -52,42 +73,40 @@ def zone_stats(trips: DataFrame) -> DataFrame:
         "most_common_dropoff_zone",
         "busiest_hour",
         "busiest_week_day",
-    ).orderBy(F.desc("trips"))
-
-
-def band_impact_summary(trips: DataFrame) -> DataFrame:
-    banded = trips.withColumn("air_quality_category", band_of(F.col(PM25)))
-    profile = group_profile(
-        banded,
-        "air_quality_category",
-        modes={"most_common_hour": _hour()},
-        means={"distance": F.col("trip_distance")},
-        distincts={"total_hours": F.col("time_utc")},
-    )
-    return profile.select(
+    ).orderBy(F.desc("trips")),
+)
+
+band_impact_summary = Product(
+    "air_quality_category",
+    lambda: {
+        "modes": {"most_common_hour": _hour()},
+        "means": {"distance": F.col("trip_distance")},
+        "distincts": {"total_hours": F.col("time_utc")},
+    },
+    lambda profile: profile.select(
         "air_quality_category",
         "trips",
         "total_hours",
         F.round(F.col("trips") / F.col("total_hours"), 2).alias("avg_trips_per_hour"),
         F.round("distance", 2).alias("avg_trip_distance"),
         "most_common_hour",
-    ).orderBy(F.desc("avg_trips_per_hour"))
-
-
-def borough_summary(trips: DataFrame) -> DataFrame:
-    profile = group_profile(
-        trips,
-        "pickup_borough",
-        modes={
+    ).orderBy(F.desc("avg_trips_per_hour")),
+    lambda trips: trips.withColumn("air_quality_category", band_of(F.col(PM25))),
+)
+
+borough_summary = Product(
+    "pickup_borough",
+    lambda: {
+        "modes": {
             "most_common_dropoff_borough": F.col("dropoff_borough"),
             "most_common_pickup_zone": F.col("pickup_zone"),
             "most_common_dropoff_zone": F.col("dropoff_zone"),
             "most_common_hour": _hour(),
             "busiest_week_day": _weekday(),
         },
-        means={"passengers": F.col("passenger_count")},
-    )
-    return profile.select(
+        "means": {"passengers": F.col("passenger_count")},
+    },
+    lambda profile: profile.select(
         "pickup_borough",
         "trips",
         "most_common_dropoff_borough",
@@ -97,27 +116,27 @@ def borough_summary(trips: DataFrame) -> DataFrame:
         "most_common_hour",
         F.round("passengers", 2).alias("avg_passenger_count_per_trip"),
         "busiest_week_day",
-    ).orderBy(F.desc("trips"))
-
-
-def weekday_summary(trips: DataFrame) -> DataFrame:
-    profile = group_profile(
-        trips.withColumn("week_day", _weekday()),
-        "week_day",
-        modes={"busiest_hour": _hour(), "most_common_pickup_zone": F.col("pickup_zone")},
-        means={"fare": F.col("fare_amount"), "duration": _minutes()},
-    )
-    return profile.select(
+    ).orderBy(F.desc("trips")),
+)
+
+weekday_summary = Product(
+    "week_day",
+    lambda: {
+        "modes": {"busiest_hour": _hour(), "most_common_pickup_zone": F.col("pickup_zone")},
+        "means": {"fare": F.col("fare_amount"), "duration": _minutes()},
+    },
+    lambda profile: profile.select(
         "week_day",
         "trips",
         "busiest_hour",
         "most_common_pickup_zone",
         F.round("fare", 2).alias("avg_fare_amount"),
         F.round("duration", 2).alias("avg_trip_duration"),
-    ).orderBy(F.desc("trips"))
-
+    ).orderBy(F.desc("trips")),
+    lambda trips: trips.withColumn("week_day", _weekday()),
+)
 
-PRODUCTS: Mapping[str, Callable[[DataFrame], DataFrame]] = {
+PRODUCTS: Mapping[str, Product] = {
     "taxi_zone_stats": zone_stats,
     "air_quality_impact_summary": band_impact_summary,
     "borough_mobility_summary": borough_summary,
@@ -189,20 +208,71 @@ def dependency_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "table_name string, dataset string")
 
 
+# Which version of the integrated table a product's parts follow.
+PART_STATE = "table_name string, version int, noted_at timestamp"
+
+
+def _parts_path(root: str, name: str) -> str:
+    return f"{root.rstrip('/')}/_parts/{name}"
+
+
+def _parts_version(spark: SparkSession, root: str, name: str) -> int | None:
+    state = read_if_exists(spark, f"{root.rstrip('/')}/_parts_state", PART_STATE).where(F.col("table_name") == name)
+    return state.agg(F.max_by("version", "noted_at")).first()[0]
+
+
+def _changed_days(spark: SparkSession, root: str, name: str, version: int) -> list | None:
+    """Days of the integrated table that a product's parts lack or have as they were; None: all."""
+    noted = _parts_version(spark, root, name)
+    if noted is None or noted > version:
+        return None
+    return integrated_table(spark, root).replaced_since(noted)
+
+
+def _renew_parts(spark: SparkSession, root: str, name: str, trips: DataFrame, days: list | None) -> DataFrame:
+    """The parts of a product by day; those of `days` are written anew from their trips, of all days for None.
+
+    Parts are plain Parquet folders of days, overwritten one by one: repeating it after a failure does no harm.
+    """
+    path, product = _parts_path(root, name), PRODUCTS[name]
+    if days is None:
+        write_partitioned(product.parts(trips), path, ["pickup_date"])
+    elif days:
+        some = trips.where(one_of("pickup_date", days))
+        fresh = spread_for(product.parts(some), ["pickup_date"]).write.mode("overwrite").partitionBy("pickup_date")
+        fresh.option("partitionOverwriteMode", "dynamic").parquet(path)
+    return spark.read.schema(product.parts(trips).schema).parquet(path)
+
+
 def build_products(
     spark: SparkSession,
     root: str,
-    trips: DataFrame,
+    trips: DataFrame | None = None,
     names: Iterable[str] = tuple(PRODUCTS),
     source: str = "integrated_taxi_trips",
     schema_version: str = "1.0",
+    changed_only: bool = False,
 ) -> list[str]:
-    """Write the named products as new table versions and renew their metadata."""
+    """Write the named products as new table versions and renew their metadata.
+
+    A product is added up from parts, one set per day. Without `trips` they are those of the integrated table, and with
+    `changed_only` its trips are read only for the days that changed since the product was built.
+    """
     names = list(names)
     if not names:
         return names
+    version = None
+    if trips is None:
+        table = integrated_table(spark, root)
+        commit = table.require()
+        trips, version = table.rows_of(commit), commit.version
     for name in names:
-        VersionedTable(spark, root, name).overwrite(PRODUCTS[name](trips))
+        days = _changed_days(spark, root, name, version) if changed_only and version is not None else None
+        parts = _renew_parts(spark, root, name, trips, days)
+        VersionedTable(spark, root, name).overwrite(PRODUCTS[name].from_parts(parts))
+    now = datetime.now(timezone.utc)
+    noted = [(name, version, now) for name in names]  # no version: the parts are of other trips and serve nobody else
+    append_rows(spark, f"{root.rstrip('/')}/_parts_state", noted, PART_STATE)
     rows = [(name, source, schema_version) for name in names]
     refreshed = spark.createDataFrame(rows, "table_name string, data_source string, schema_version string")
     refreshed = refreshed.withColumn("refresh_at", F.current_timestamp())
@@ -222,9 +292,16 @@ def read_metadata(spark: SparkSession, root: str) -> DataFrame:
 
 
 def refresh_products(
-    spark: SparkSession, root: str, trips: DataFrame, changes: DataFrame
+    spark: SparkSession, root: str, trips: DataFrame | None = None, changes: DataFrame | None = None
 ) -> list[str]:
-    """Rebuild the stale products only; returns their names (at most one per product)."""
+    """Renew the stale products only; returns their names (at most one per product).
+
+    `changes` has (dataset, inserted, executed_at) of the last run. Without `trips` the integrated table is meant, and of
+    it only the days that changed are read. A frame of the caller's is read whole.
+    """
+    if changes is None:
+        raise ValueError("changes of a run are needed")
     plan = refresh_plan(dependency_table(spark), changes, read_metadata(spark, root))
     stale = {row.table_name for row in plan.where("needs_refresh").select("table_name").collect()}
-    return build_products(spark, root, trips, [name for name in PRODUCTS if name in stale])
+    names = [name for name in PRODUCTS if name in stale]
+    return build_products(spark, root, trips, names, changed_only=True)

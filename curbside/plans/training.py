@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import re
 import time
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbside.operators.features import (
@@ -20,7 +23,7 @@ from curbside.operators.features import (
     require_few_values,
     with_split_name,
 )
-from curbside.plans.ingest import integrated_table
+from curbside.plans.ingest import build_from_raw, integrated_table
 from curbside.session import fresh_folder, settle
 from curbside.sources.tables import append_rows
 
@@ -37,7 +40,7 @@ REGISTRY = (
 )
 
 
-def _split(
+def split_rows(
     df: DataFrame, target: str, features: Sequence[str], weights: Sequence[float], seed: int,
     keys: Sequence[str] | None,
 ) -> list[DataFrame]:
@@ -80,7 +83,7 @@ def training_data(
     Preprocessing is fitted on the training rows alone and applied to all three.
     """
     weights = [train_ratio, validation_ratio, 1.0 - train_ratio - validation_ratio]
-    parts = _split(df, target, (*categorical, *numeric, *dates), weights, seed, keys)
+    parts = split_rows(df, target, (*categorical, *numeric, *dates), weights, seed, keys)
     require_few_values(parts[0], categorical, MAX_BINS)
     model = Pipeline(stages=feature_stages(categorical, numeric, dates)).fit(parts[0])
     train, validation, test = (model.transform(p).select(target, "features") for p in parts)
@@ -121,7 +124,7 @@ def fit_and_score(
     keys: Sequence[str] | None = None,
 ) -> tuple[PipelineModel, DataFrame, DataFrame]:
     """Fit preprocessing and model on 80 %; the other 20 % come back scored, with their metrics."""
-    train, test = _split(df, target, (*categorical, *numeric, *dates), SPLIT, seed, keys)
+    train, test = split_rows(df, target, (*categorical, *numeric, *dates), SPLIT, seed, keys)
     require_few_values(train, categorical, max_bins)
     stages = [*feature_stages(categorical, numeric, dates), gbt(target, max_iter, max_bins, seed)]
     model = Pipeline(stages=stages).fit(train)
@@ -165,6 +168,59 @@ def train_on_version(
     return path, metrics
 
 
+def tree_prediction(model: GBTRegressionModel, features: str | Column = "features") -> Column:
+    """The prediction of boosted trees as a column expression over the feature vector.
+
+    With it rows are scored in generated code, and a scored table needs no model object. The trees are read from the
+    model's own description, which prints thresholds and leaves exactly.
+    """
+    values = vector_to_array(F.col(features) if isinstance(features, str) else features)
+    trees = [_tree_column(tree.toDebugString.splitlines()[1:], values) for tree in model.trees]
+    return reduce(Column.__add__, [F.lit(float(w)) * t for w, t in zip(model.treeWeights, trees)])
+
+
+_QUESTION = re.compile(r"\s*(?:If|Else) \(feature (\d+) (<=|>|in|not in) (.*)\)\s*")
+
+
+def _tree_column(lines: list[str], values: Column) -> Column:
+    """A tree from its description: `If (question)`, the branch below it, `Else (...)`, the other branch."""
+    remaining = iter(lines)
+
+    def node() -> Column:
+        line = next(remaining)
+        if "Predict:" in line:
+            return F.lit(float(line.split("Predict:")[1]))
+        feature, relation, operand = _QUESTION.fullmatch(line).groups()
+        value = F.get(values, F.lit(int(feature)))
+        if relation == "<=":
+            test = value <= F.lit(float(operand))
+        else:
+            test = value.isin([float(v) for v in operand.strip("{}").split(",")])
+            test = ~test if relation == "not in" else test
+        yes = node()
+        next(remaining)  # the Else line says the opposite
+        return F.when(test, yes).otherwise(node())
+
+    return node()
+
+
+def scored_by_columns(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """`df` with the prediction of a fitted pipeline whose last stage are boosted trees."""
+    prepared = PipelineModel(model.stages[:-1]).transform(df)
+    return prepared.withColumn("prediction", tree_prediction(model.stages[-1]))
+
+
+def raw_and_platform(spark: SparkSession, root: str, paths: Mapping[str, str | Sequence[str]], **settings) -> list[dict]:
+    """The same model from raw files, read, cleaned and joined for it, and from the stored integrated table."""
+    return compare_inputs(
+        {
+            "raw": lambda: build_from_raw(spark, paths),
+            "platform": lambda: integrated_table(spark, root).read(),
+        },
+        **settings,
+    )
+
+
 def compare_inputs(builders: dict, **settings) -> list[dict]:
     """Preparation time, training time and metrics for each way to obtain the same data."""
     results = []

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -21,6 +21,13 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], mod
     spread_for(df, partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
+def one_of(column: str, values: Sequence[str | None]) -> Column:
+    """True or false, never null: whether a partition column has one of the values, null being a value."""
+    known = [v for v in values if v is not None]
+    test = F.coalesce(F.col(column).isin(known), F.lit(False)) if known else F.lit(False)
+    return test | F.col(column).isNull() if None in values else test
+
+
 def with_pickup_date(df: DataFrame) -> DataFrame:
     """Local date as text, the partition column of the integrated table."""
     return df.withColumn("pickup_date", F.date_format("pickup_time_local", "yyyy-MM-dd"))

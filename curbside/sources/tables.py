@@ -3,6 +3,9 @@
 `<root>/<table>/_batch=<n>/` holds one immutable batch; `<root>/_commits/` holds one small row per
 version that lists the batches it consists of. Readers name the batches they want, so an older
 version stays readable after any later write. One writer per table; no concurrency is claimed.
+
+A table partitioned by one column can have some of its values replaced: the new batch holds these values whole, the
+commit names them, and what older batches have of them is pruned as partitions when the table is read.
 """
 
 from __future__ import annotations
@@ -14,11 +17,12 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from curbside.sources.layout import spread_for
+from curbside.sources.layout import one_of, spread_for
 
 COMMITS = (
     "table_name string, version int, op string, batches array<int>, columns array<string>, "
-    "column_types array<string>, n_rows bigint, added_rows bigint, next_batch int, committed_at timestamp"
+    "column_types array<string>, n_rows bigint, added_rows bigint, next_batch int, committed_at timestamp, "
+    "replaced array<string>"
 )
 _COMMIT_FIELDS = [part.split(" ")[0] for part in COMMITS.split(", ")]
 
@@ -70,8 +74,24 @@ class VersionedTable:
         """Some batches of a commit, all by default, under the commit's schema."""
         schema = StructType.fromDDL(", ".join(f"`{c}` {t}" for c, t in zip(commit.columns, commit.column_types)))
         paths = [f"{self.path}/_batch={n}" for n in (commit.batches if batches is None else batches)]
-        reader = self.spark.read.schema(schema).option("basePath", self.path)
-        return reader.parquet(*paths).select(*commit.columns)
+        stored = self.spark.read.schema(schema).option("basePath", self.path).parquet(*paths)
+        for batch, values in self._replaced(commit):
+            stored = stored.where((F.col("_batch").cast("int") >= batch) | ~one_of(self.partition_by[0], values))
+        return stored.select(*commit.columns)
+
+    def _replaced(self, commit: Row) -> list[tuple[int, list]]:
+        """(batch, values it replaced), as far as the commit has the batch."""
+        if len(self.partition_by) != 1:
+            return []
+        found = self.history().where("replaced IS NOT NULL").select(F.element_at("batches", -1).alias("b"), "replaced").collect()
+        return [(r.b, list(r.replaced)) for r in found if r.b in commit.batches]
+
+    def replaced_since(self, version: int) -> list | None:
+        """Partition values that later versions replaced; None if one of them changed the table in another way."""
+        later = self.history().where(F.col("version") > version).select("replaced").collect()
+        if any(r.replaced is None for r in later):
+            return None
+        return sorted({v for r in later for v in r.replaced}, key=lambda v: (v is not None, v))
 
     def added_rows(self, commit: Row) -> DataFrame:
         """The rows of the batch an append or merge wrote."""
@@ -86,12 +106,20 @@ class VersionedTable:
         """Add a batch. New columns join the schema; a changed type is refused."""
         return self._write(df, op, self.commit(), keep=True)
 
+    def replace(self, df: DataFrame, values: Sequence[str | None]) -> Row:
+        """A batch that holds all rows of some partition values; only their folders are written."""
+        last = self.require()
+        old = self.rows_of(last).where(one_of(self.partition_by[0], values))
+        return self._write(df, "replace", last, keep=True, replaced=list(values), gone=old.count())
+
     def restore(self, version: int) -> Row:
         """A new version made of an older version's batches; no data is rewritten."""
         old = self.require(version)
         return self._log("restore", self.require(), old.batches, old.columns, old.column_types, old.n_rows, 0)
 
-    def _write(self, df: DataFrame, op: str, last: Row | None, keep: bool) -> Row:
+    def _write(
+        self, df: DataFrame, op: str, last: Row | None, keep: bool, replaced: list | None = None, gone: int = 0
+    ) -> Row:
         known = last if keep else None
         schema = dict(zip(known.columns, known.column_types)) if known else {}
         incoming = {f.name: f.dataType.simpleString() for f in df.schema.fields}
@@ -108,13 +136,15 @@ class VersionedTable:
             df.write.mode("overwrite").parquet(target)
         written = self.spark.read.schema(df.schema).parquet(target).count()  # from the file footers
         batches = [*(known.batches if known else []), batch]
-        n_rows = written + (known.n_rows if known else 0)
-        return self._log(op, last, batches, list(schema), list(schema.values()), n_rows, written, batch + 1)
+        n_rows = written + (known.n_rows if known else 0) - gone
+        return self._log(op, last, batches, list(schema), list(schema.values()), n_rows, written, batch + 1, replaced)
 
-    def _log(self, op, last, batches, columns, types, n_rows, added, next_batch=None) -> Row:
+    def _log(self, op, last, batches, columns, types, n_rows, added, next_batch=None, replaced=None) -> Row:
         version = 0 if last is None else last.version + 1
         next_batch = last.next_batch if next_batch is None else next_batch
-        values = (self.name, version, op, list(batches), list(columns), list(types), n_rows, added, next_batch, None)
+        values = (
+            self.name, version, op, list(batches), list(columns), list(types), n_rows, added, next_batch, None, replaced
+        )
         row = self.spark.createDataFrame([values], COMMITS).withColumn("committed_at", F.current_timestamp())
         row.coalesce(1).write.mode("append").parquet(f"{self.root}/_commits")
         return Row(*_COMMIT_FIELDS)(*values)

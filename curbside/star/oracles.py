@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
-from curbside.functions.hashing import KEY_MULTIPLIER, PRIME, ROUNDS
-from curbside.operators import generate
-from curbside.star import bindings as b
-from curbside.star import queries as q
+import zlib
 
 # Fixed values, written out a second time so that a wrong one in the code under test shows.
+# Hashing of keys to uniform numbers.
+PRIME, KEY_MULTIPLIER = 2147483647, 48271
+ROUNDS = ((625341585, 69621), (1540483477, 40692), (461845907, 16807))
+# Generated updates.
+UPDATE_SEED = 20260923
+NEW_FRACTION, DUPLICATE_FRACTION = 0.07, 0.015
+FARE_JITTER, DISTANCE_JITTER, PASSENGER_CHANGE = 0.05, 0.10, 0.20
+LAST_ROWS, OFFSET_HOURS, REPLAYED, REPLAY_HOURS = 168, 24, 50, 168
+# Roles of the star schema.
+REGIONS = (("AFRICA", "36", "005"), ("AMERICA", "36", "047"), ("ASIA", "36", "061"), ("EUROPE", "34", "013"))
+MONTHS = ("1996-01-01", "1996-04-01")
+ROW_KEYS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+BASE_UNTIL, UPDATE_FROM = "2000-01-01", "1999-07-01"
+# Bands of particles.
 PM25_MISSING, PM25_ABOVE = "Unknown", "Hazardous"
 PM25_BANDS = (
     (9.0, "Good"),
@@ -95,7 +106,7 @@ _ZONES = """zone AS (
     LEFT JOIN region ON n_regionkey = r_regionkey)"""
 
 _CODE = {
-    column: f"CASE {{0}} {' '.join(f'''WHEN '{row[0]}' THEN '{row[i]}' ''' for row in b.REGIONS)} END"
+    column: f"CASE {{0}} {' '.join(f'''WHEN '{row[0]}' THEN '{row[i]}' ''' for row in REGIONS)} END"
     for i, column in ((1, "state_code"), (2, "county_code"))
 }
 
@@ -177,8 +188,8 @@ def _first_lines(where: str = "true") -> str:
 
 _LINE_OK = "l_quantity >= 2 AND l_quantity <= 45 AND l_discount <= 0.09::DOUBLE"
 
-_BASE_UPDATE = f"""base AS ({_first_lines(f"l_shipdate < TIMESTAMP '{b.BASE_UNTIL}'")}),
-upd AS ({_first_lines(f"l_shipdate >= TIMESTAMP '{b.UPDATE_FROM}'")})"""
+_BASE_UPDATE = f"""base AS ({_first_lines(f"l_shipdate < TIMESTAMP '{BASE_UNTIL}'")}),
+upd AS ({_first_lines(f"l_shipdate >= TIMESTAMP '{UPDATE_FROM}'")})"""
 
 
 def _unmatched(update: str) -> str:
@@ -257,34 +268,34 @@ _RULE_LOG = """log AS (
 
 _PRICED = "priced AS (SELECT * FROM lineitem LEFT JOIN part ON l_partkey = p_partkey)"
 
-_SAMPLE_KEYS = b.LINE_ROW_KEYS
-_S = generate.SEED
+_SAMPLE_KEYS = ROW_KEYS
+_S = UPDATE_SEED
 
 
 def _u(stream: str) -> str:
-    return _uniform(generate.stream_seed(_S, stream), *_SAMPLE_KEYS)
+    return _uniform(_S + zlib.crc32(stream.encode()), *_SAMPLE_KEYS)
 
 
 _UPDATE = f"""bounds AS (
-    SELECT date_sub('second', min(pickup_time_local) FILTER ({_u('new')} < {generate.NEW_FRACTION}),
+    SELECT date_sub('second', min(pickup_time_local) FILTER ({_u('new')} < {NEW_FRACTION}),
                     max(pickup_time_local)) + 1 AS shift_s,
            CAST(floor(date_sub('second', min(pickup_time_local), max(pickup_time_local))
-                      * {generate.NEW_FRACTION}::DOUBLE) AS BIGINT) AS window_s
+                      * {NEW_FRACTION}::DOUBLE) AS BIGINT) AS window_s
     FROM trip),
 moved AS (
     SELECT trip.*, shift_s + CAST(floor({_u('delay')} * window_s) AS BIGINT) AS by_s
-    FROM trip, bounds WHERE {_u('new')} < {generate.NEW_FRACTION})
+    FROM trip, bounds WHERE {_u('new')} < {NEW_FRACTION})
 SELECT l_orderkey, l_partkey, l_linenumber, pickup_time_local + to_seconds(by_s) AS pickup_time_local,
        dropoff_time_local + to_seconds(by_s) AS dropoff_time_local,
-       round(fare_amount * (({_u('fare')} * 2 - 1) * {generate.FARE_JITTER}::DOUBLE + 1), 4) AS fare_amount,
-       round(trip_distance * (({_u('distance')} * 2 - 1) * {generate.DISTANCE_JITTER}::DOUBLE + 1), 6) AS trip_distance,
-       CAST(greatest(1, passenger_count + CASE WHEN {_u('passengers')} < {generate.PASSENGER_JITTER_PROBABILITY}
+       round(fare_amount * (({_u('fare')} * 2 - 1) * {FARE_JITTER}::DOUBLE + 1), 4) AS fare_amount,
+       round(trip_distance * (({_u('distance')} * 2 - 1) * {DISTANCE_JITTER}::DOUBLE + 1), 6) AS trip_distance,
+       CAST(greatest(1, passenger_count + CASE WHEN {_u('passengers')} < {PASSENGER_CHANGE}
             THEN CASE WHEN {_u('direction')} < 0.5 THEN -1 ELSE 1 END ELSE 0 END) AS INTEGER) AS passenger_count
 FROM moved
 UNION ALL
 SELECT l_orderkey, l_partkey, l_linenumber, pickup_time_local, dropoff_time_local, round(fare_amount, 4),
        round(trip_distance, 6), passenger_count
-FROM trip WHERE {_u('copy')} < {generate.DUPLICATE_FRACTION}"""
+FROM trip WHERE {_u('copy')} < {DUPLICATE_FRACTION}"""
 
 
 def _stats(parts: list[tuple[str, str]], source: str, target: str) -> str:
@@ -427,11 +438,11 @@ ORACLES: dict[str, str] = {
                         count(*) AS trips FROM trip GROUP BY 1, 2)) WHERE rank <= 3"""
     ),
     "monthly_trends": _months(
-        _TRENDS.format(f"pickup_date >= '{b.MONTHS[0]}' AND pickup_date < '{b.MONTHS[1]}'")
+        _TRENDS.format(f"pickup_date >= '{MONTHS[0]}' AND pickup_date < '{MONTHS[1]}'")
     ),
     "monthly_trends_unpruned": _months(
         _TRENDS.format(
-            f"pickup_time_local >= TIMESTAMP '{b.MONTHS[0]}' AND pickup_time_local < TIMESTAMP '{b.MONTHS[1]}'"
+            f"pickup_time_local >= TIMESTAMP '{MONTHS[0]}' AND pickup_time_local < TIMESTAMP '{MONTHS[1]}'"
         )
     ),
     "group_mode": _months(
@@ -507,21 +518,21 @@ ORACLES: dict[str, str] = {
         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS nth FROM events)
         WHERE nth = 1""",
     "last_n_rows": f"""SELECT * FROM events
-        ORDER BY date_trunc('hour', ts) DESC, event_id DESC LIMIT {q.LAST_ROWS}""",
+        ORDER BY date_trunc('hour', ts) DESC, event_id DESC LIMIT {LAST_ROWS}""",
     # update generation
     "expand_offsets": f"""SELECT user_id, event_id, offset_h, new_ts, sample, {_aqi('sample')} AS aqi FROM (
         SELECT user_id, event_id, offset_h, ts + to_hours(CAST(offset_h AS INTEGER)) AS new_ts,
                greatest(0.0::DOUBLE, round(value + ({_uniform(_S, 'user_id', 'offset_h')} * 6.0::DOUBLE - 3.0::DOUBLE), 1)) AS sample
         FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS nth FROM events),
-             range(1, {q.OFFSET_HOURS + 1}) AS o(offset_h)
+             range(1, {OFFSET_HOURS + 1}) AS o(offset_h)
         WHERE nth = 1)""",
     "replay_templates": f"""WITH template AS (
             SELECT *, row_number() OVER (ORDER BY ts DESC, event_id) - 1 AS k, max(ts) OVER () AS newest,
                    count(*) OVER () AS n
-            FROM (SELECT * FROM events ORDER BY ts DESC, event_id LIMIT {q.REPLAYED}))
+            FROM (SELECT * FROM events ORDER BY ts DESC, event_id LIMIT {REPLAYED}))
         SELECT offset_h, event_id, newest + to_hours(CAST(offset_h AS INTEGER)) AS new_ts,
                round(value + ({_uniform(_S, 'offset_h')} * 3.0::DOUBLE - 1.5::DOUBLE), 2) AS value
-        FROM range(1, {q.REPLAY_HOURS + 1}) AS o(offset_h) JOIN template ON (offset_h - 1) % n = k""",
+        FROM range(1, {REPLAY_HOURS + 1}) AS o(offset_h) JOIN template ON (offset_h - 1) % n = k""",
     # rules
     "rule_not_null": _outcome("l_orderkey IS NULL OR l_linenumber IS NULL OR c_name IS NULL"),
     "rule_range": _outcome("NOT (l_quantity IS NULL OR (l_quantity >= 2 AND l_quantity <= 45))"),
@@ -565,7 +576,7 @@ ORACLES: dict[str, str] = {
         SELECT rows_before, rows_before + inserted AS rows_after, considered AS update_rows_considered, inserted,
                considered - inserted AS duplicates_ignored_vs_target FROM n""",
     "incremental_update": f"""WITH {_BASE_UPDATE},
-        batch AS (SELECT *, {_LINE_OK} AS in_range FROM lineitem WHERE l_shipdate >= TIMESTAMP '{b.UPDATE_FROM}'),
+        batch AS (SELECT *, {_LINE_OK} AS in_range FROM lineitem WHERE l_shipdate >= TIMESTAMP '{UPDATE_FROM}'),
         numbered AS (SELECT *, {_NTH} AS nth FROM batch WHERE in_range),
         valid AS (SELECT * FROM numbered WHERE nth = 1 AND l_returnflag IN ('A', 'R')),
         fresh AS (SELECT * FROM valid WHERE {_unmatched('valid')}),
@@ -592,6 +603,24 @@ ORACLES: dict[str, str] = {
             FROM placed LEFT JOIN weather ON time_utc = weather.hour LEFT JOIN name ON pickup_borough = region
             LEFT JOIN mean ON mean.state = name.state AND mean.county = name.county AND mean.hour = time_utc)
         SELECT CAST(0 AS INTEGER) AS run, * FROM whole UNION ALL SELECT 1, * FROM whole""",
+    "product_refresh": f"""WITH {_EVENT_TRIPS},
+        name AS (SELECT * FROM (VALUES ('AFRICA', '36', '005'), ('AMERICA', '36', '047'), ('ASIA', '36', '061'),
+                                       ('EUROPE', '34', '013')) AS t(region, state, county)),
+        mean AS (SELECT state, county, date_trunc('hour', ts) AS hour, avg(value) AS pm25
+                 FROM events JOIN zone ON user_id = location_id JOIN name ON borough = region GROUP BY 1, 2, 3),
+        banded AS (
+            SELECT placed.*, dayname(pickup_time_local) AS week_day, CASE WHEN pm25 IS NULL THEN 'Unknown' WHEN pm25 <= 9 THEN 'Good'
+                WHEN pm25 <= 35.4 THEN 'Moderate' WHEN pm25 <= 55.4 THEN 'Unhealthy for Sensitive' WHEN pm25 <= 125.4 THEN 'Unhealthy'
+                WHEN pm25 <= 225.4 THEN 'Very Unhealthy' ELSE 'Hazardous' END AS band
+            FROM placed LEFT JOIN name ON pickup_borough = region
+            LEFT JOIN mean ON mean.state = name.state AND mean.county = name.county AND mean.hour = time_utc)
+        SELECT 'weekday' AS product, week_day AS name, count(*) AS trips, CAST(any_value(h.v) AS INTEGER) AS busiest_hour,
+            any_value(z.v) AS most_common_pickup_zone, round(avg(fare_amount), 2) AS average, CAST(NULL AS BIGINT) AS total_hours
+        FROM banded LEFT JOIN {_mode('week_day', 'hour(pickup_time_local)', 'banded')} h ON week_day = h.g
+        LEFT JOIN {_mode('week_day', 'pickup_zone', 'banded')} z ON week_day = z.g GROUP BY week_day
+        UNION ALL
+        SELECT 'band', band, count(*), CAST(any_value(h.v) AS INTEGER), NULL, round(avg(trip_distance), 2), count(DISTINCT time_utc)
+        FROM banded LEFT JOIN {_mode('band', 'hour(pickup_time_local)', 'banded')} h ON band = h.g GROUP BY band""",
     # monitoring
     "latest_run": """SELECT l_orderkey AS run_id, o_orderdate AS started_at, l_linenumber AS step,
         l_quantity AS inserted FROM lineitem JOIN orders ON l_orderkey = o_orderkey
@@ -637,11 +666,11 @@ ORACLES: dict[str, str] = {
         CAST(month(ts) AS INTEGER) AS pickup_time_local_month FROM events""",
     "training_split": f"""SELECT l_orderkey, l_partkey, l_linenumber,
         CASE WHEN u < 0.7 THEN 'train' WHEN u < 0.85 THEN 'validation' ELSE 'test' END AS split
-        FROM (SELECT *, {_uniform(42, *b.LINE_ROW_KEYS)} AS u FROM lineitem)""",
+        FROM (SELECT *, {_uniform(42, *ROW_KEYS)} AS u FROM lineitem)""",
     "impute_median": """SELECT count(*) AS rows, count(*) FILTER (l_discount = 0) AS filled, CAST(0 AS BIGINT) AS changed,
         true AS is_median FROM lineitem""",
     "gbt_predict": f"""SELECT l_orderkey, l_partkey, l_linenumber, l_extendedprice, true AS beats_mean
-        FROM (SELECT *, {_uniform(42, *b.LINE_ROW_KEYS)} AS u FROM lineitem) WHERE u >= 0.8""",
+        FROM (SELECT *, {_uniform(42, *ROW_KEYS)} AS u FROM lineitem) WHERE u >= 0.8""",
     "scale_numeric": """SELECT l_orderkey, l_partkey, l_linenumber,
         round(l_quantity / (SELECT stddev_samp(l_quantity) FROM lineitem), 6) AS quantity_scaled,
         round(l_discount / (SELECT stddev_samp(l_discount) FROM lineitem), 6) AS discount_scaled FROM lineitem""",
@@ -655,7 +684,7 @@ ORACLES: dict[str, str] = {
         FROM priced JOIN t ON priced.p_type = t.p_type JOIN f ON priced.l_returnflag = f.l_returnflag
         GROUP BY 1, 3""",
     "training_set": f"""WITH {_PRICED},
-        drawn AS (SELECT * REPLACE (nullif(l_discount, 0) AS l_discount), {_uniform(42, *b.LINE_ROW_KEYS)} AS u FROM priced),
+        drawn AS (SELECT * REPLACE (nullif(l_discount, 0) AS l_discount), {_uniform(42, *ROW_KEYS)} AS u FROM priced),
         median AS (SELECT quantile_disc(l_discount, 0.5) AS m FROM drawn WHERE u < 0.7),
         split AS (SELECT * REPLACE (coalesce(l_discount, (SELECT m FROM median)) AS l_discount),
                          CASE WHEN u < 0.7 THEN 'train' WHEN u < 0.85 THEN 'validation' ELSE 'test' END AS split FROM drawn),

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from curbside.operators.clean import clean, clean_counts, exclude_codes, in_range
+from curbside.operators import features
 from curbside.operators.dedup import keep_first, mark_duplicates
 from curbside.operators.joins import (
     attach_zones,
@@ -15,6 +16,7 @@ from curbside.operators.joins import (
     is_broadcastable,
     map_region_codes,
 )
+from curbside.operators.key_filter import MOST_KEYS, MOST_WORDS, KeyFilter
 from curbside.operators.merge import merge_stats, merged, new_rows
 from curbside.operators.ordered import last_n, latest_per_key, previous_value
 from curbside.operators.profile import group_profile
@@ -245,3 +247,55 @@ def test_air_update_skips_unreadable_dates(spark):
     )
     new = air_update(raw, hours=2)
     assert rows(new.select("site_num", "date_gmt", "time_gmt")) == [(1, "2024-01-05", "16:00"), (1, "2024-01-05", "17:00")]
+
+
+def test_key_filter_lets_all_its_keys_and_few_others_pass(spark):
+    """50 million keys, far more than a fixed table of 2^24 bits could tell apart."""
+    keys = spark.range(0, 100_000_000, 2).select(F.struct("id").alias("_key"))
+    key_filter = KeyFilter(keys, 50_000_000)
+    assert key_filter.words == MOST_WORDS and not key_filter.open
+    asked = spark.range(40_000_000, 40_400_000).select("id", F.struct("id").alias("_key"))
+    passed_ = key_filter.cut(asked, F.col("_key")).select((F.col("id") % 2).alias("odd")).groupBy("odd").count().collect()
+    counts = {r.odd: r["count"] for r in passed_}
+    assert counts[0] == 200_000 and counts.get(1, 0) < 12_000
+
+
+def test_key_filter_edges(spark):
+    rows_ = spark.createDataFrame([(1, None), (None, "a"), (None, None), (2, "b")], "a int, b string")
+    keyed = rows_.where("a IS NULL").select(F.struct("a", "b").alias("_key"))
+    tagged = KeyFilter(keyed, 2).tag(rows_, F.struct("a", "b"), "maybe")
+    assert tagged.where("a IS NULL AND NOT maybe").isEmpty() and tagged.count() == 4
+    assert KeyFilter(keyed, MOST_KEYS + 1).cut(rows_, F.struct("a", "b")).count() == 4
+    assert KeyFilter(keyed.limit(0), 0).cut(rows_, F.struct("a", "b")).count() == 0
+
+
+def test_rows_of_single_keys_are_not_shuffled(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(3000).selectExpr("id", "if(id < 60, id div 3, id) AS k", "repeat('x', 50) AS wide").write.parquet(path)
+    df = spark.read.parquet(path)
+    marked = mark_duplicates(df, ["k"])
+    assert marked.where("_duplicate").count() == 40 and marked.count() == 3000
+    plan = plan_text(marked)
+    assert "Union" in plan and "BroadcastHashJoin" in plan
+    # rows that reach the ranking: those of repeated keys, and few others
+    suspects = marked.where("_duplicate").select("k").distinct().count()
+    assert suspects == 20
+    assert mark_duplicates(df.where("id >= 60"), ["k"]).where("_duplicate").isEmpty()
+
+
+def test_category_index_equals_the_fitted_one(spark):
+    values = ["b"] * 5 + ["a"] * 5 + ["c"] * 9 + [None] * 3 + ["d"]
+    df = spark.createDataFrame([(v, i % 3) for i, v in enumerate(values)], "name string, number int").repartition(4)
+    ours = features.category_index(df, ("name", "number"))
+    theirs = features.indexer(("name", "number")).fit(df).transform(df)
+    assert sorted(map(str, ours.select(*theirs.columns).collect())) == sorted(map(str, theirs.collect()))
+    assert features.category_index(df.limit(0), ("name",)).collect() == []
+
+
+def test_category_index_of_a_million_values(spark):
+    df = spark.range(1_000_000).select(F.concat(F.lit("v"), F.lpad(F.col("id").cast("string"), 7, "0")).alias("name"))
+    out = features.category_index(df.union(df.where("name = 'v0500000'")), ("name",))
+    found = out.agg(F.count_distinct("name_index"), F.min("name_index"), F.max("name_index")).first()
+    assert tuple(found) == (1_000_000, 0.0, 999_999.0)
+    assert out.where("name = 'v0500000'").first().name_index == 0.0
+    assert out.where("name = 'v0499999'").first().name_index == 500_000.0

@@ -18,7 +18,7 @@ from curbside.operators.features import (
     with_split_name,
 )
 from curbside.operators.generate import trip_update
-from curbside.plans import experiments, training
+from curbside.plans import experiments, incremental, training
 from curbside.plans.ingest import integrated_table
 from curbside.sources.lookups import condition_buckets, condition_labels
 
@@ -157,3 +157,36 @@ def test_experiments_agree(spark, root, trips):
     layouts = experiments.layouts(spark, trips)
     assert layouts["monthly"]["files"] >= 3 and layouts["flat"]["megabytes"] >= 0
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+
+
+def test_trees_as_columns_predict_like_the_model(trips):
+    train, test = training.split_rows(
+        trips, "fare_amount", (*training.FEATURES_CATEGORICAL, *training.FEATURES_NUMERIC, *training.FEATURES_DATE),
+        training.SPLIT, training.SEED, ["id"],
+    )
+    stages = [*training.feature_stages(), training.gbt(max_iter=5)]
+    model = training.Pipeline(stages=stages).fit(train)
+    ours = training.scored_by_columns(model, test).select("id", "prediction").collect()
+    theirs = {r.id: r.prediction for r in model.transform(test).select("id", "prediction").collect()}
+    assert len(ours) == len(theirs) > 50 and len(set(theirs.values())) > 5
+    for r in ours:
+        assert r.prediction == pytest.approx(theirs[r.id], rel=1e-12)
+
+
+def test_raw_files_and_platform_train_the_same_model(spark, platform, raw_paths):
+    settings = {"categorical": ("vendor_id",), "numeric": ("trip_distance",), "dates": ("pickup_time_local",)}
+    keys = ["pickup_time_local", "pu_location_id", "fare_amount"]
+    raw, stored = training.raw_and_platform(spark, platform, raw_paths, max_iter=1, keys=keys, **settings)
+    assert (raw["input"], stored["input"]) == ("raw", "platform")
+    assert raw["rows"] == stored["rows"] == 6 and raw["rmse"] == stored["rmse"]
+
+
+def test_rejects_are_read_by_run(spark, root):
+    for run in ("r1", "r2"):
+        incremental.quarantine(spark, root, "lines", spark.range(3).withColumn("_rule_id", F.lit("x")), run)
+    table = incremental.rejects_table(spark, root, "lines")
+    found = incremental.rejects_of_run(table, "r2")
+    assert found.count() == 3 and table.read().count() == 6
+    plan = experiments.plan_text(found)
+    assert any("PartitionFilters" in line and "r2" in line for line in plan.splitlines())
+    assert incremental.quarantine(spark, root, "lines", spark.range(9), "r1") == 3
