@@ -222,6 +222,24 @@ def encoded(text: Column, path: str | None = None) -> Column:
     return of(text)
 
 
+def encoded_and_restored(text: Column, path: str | None = None) -> Column:
+    """Column of (token_ids, restored): the ids, and whether they decode to the text's bytes again. Null texts are empty."""
+    path = path or default_path()
+
+    @F.pandas_udf("token_ids array<int>, restored boolean")
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        bpe = load(path)
+        for batch in batches:
+            texts = [t or "" for t in batch]
+            ids = bpe.encode(texts)
+            yield pd.DataFrame({
+                "token_ids": [np.frombuffer(b, dtype="<i4") for b in ids],
+                "restored": [bpe.decode(b) == t.encode("utf-8", "replace") for t, b in zip(texts, ids)],
+            })
+
+    return of(text)
+
+
 def decoded(ids: Column, path: str | None = None) -> Column:
     """Column of bytes (binary) that a column of token ids stands for; null stays null."""
     path = path or default_path()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,14 @@ def remainder(doc_id: str | Column, modulus: int) -> Column:
     return F.crc32(column.cast("string")) % modulus
 
 
+def unused(name: str, columns: Iterable[str]) -> str:
+    """`name`, lengthened until it is none of the columns; Spark's names ignore case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 

@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curbside.llm.common import remainder
+from curbside.llm.common import remainder, unused
 
 WINDOW = 128
 LEVEL = 12
@@ -171,6 +171,11 @@ def quality(docs: DataFrame, labels: DataFrame, modulus: int = 3, held: int = 1)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, modulus: int = 3, held: int = 1) -> DataFrame:
-    """The rows of `docs` that are predicted good; columns as they were."""
+    """The rows of `docs` that are predicted good; columns as they were, whatever their names.
+
+    Null and empty texts are as good as texts are on the whole; null ids are never learned from; of repeated rows all stay
+    or none. No documents give none.
+    """
     model = fit(sample(docs, labels, remainder("doc_id", modulus) != held))
-    return with_score(docs, model, "_quality").where("_quality >= 0.5").drop("_quality")
+    name = unused("quality", docs.columns)
+    return with_score(docs, model, name).where(F.col(name) >= 0.5).drop(name)

@@ -20,6 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from curbside.llm.common import unused
 from curbside.session import settle
 
 # The base patterns and the least lengths of their matches.
@@ -171,13 +172,14 @@ def _hash(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
 
 
-def _with_known(docs: DataFrame) -> tuple[bytes, DataFrame]:
-    """The dictionary, and `docs` with the identifiers beside sensitive words of each text as column _known."""
+def _with_known(docs: DataFrame) -> tuple[bytes, DataFrame, str]:
+    """The dictionary, and `docs` with the identifiers beside sensitive words of each text, and the name of that column,
+    which is none of theirs."""
     dictionary, beside = identifiers(docs)
-    text = F.xxhash64(F.col("text").cast("string"))
-    return dictionary, docs.withColumn("_digest", text).join(
-        beside.select(F.col("digest").alias("_digest"), F.col("known").alias("_known")), "_digest", "left"
-    ).drop("_digest")
+    digest, known = unused("digest", docs.columns), unused("known", docs.columns)
+    named = beside.select(F.col("digest").alias(digest), F.col("known").alias(known))
+    with_digest = docs.withColumn(digest, F.xxhash64(F.col("text").cast("string")))
+    return dictionary, with_digest.join(named, digest, "left").drop(digest), known
 
 
 def find_secrets(docs: DataFrame) -> DataFrame:
@@ -185,7 +187,7 @@ def find_secrets(docs: DataFrame) -> DataFrame:
 
     Null texts count as empty (no span, the digest of nothing); repeated rows stay; other columns are ignored.
     """
-    dictionary, docs = _with_known(docs.select("doc_id", "text"))
+    dictionary, docs, known_names = _with_known(docs.select("doc_id", "text"))
     shared = docs.sparkSession.sparkContext.broadcast(dictionary)
 
     @F.pandas_udf("n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string, n_novel bigint")
@@ -203,7 +205,7 @@ def find_secrets(docs: DataFrame) -> DataFrame:
                 ))
             yield pd.DataFrame(rows, columns=["n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_novel"])
 
-    return docs.select("doc_id", of(F.col("text").cast("string"), "_known").alias("_r")).select("doc_id", "_r.*")
+    return docs.select("doc_id", of(F.col("text").cast("string"), known_names).alias("_r")).select("doc_id", "_r.*")
 
 
 def redacted_text(text: str, spans: list[Span], mark: str = "[SECRET]") -> str:
@@ -219,9 +221,12 @@ def redacted_text(text: str, spans: list[Span], mark: str = "[SECRET]") -> str:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """`docs` with the secrets of `text` replaced by [SECRET]; every row stays, null texts stay null."""
+    """`docs` with the secrets of `text` replaced by [SECRET]; columns as they were, whatever their names.
+
+    Every row stays, repeated ones too; null texts stay null and empty ones empty. No documents give none.
+    """
     names = docs.columns
-    dictionary, docs = _with_known(docs)
+    dictionary, docs, known_names = _with_known(docs)
     shared = docs.sparkSession.sparkContext.broadcast(dictionary)
 
     @F.pandas_udf("string")
@@ -233,4 +238,4 @@ def redact(docs: DataFrame) -> DataFrame:
                 dtype=object,
             )
 
-    return docs.withColumn("text", clean(F.col("text").cast("string"), "_known")).select(*names)
+    return docs.withColumn("text", clean(F.col("text").cast("string"), known_names)).select(*names)
