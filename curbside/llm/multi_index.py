@@ -25,17 +25,21 @@ from pyspark.sql import functions as F
 from curbside.llm.components import connected_components
 from curbside.session import settle
 
-SAMPLE = 20_000  # vectors that the codebooks and the number of visited cells are fitted on, at most
+SAMPLE = 20_000  # vectors that the number of visited cells is fitted on, at most
+POINTS = 16  # vectors to a centroid that the codebooks are fitted on; SAMPLE at least, MOST_SAMPLE at most
+MOST_SAMPLE = 200_000
 PARTNERS = 8  # true pairs of a sampled vector that the number of visited cells is fitted on, at most
-LEAST_PAIRS = 200  # with fewer, pairs are made by adding noise to sampled vectors
-TARGET = 0.995  # share of these pairs that a search finds
+BANDS = 3  # cosines from the threshold to 1 in so many bands
+LEAST_PAIRS = 100  # of a group and band, to be looked at by themselves
+TARGET = 0.995  # share of the pairs of each group and band that a search finds
 BLOCK = 1024  # vectors of a block
 ROUNDS = 15
 
 
 def centroids_for(vectors: int) -> int:
-    """Centroids of a codebook: some hundred vectors to a cell, all labels together, within what a sample can fit."""
-    return int(min(128, max(4, round((vectors / 500) ** 0.5))))
+    """Centroids of a codebook: some hundred vectors to a cell, all labels together, for a table of any size that
+    MOST_SAMPLE vectors can fit (80 billion)."""
+    return int(min(MOST_SAMPLE // POINTS, max(4, round((vectors / 500) ** 0.5))))
 
 
 @dataclass(frozen=True)
@@ -106,8 +110,8 @@ def searched_cells(index: Index, points: np.ndarray) -> np.ndarray:
     return np.array([[i * width + j for i, j in visit_order(a, b, index.visits)] for a, b in rows], dtype=np.int64)
 
 
-def _true_pairs(points: np.ndarray, labels: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (searching vector, other vector) of the sample, some partners of each vector."""
+def _true_pairs(points: np.ndarray, labels: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs (searching vector, other vector) of the sample, some partners of each vector, and their groups."""
     first, second = [], []
     order = np.argsort(labels, kind="stable")
     for group in np.split(order, np.flatnonzero(np.diff(labels[order])) + 1):
@@ -119,7 +123,7 @@ def _true_pairs(points: np.ndarray, labels: np.ndarray, threshold: float) -> tup
                 step = max(1, len(others) // PARTNERS)
                 second += others[::step][:PARTNERS].tolist()
                 first += [i] * (len(second) - len(first))
-    return points[first], points[second]
+    return points[first], points[second], labels[first]
 
 
 def _made_pairs(points: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
@@ -133,25 +137,52 @@ def _made_pairs(points: np.ndarray, threshold: float) -> tuple[np.ndarray, np.nd
     return first, cosine * first + np.sqrt(1 - cosine**2) * noise
 
 
+def cells_before(index: Index, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Cells that a search for each of `first` visits before it comes to the one where its partner lies."""
+    out = np.zeros(len(first), dtype=np.int64)
+    home = np.divmod(home_cells(index, second), len(index.right))
+    for start in range(0, len(first), 2000):
+        part = slice(start, start + 2000)
+        a, b = grid_distances(index, first[part])
+        here = np.arange(len(a))
+        sums = a[here, home[0][part]] + b[here, home[1][part]]
+        b.sort(axis=1)
+        out[part] = [int(np.searchsorted(y, s - x).sum()) for x, y, s in zip(a, b, sums)]
+    return out
+
+
+def strata(first: np.ndarray, second: np.ndarray, groups: np.ndarray, threshold: float) -> Iterator[np.ndarray]:
+    """Places of the pairs of each band of cosines in each group, and, for small groups, of each band in all of them. So a
+    group that has most pairs does not speak for the others."""
+    cosine = (first * second).sum(axis=1)
+    band = np.clip(((cosine - threshold) / (1 - threshold) * BANDS).astype(int), 0, BANDS - 1)
+    for k in range(BANDS):
+        places = np.flatnonzero(band == k)
+        _, which, sizes = np.unique(groups[places], return_inverse=True, return_counts=True)
+        small = sizes[which] < LEAST_PAIRS
+        yield places[small]
+        for g in np.flatnonzero(sizes >= LEAST_PAIRS):
+            yield places[which == g]
+
+
 def fit(points: np.ndarray, labels: np.ndarray, threshold: float, k: int) -> Index:
-    """An index whose number of visits reaches TARGET on true pairs of the sample, all cells if it must."""
+    """An index whose number of visits reaches TARGET on the true pairs of the sample in every stratum, and on made pairs
+    where these are too few to tell; all cells if it must."""
     half = points.shape[1] // 2
     left, right = codebook(points[:, :half], k, 1), codebook(points[:, half:], k, 2)
     every = Index(left, right, len(left) * len(right))
-    first, second = _true_pairs(points, labels, threshold)
+    first, second, groups = _true_pairs(points[:SAMPLE], labels[:SAMPLE], threshold)
+    asked = [0]
+    if len(first):
+        ranks = cells_before(every, first, second)
+        asked += [_needed(ranks[places]) for places in strata(first, second, groups, threshold) if len(places)]
     if len(first) < LEAST_PAIRS:
-        first, second = _made_pairs(points, threshold)
-    ranks = np.zeros(len(first), dtype=np.int64)
-    for at in range(0, len(first), 2000):
-        part = slice(at, at + 2000)
-        a, b = grid_distances(every, first[part])
-        sums = (a[:, :, None] + b[:, None, :]).reshape(len(a), -1)
-        home = home_cells(every, second[part])
-        ranks[part] = (sums < sums[np.arange(len(a)), home][:, None]).sum(axis=1)
-    ranks.sort()
-    # one more cell than the pairs ask for
-    visits = int(ranks[min(len(ranks) - 1, int(np.ceil(TARGET * len(ranks))))]) + 2
-    return Index(left, right, min(visits, every.visits))
+        asked.append(_needed(cells_before(every, *_made_pairs(points, threshold))))
+    return Index(left, right, min(max(asked) + 2, every.visits))  # one more cell than the pairs ask for
+
+
+def _needed(ranks: np.ndarray) -> int:
+    return int(np.sort(ranks)[min(len(ranks) - 1, int(np.ceil(TARGET * len(ranks))))])
 
 
 def _stars(linked: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -235,9 +266,10 @@ def _links(spark, classes: DataFrame, length: int, threshold: float) -> DataFram
         raw = raw / np.sqrt((raw * raw).sum(axis=1, keepdims=True))
         return np.hstack([raw, np.zeros_like(raw)]) if length < 2 else raw
 
-    sample = classes.orderBy(F.xxhash64("v"), "cls").limit(SAMPLE).select("label", "v").toPandas()
-    points = units(np.array([np.asarray(v) for v in sample["v"]]))
     k = centroids_for(classes.count())
+    size = min(MOST_SAMPLE, max(SAMPLE, POINTS * k))
+    sample = classes.orderBy(F.xxhash64("v"), "cls").limit(size).select("label", "v").toPandas()
+    points = units(np.array([np.asarray(v) for v in sample["v"]]))
     shared = spark.sparkContext.broadcast(fit(points, pd.factorize(sample["label"])[0], threshold, k))
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
