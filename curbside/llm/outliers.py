@@ -2,9 +2,10 @@
 
 Four rates of a text, transformed to be roughly symmetric, are compared with a minimum-covariance-determinant estimate
 of their language and source. The estimate follows from concentration steps: take the share of documents nearest by
-Mahalanobis distance, compute their mean and covariance, repeat. A step is one aggregate: rows are counted and summed
-per (group, bucket of distance), so that a group of any size shrinks to some hundred rows before the shuffle, and the
-nearest share is a running sum over its buckets.
+Mahalanobis distance, compute their mean and covariance, repeat until the determinant falls no more. They start from the
+lower quartiles, the medians and the upper quartiles of a group; the least determinant of the three is kept. A step is
+one aggregate: rows are counted and summed per (group, start, bucket of distance), so that a group of any size shrinks
+to some hundred rows before the shuffle, and the nearest share is a running sum over its buckets.
 """
 
 from __future__ import annotations
@@ -26,9 +27,11 @@ MAX_REPEATED_PERCENT = 50
 
 # The method: share of nearest documents, concentration steps, least scales of the four features (spread below these
 # is of no interest, and keeps covariances regular where most documents have a rate of exactly zero), rows that a group
-# needs for an estimate of its own, and the chi-square level beyond which a document is rejected.
+# needs for an estimate of its own, and the chi-square level beyond which a document is rejected. A group with several
+# clusters has several local minima, hence several starts.
 NEAREST = 0.75
-STEPS = 5
+STEPS = 20  # at most; a start is done when a step lowers its log determinant by less than FALL
+FALL = 1e-3
 LEAST_SCALE = (0.06, 0.05, 0.06, 0.10)
 MIN_GROUP = 40
 LEVEL = 0.99999
@@ -152,7 +155,8 @@ def _groups(rows: DataFrame) -> DataFrame:
 
 
 def _start(rows: DataFrame) -> DataFrame:
-    """Per group: medians as centre, quartile ranges as scales, from counts in fine buckets."""
+    """Per group and start: a quartile of every feature as centre, quartile ranges as scales, from counts in fine
+    buckets."""
     cells = rows.select("g", F.posexplode(F.array(*[F.col(f"x{i}") for i in range(_P)])).alias("i", "x"))
     counts = cells.groupBy("g", "i", F.floor(F.col("x") * _FINE).alias("b")).count()
     by = Window.partitionBy("g", "i")
@@ -160,18 +164,20 @@ def _start(rows: DataFrame) -> DataFrame:
     found = counts.withColumn("run", run).groupBy("g", "i").agg(
         *[F.min(F.when(F.col("run") >= q, F.col("b"))).alias(n) for n, q in (("q1", 0.25), ("q2", 0.5), ("q3", 0.75))]
     )
-    centre, spread = (F.col("q2") + 0.5) / _FINE, (F.col("q3") - F.col("q1")) / (_FINE * 1.349)
-    one = found.select("g", "i", centre.alias("c"), (spread * spread).alias("v"))
-    return one.groupBy("g").agg(
+    spread = (F.col("q3") - F.col("q1")) / (_FINE * 1.349)
+    starts = F.array(*[F.struct(F.lit(k).alias("start"), ((F.col(q) + 0.5) / _FINE).alias("c")) for k, q in enumerate(("q2", "q1", "q3"))])
+    one = found.select("g", "i", F.inline(starts), (spread * spread).alias("v"))
+    return one.groupBy("g", "start").agg(
         *[F.max(F.when(F.col("i") == i, F.col("c"))).alias(f"m{i}") for i in range(_P)],
         *[F.max(F.when(F.col("i") == i, F.col("v") if i == j else F.lit(0.0))).alias(f"s{i}{j}") for i in range(_P) for j in range(i + 1)],
     )
 
 
 def _whitening(estimate: DataFrame, scale: float) -> DataFrame:
-    """(g, m, w): centre and inverse Cholesky factor of `scale` times the covariance, least scales on its diagonal.
+    """(g, start, m, w, log_det): centre, inverse Cholesky factor and log determinant of `scale` times the covariance, least
+    scales on its diagonal.
 
-    One row per group; it is written, so that steps do not nest their arithmetic.
+    One row per group and start; it is written, so that steps do not nest their arithmetic.
     """
     for i in range(_P):
         for j in range(i + 1):
@@ -184,15 +190,17 @@ def _whitening(estimate: DataFrame, scale: float) -> DataFrame:
             value = F.lit(1.0) if i == j else -sum((F.col(f"l{i}{k}") * F.col(f"w{k}{j}") for k in range(j, i)), F.lit(0.0))
             estimate = estimate.withColumn(f"w{i}{j}", value / F.col(f"l{i}{i}"))
     names = [f"m{i}" for i in range(_P)] + [f"w{i}{j}" for i in range(_P) for j in range(i + 1)]
-    return settle(estimate.select("g", *names), "ellipsoids")
+    log_det = sum((2 * F.log(F.col(f"l{i}{i}")) for i in range(_P)), F.lit(0.0))
+    return settle(estimate.select("g", "start", *names, log_det.alias("log_det")), "ellipsoids")
 
 
 def _distances(rows: DataFrame, whitening: DataFrame) -> DataFrame:
-    """`rows` with the squared Mahalanobis distance d2; null where the group has no estimate."""
+    """`rows` with the squared Mahalanobis distance d2, once per start of their group; null where the group has no
+    estimate."""
     joined = rows.join(whitening.withColumnRenamed("g", "_g"), F.col("g") == F.col("_g"), "left")
     away = [F.col(f"x{i}") - F.col(f"m{i}") for i in range(_P)]
     white = [sum((F.col(f"w{i}{j}") * away[j] for j in range(i + 1)), F.lit(0.0)) for i in range(_P)]
-    return joined.select(*rows.columns, sum((y * y for y in white), F.lit(0.0)).alias("d2"))
+    return joined.select(*rows.columns, "start", sum((y * y for y in white), F.lit(0.0)).alias("d2"))
 
 
 def _concentrated(rows: DataFrame, whitening: DataFrame, share: float | None) -> DataFrame:
@@ -204,28 +212,41 @@ def _concentrated(rows: DataFrame, whitening: DataFrame, share: float | None) ->
     sums += [F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"b{i}{j}") for i in range(_P) for j in range(i + 1)]
     if share is None:
         distances = distances.where(F.col("d2") <= chi_square_quantile(0.975, _P))
-    cells = distances.groupBy("g", bucket.alias("b")).agg(*sums)
+    cells = distances.groupBy("g", "start", bucket.alias("b")).agg(*sums)
     if share is not None:
-        by = Window.partitionBy("g")
+        by = Window.partitionBy("g", "start")
         before = F.sum("n").over(by.orderBy("b").rowsBetween(Window.unboundedPreceding, -1))
         cells = cells.withColumn("_before", F.coalesce(before, F.lit(0))).withColumn("_all", F.sum("n").over(by))
         cells = cells.where(F.col("_before") < F.col("_all") * share)
     names = [c for c in cells.columns if c[0] in "nab" and c != "b"]
-    total = cells.groupBy("g").agg(*[F.sum(c).alias(c) for c in names])
+    total = cells.groupBy("g", "start").agg(*[F.sum(c).alias(c) for c in names])
     mean = [(F.col(f"a{i}") / F.col("n")).alias(f"m{i}") for i in range(_P)]
     covariance = [
         (F.col(f"b{i}{j}") / F.col("n") - F.col(f"a{i}") / F.col("n") * F.col(f"a{j}") / F.col("n")).alias(f"s{i}{j}")
         for i in range(_P) for j in range(i + 1)
     ]
-    return total.select("g", *mean, *covariance)
+    return total.select("g", "start", *mean, *covariance)
 
 
-def robust_distances(rows: DataFrame) -> DataFrame:
-    """`rows(g, x0, x1, ...)` with d2 under the reweighted estimate of their group."""
-    whitening = _whitening(_start(rows.where("g is not null")), 1.0)
+def least_determinants(rows: DataFrame) -> DataFrame:
+    """(g, start, m, w, log_det) of the start of each group that comes to the least determinant."""
+    whitening, last = _whitening(_start(rows.where("g is not null")), 1.0), None
     for _ in range(STEPS):
         whitening = _whitening(_concentrated(rows, whitening, NEAREST), _consistency(NEAREST))
-    return _distances(rows, _whitening(_concentrated(rows, whitening, None), _consistency(0.975)))
+        if last is not None:
+            old = last.select(F.col("g"), F.col("start"), F.col("log_det").alias("old"))
+            fallen = whitening.join(old, ["g", "start"]).agg(F.max(F.col("old") - F.col("log_det"))).first()[0]
+            if fallen is None or fallen < FALL:
+                break
+        last = whitening
+    best = whitening.groupBy("g").agg(F.min_by("start", F.struct("log_det", "start")).alias("start"))
+    return settle(whitening.join(best, ["g", "start"]), "ellipsoids")
+
+
+def robust_distances(rows: DataFrame) -> DataFrame:
+    """`rows(g, x0, x1, ...)` with d2 under the reweighted estimate of their group."""
+    estimate = _concentrated(rows, least_determinants(rows), None)
+    return _distances(rows, _whitening(estimate, _consistency(0.975))).drop("start")
 
 
 def judged(docs: DataFrame) -> DataFrame:

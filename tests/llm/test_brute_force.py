@@ -13,7 +13,7 @@ import pytest
 import zstandard
 from pyspark.sql import functions as F
 
-from curbside.llm import compression, gru, lm, multi_index, ppm, secrets, simhash
+from curbside.llm import compression, gru, lm, multi_index, outliers, ppm, secrets, simhash
 from curbside.plans.experiments import plan_text
 from tests.llm.conftest import crc, rows
 
@@ -160,3 +160,20 @@ def test_cells_before_a_partner_and_strata():
     parts = list(multi_index.strata(first, second, np.array([0] * 5000 + [1] * 150), 0.93))
     assert sorted(len(p) for p in parts if len(p)) == [150, 5000]
     assert multi_index.centroids_for(10**9) == 1414
+
+
+def test_least_determinant_of_several_clusters(spark):
+    """Most of a group is one tight cluster beside its medians: only a start away from these finds it."""
+    rng = np.random.default_rng(8)
+    tight, wide = rng.normal(0.0, 0.05, (640, 4)), np.array([1.0, 1.2, 1.1, 1.3]) + rng.normal(0, 1.0, (160, 4))
+    x = np.concatenate([tight, wide])
+    data = [("g", *map(float, r)) for r in x] + [(None, 0.0, 0.0, 0.0, 0.0)]
+    df = spark.createDataFrame(data, "g string, x0 double, x1 double, x2 double, x3 double").repartition(3)
+    best = outliers.least_determinants(df).collect()
+    assert len(best) == 1
+    centre = np.array([best[0][f"m{i}"] for i in range(4)])
+    assert np.abs(centre).max() < 0.05
+    d2 = [r.d2 for r in outliers.robust_distances(df).where("g is not null and x0 > 1").collect()]
+    assert np.median(d2) > outliers.chi_square_quantile(outliers.LEVEL, 4)
+    lone = outliers.robust_distances(df.where("g is null")).collect()
+    assert len(lone) == 1 and lone[0].d2 is None
