@@ -223,8 +223,15 @@ def sample(docs: DataFrame, learn_from: Column) -> dict[str, list[bytes]]:
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & learn_from)
     usable = usable.where(F.length("text").between(1, MAX_CHARS))
     order = F.xxhash64("doc_id")
+    # the lowest hashes of each language, some four times as many as are needed: no task ranks more, however many tasks
+    # there are
+    sizes = usable.groupBy("lang").agg(F.count("*").alias("_n")).where(F.col("_n") > 4 * SAMPLE_ROWS)
+    wide = sizes.select("lang", (-(2.0**63) + 2.0**64 * 4 * SAMPLE_ROWS / F.col("_n")).alias("_most"))
+    few = usable.select("lang", "doc_id").join(wide, "lang", "left").where(
+        F.col("_most").isNull() | (order.cast("double") <= F.col("_most"))
+    )
     first = (
-        usable.select("lang", "doc_id", F.row_number().over(Window.partitionBy("lang").orderBy(order, "doc_id")).alias("_k"))
+        few.select("lang", "doc_id", F.row_number().over(Window.partitionBy("lang").orderBy(order, "doc_id")).alias("_k"))
         .where(F.col("_k") <= SAMPLE_ROWS).select("lang", "doc_id").distinct()
     )
     rows = usable.select("lang", "doc_id", "text").join(F.broadcast(first), ["lang", "doc_id"]).dropDuplicates(["lang", "doc_id"])
