@@ -74,9 +74,10 @@ def fingerprint_links(distinct: DataFrame, radius: int = 2) -> DataFrame:
     of others. `radius` is even."""
     if radius < 0 or radius % 2:
         raise ValueError("the radius must be even")
-    # few bytes, but each row becomes 65: dealt out by number, so that adaptive execution does not pack them into one task
+    # few bytes, but each row becomes 65: dealt out by number, so that adaptive execution does not pack them into one task.
+    # By a hash of the fingerprint, as rows that are partitioned by the fingerprint already would not be dealt again.
     parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    variants = distinct.repartition(parts, "fp").select(
+    variants = distinct.repartition(parts, F.xxhash64("fp")).select(
         "fp", F.explode(F.array(*[F.col("fp").bitwiseXOR(F.lit(m)) for m in ball(radius // 2)])).alias("variant")
     )
     buckets = variants.groupBy("variant").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
