@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curbside.session import settle
@@ -110,18 +110,9 @@ def mismatches(primary: DataFrame, replica: DataFrame) -> DataFrame:
 
 def offsets(level_zero: DataFrame) -> DataFrame:
     """Leaves with their byte offset in the archive. An archive has ARCHIVE_SLOTS records at most, whatever its bytes."""
-    order = F.array_sort(F.collect_list(F.struct("slot", "length")))
-    listed = level_zero.groupBy("archive").agg(order.alias("c"))
-    summed = F.aggregate(
-        "c",
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<slot:int,offset:bigint>>").alias("out")),
-        lambda total, x: F.struct(
-            (total["at"] + x["length"]).alias("at"),
-            F.array_append(total["out"], F.struct(x["slot"].alias("slot"), total["at"].alias("offset"))).alias("out"),
-        ),
-        lambda total: total["out"],
-    )
-    return listed.select("archive", F.explode(summed).alias("o")).select("archive", "o.slot", F.col("o.offset").alias("byte_offset"))
+    before = Window.partitionBy("archive").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long")
+    return level_zero.select("archive", "slot", offset.alias("byte_offset"))
 
 
 def audit(primary: DataFrame, replica: DataFrame) -> DataFrame:
