@@ -91,8 +91,11 @@ def taken_words(measured: DataFrame) -> DataFrame:
     placed = keyed.join(bounds, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
     inner = Window.partitionBy("source").orderBy("key", "doc_id", "size")
     start = F.col("before") + F.sum("size").over(inner.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
-    # in the last bucket a document is taken if that brings the sum nearer to the budget
-    edge = placed.where("bucket = last").withColumn("once", start + F.col("size") / 2.0 <= F.col("rest"))
+    # in the last bucket a document is taken if that brings the sum nearer to the budget; where whole epochs are all of it,
+    # nothing is taken once more, empty documents neither
+    edge = placed.where("bucket = last").withColumn(
+        "once", (F.col("rest") > 0) & (start + F.col("size") / 2.0 <= F.col("rest"))
+    )
     others = placed.where("bucket <> last").withColumn("once", F.col("bucket") < F.col("last"))
     return (
         others.unionByName(edge)
@@ -113,7 +116,11 @@ def mix(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def mixed(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The mix itself: each row of `docs` as often as it is taken, columns as they were."""
+    """The mix itself: each row of `docs` as often as it is taken, columns as they were, whatever their names.
+
+    Null texts are empty: they take no words, and are written as often as whole epochs of their source. Null sources are
+    one source; repeated rows are each taken by themselves; no documents give none.
+    """
     names = [F.col(f"row.{c}").alias(c) for c in docs.columns]
     stored = settle(
         docs.select(
