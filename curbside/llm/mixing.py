@@ -96,7 +96,7 @@ def taken_words(measured: DataFrame) -> DataFrame:
     edge = placed.where("bucket = last").withColumn(
         "once", (F.col("rest") > 0) & (start + F.col("size") / 2.0 <= F.col("rest"))
     )
-    others = placed.where("bucket <> last").withColumn("once", F.col("bucket") < F.col("last"))
+    others = placed.where("bucket <> last").withColumn("once", (F.col("rest") > 0) & (F.col("bucket") < F.col("last")))
     return (
         others.unionByName(edge)
         .withColumn("copies", (F.col("epochs") + F.col("once").cast("long")).cast("int"))

@@ -13,7 +13,7 @@ import pytest
 import zstandard
 from pyspark.sql import functions as F
 
-from curbside.llm import compression, gru, lm, multi_index, outliers, ppm, secrets, simhash
+from curbside.llm import compression, gru, lm, mixing, multi_index, outliers, ppm, secrets, simhash
 from curbside.plans.experiments import plan_text
 from tests.llm.conftest import crc, rows
 
@@ -177,3 +177,12 @@ def test_least_determinant_of_several_clusters(spark):
     assert np.median(d2) > outliers.chi_square_quantile(outliers.LEVEL, 4)
     lone = outliers.robust_distances(df.where("g is null")).collect()
     assert len(lone) == 1 and lone[0].d2 is None
+
+
+def test_empty_documents_come_no_more_often_than_whole_epochs(spark, no_labels):
+    """Source a stands at its limit of two epochs, with nothing left to take once more."""
+    data = [(i, "a", "word " * 10) for i in range(5)] + [(10 + i, "a", [None, ""][i % 2]) for i in range(40)]
+    data += [(100 + i, "b", "word " * 10) for i in range(100)]
+    df = spark.createDataFrame(data, "doc_id int, source string, text string").repartition(3)
+    counts = Counter(r.doc_id for r in mixing.mixed(df, no_labels).where("source = 'a'").collect())
+    assert set(counts.values()) == {2} and len(counts) == 45
