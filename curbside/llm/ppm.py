@@ -227,7 +227,8 @@ def sample(docs: DataFrame, learn_from: Column) -> dict[str, list[bytes]]:
     # there are
     sizes = usable.groupBy("lang").agg(F.count("*").alias("_n")).where(F.col("_n") > 4 * SAMPLE_ROWS)
     wide = sizes.select("lang", (-(2.0**63) + 2.0**64 * 4 * SAMPLE_ROWS / F.col("_n")).alias("_most"))
-    few = usable.select("lang", "doc_id").join(wide, "lang", "left").where(
+    # one row per language, as the model in memory has anyway; a shuffled join would move all rows before it cuts them
+    few = usable.select("lang", "doc_id").join(F.broadcast(wide), "lang", "left").where(
         F.col("_most").isNull() | (order.cast("double") <= F.col("_most"))
     )
     first = (
