@@ -41,15 +41,18 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 # Words of element, role, class and id names by what they announce.
 MAIN_NAMES = frozenset("article main articlebody blogposting newsarticle post entry story content".split())
-WEAK_NAMES = frozenset("header banner form sidebar side aside left right col column masthead topbar top hero".split())
+SIDE_NAMES = frozenset("sidebar side aside banner form rail".split())
+HEAD_NAMES = frozenset("header masthead topbar top hero left right col column".split())
 STRONG_NAMES = frozenset(
     "nav navigation navbar menu breadcrumb breadcrumbs footer contentinfo complementary search dialog alert alertdialog "
     "cookie cookies consent gdpr notice notices notification popup modal overlay comment comments disqus reply replies respond "
     "discussion ad ads adv advert adverts advertisement sponsor sponsored promo promotion newsletter subscribe signup "
     "login share sharing social related recommended trending widget pagination pager toc tags copyright disclaimer "
-    "skip hidden".split()
+    "skip hidden responses feedback".split()
 )
-ASIDES = {"nav": 2, "footer": 2, "aside": 2, "menu": 2, "dialog": 2, "search": 2, "header": 1, "form": 1, "fieldset": 1}
+STRONG_STARTS = ("comment", "cookie", "advert", "newsletter", "breadcrumb", "disqus", "sponsor", "promo", "popup")  # also run together
+STRONG_ELEMENTS = frozenset("nav footer aside menu dialog search".split())
+SIDE_ELEMENTS = frozenset("form fieldset".split())
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<data>.*?)(?:\]\]>|\Z)|<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*+)"
@@ -60,7 +63,7 @@ _NAMED = re.compile(r"(?:^|[\s\"'/])(class|id|role|itemprop|itemtype)\s*=\s*(\"[
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none", re.IGNORECASE)
 _NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
-NOTHING, MAIN, WEAK, STRONG = 0, 1, -1, -2  # what a container says of the text in it
+NOTHING, MAIN, HEAD, SIDE, STRONG = 0.0, 1.0, -0.9, -1.0, -2.0  # what a container says of the text in it
 FEATURES = ("words", "links", "before_words", "before_links", "after_words", "after_links", "inside", "page_has_main", "heading")
 
 
@@ -71,21 +74,24 @@ class Block:
     text: str
     words: int
     linked: int
-    inside: int
+    inside: float
     heading: bool
 
 
 @dataclass
 class _Element:
     name: str
-    says: int
+    says: float
     heading: bool
     link: bool
 
 
-def announced(name: str, attributes: str) -> int:
+def announced(name: str, attributes: str) -> float:
     """What an element says of the text in it, from its name, role, class and id."""
-    says = STRONG if ASIDES.get(name) == 2 else WEAK if name in ASIDES else MAIN if name in ("article", "main") else 0
+    says = (
+        STRONG if name in STRONG_ELEMENTS else SIDE if name in SIDE_ELEMENTS else HEAD if name == "header"
+        else MAIN if name in ("article", "main") else NOTHING
+    )
     if not attributes:
         return says
     if _HIDDEN.search(attributes):
@@ -95,13 +101,15 @@ def announced(name: str, attributes: str) -> int:
         for token in value.strip("\"'").split():
             found.update(p.lower() for p in _NAME_PART.findall(token))
             found.add(token.lower())
-    if found & STRONG_NAMES and name not in ("body", "html", "main"):
+    if name in ("body", "html"):
+        return says
+    if name != "main" and (found & STRONG_NAMES or any(part.startswith(STRONG_STARTS) for part in found)):
         return STRONG
-    if says == 0 and found & MAIN_NAMES and name in BLOCKS:
+    if says == NOTHING and found & MAIN_NAMES and name in BLOCKS:
         return MAIN
-    if says == 0 and found & WEAK_NAMES and name not in ("body", "html"):
-        return WEAK
-    return says
+    if says == NOTHING and found & SIDE_NAMES:
+        return SIDE
+    return HEAD if says == NOTHING and found & HEAD_NAMES else says
 
 
 @dataclass
@@ -113,16 +121,16 @@ class _Flat:
     linked: list[str] = field(default_factory=list)
     open: list[_Element] = field(default_factory=list)
 
-    def inside(self) -> int:
+    def inside(self) -> float:
         """The innermost statement counts, but nothing inside a menu, comment, footer ... is main text again. Inside an
-        article a head belongs to it and a form does not; a form around an article says nothing of it."""
+        article a head or column belongs to it, a form or side bar does not; around an article they say nothing of it."""
         says = NOTHING
         for e in self.open:
             if says == STRONG:
                 break
-            if says == MAIN and e.says == WEAK:
-                says = STRONG if e.name in ("form", "fieldset") else MAIN
-            elif e.says:
+            if says == MAIN and e.says == SIDE:
+                says = STRONG
+            elif e.says and not (says == MAIN and e.says == HEAD):
                 says = e.says
         return says
 

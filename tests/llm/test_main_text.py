@@ -38,6 +38,8 @@ def test_awkward_pages(spark):
         f"<article><p>{words}</p><div class='reader-comments'><p>{words}</p></div><form><p>{words}</p></form></article>": words.strip(),
         f"<article><h1>Ti<b>tle</b></h1><p>{words} 1 < 2 & 3</p></article><aside><p>{words}</p></aside>": f"Title\n{words}1 < 2 & 3",
         f"<article><p>{words}</p><p>So.</p><ul><li>{words}<li>{words}</ul></article>": "\n".join([words.strip(), "So.", words.strip(), words.strip()]),
+        f"<article><div class='left'><p>{words}</p></div><div class='sidebar'><p>{words}</p></div><ul class='commentlist'><li>{words}</ul></article>": words.strip(),
+        f"<div class='with-sidebar col'><div id='cookiebar'>{words}</div><form><main><header><h1>T</h1></header><p>{words}</main></form></div>": f"T\n{words.strip()}",
         f"<article>{'<p>' + words * 9000}</article>": (words * 9000).strip(),
         f"<div>{'<div>' * 3000}<article><p>{words}</article>": words.strip(),
     }
