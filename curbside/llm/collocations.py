@@ -293,4 +293,6 @@ def collocations(docs: DataFrame, top: int = TOP) -> DataFrame:
     kept = scored(counts).join(nested(counts), ["lang", "phrase"], "left_anti")
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
-    return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    return ranked.join(totals, "lang").select(
+        "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"
+    )

@@ -76,4 +76,40 @@ SELECT -((key + 4096) // 4096), (4095 - key % 4096)::INTEGER, -key - 1, 'extra',
 FROM records WHERE key % 103 = 13
 """
 
-ORACLES: dict[str, str] = {"op7_source_mix": MIX, "op9_warc_fixity": WARC, "op10_multi_index": VECTORS}
+COLLOCATIONS = r"""
+WITH doc AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+        piece AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p FROM doc),
+        worded AS (SELECT lang, [x FOR x IN regexp_split_to_array(p, '[\x20\x09]+') IF x <> ''] AS w FROM piece),
+        gram AS (
+            SELECT lang, k, unnest([array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS phrase
+            FROM worded, (VALUES (1), (2), (3), (4)) AS sizes(k)),
+        f AS (SELECT lang, phrase, k, count(*) AS f FROM gram GROUP BY ALL HAVING count(*) >= 30),
+        total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM worded GROUP BY 1),
+        cut AS (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS c FROM f WHERE k > 1),
+        part AS (
+            SELECT lang, phrase, a, c, array_to_string(w[1:c], ' ') AS one, array_to_string(w[c + 1:k], ' ') AS two FROM cut),
+        scored AS (
+            SELECT part.lang, part.phrase, a, c, x.f AS l, y.f AS r, (2000000::HUGEINT * a) // (x.f + y.f) AS score
+            FROM part JOIN f x ON x.lang = part.lang AND x.phrase = one JOIN f y ON y.lang = part.lang AND y.phrase = two),
+        lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+        longer AS (SELECT lang, k, f, string_split(phrase, ' ') AS w, unnest(range(2, k)) AS m FROM f WHERE k > 2),
+        inside AS (
+            SELECT lang, f, unnest([array_to_string(w[i:i + m - 1], ' ') FOR i IN range(1, k - m + 2)]) AS phrase FROM longer),
+        most AS (SELECT lang, phrase, max(f) AS most FROM inside GROUP BY 1, 2),
+        ranked AS (
+            SELECT lowest.lang, row_number() OVER (PARTITION BY lowest.lang ORDER BY score DESC, a DESC, lowest.phrase) AS rank,
+                lowest.phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+            FROM lowest JOIN total ON total.lang = lowest.lang
+            LEFT JOIN most ON most.lang = lowest.lang AND most.phrase = lowest.phrase
+            WHERE most IS NULL OR 100::HUGEINT * most < 80::HUGEINT * a)
+        SELECT * FROM ranked WHERE rank <= 2000
+"""
+
+ORACLES: dict[str, str] = {
+    "op7_source_mix": MIX,
+    "op9_warc_fixity": WARC,
+    "op10_multi_index": VECTORS,
+    "op12_collocations": COLLOCATIONS,
+}
