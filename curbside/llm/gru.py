@@ -144,8 +144,9 @@ def forward(p: Params, w: Window, h: np.ndarray, keep: bool = False):
     half = np.concatenate([np.full(two, 0.5), np.ones(HIDDEN)]).astype(np.float32)
     table, recurrent = (p["input"] + p["gate"]) * half, p["recurrent"] * half
     given = table[w.inputs]
-    states = np.empty((steps, len(h), HIDDEN), dtype=np.float32)
-    kept = []
+    shape = (steps, len(h), HIDDEN)
+    states = np.empty(shape, dtype=np.float32)
+    kept = tuple(np.empty(shape, dtype=np.float32) for _ in range(5)) if keep else ()
     any_start = w.starts.any(axis=1)
     for t in range(steps):
         if any_start[t]:
@@ -161,8 +162,8 @@ def forward(p: Params, w: Window, h: np.ndarray, keep: bool = False):
         n = r * inner
         n += x[:, two:]
         np.tanh(n, out=n)
-        if keep:
-            kept.append((h, z, r, inner, n))
+        for whole, part in zip(kept, (h, z, r, inner, n)):
+            whole[t] = part
         new = states[t]
         np.subtract(h, n, out=new)
         new *= z
@@ -177,6 +178,19 @@ def _split(targets: np.ndarray, sizes: Sizes) -> tuple[np.ndarray, np.ndarray]:
     return np.where(frequent, targets // sizes.width, targets - sizes.words + sizes.frequent), frequent
 
 
+def _errors(logits: np.ndarray, targets: np.ndarray, scale: np.float32) -> np.ndarray:
+    """Gradients of the logits: `scale` times the probabilities of each row, less `scale` at its target."""
+    with np.errstate(over="ignore"):
+        out = np.exp(logits)
+        total = out @ np.ones(out.shape[1], dtype=out.dtype)
+    if not (np.isfinite(total).all() and total.min(initial=1) > 0):
+        out = np.exp(logits - _log_sum(logits)[:, None])
+        total = np.ones(len(out), dtype=out.dtype)
+    out *= (scale / total)[:, None]
+    out[np.arange(len(targets)), targets] -= scale
+    return out
+
+
 def _by_class(classes: np.ndarray, frequent: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """Places of the targets of each frequent class that occurs."""
     places = np.flatnonzero(frequent)
@@ -233,46 +247,58 @@ def gradients(p: Params, sizes: Sizes, w: Window, h: np.ndarray):
     flat, targets = states[w.valid], w.targets[w.valid]
     scale = np.float32(1.0 / max(1, len(targets)))
     classes, frequent = _split(targets, sizes)
-    soft = flat @ p["class"] + p["class_bias"]
-    soft = np.exp(soft - _log_sum(soft)[:, None])
-    soft[np.arange(len(targets)), classes] -= 1.0
-    soft *= scale
+    soft = _errors(flat @ p["class"] + p["class_bias"], classes, scale)
     g: dict = {"class": flat.T @ soft, "class_bias": soft.sum(axis=0)}
     back = soft @ p["class"].T
-    rows, weights, biases = [], [], []
-    for k, at in _by_class(classes, frequent):
-        inside = flat[at] @ p["word"][k] + p["word_bias"][k]
-        inside = np.exp(inside - _log_sum(inside)[:, None])
-        inside[np.arange(len(at)), targets[at] % sizes.width] -= 1.0
-        inside *= scale
-        rows.append(k)
-        weights.append(flat[at].T @ inside)
-        biases.append(inside.sum(axis=0))
-        back[at] += inside @ p["word"][k].T
-    if rows:
-        g["word"], g["word_bias"] = (np.array(rows), np.stack(weights)), (np.array(rows), np.stack(biases))
+    by_class = list(_by_class(classes, frequent))
+    if by_class:
+        # states in the order of their classes, so that a class is a slice
+        order = np.concatenate([at for _, at in by_class])
+        ordered, within = flat[order], targets[order] % sizes.width
+        weights = np.empty((len(by_class), HIDDEN, sizes.width), dtype=np.float32)
+        biases = np.empty((len(by_class), sizes.width), dtype=np.float32)
+        share = np.empty_like(ordered)
+        start = 0
+        for i, (k, at) in enumerate(by_class):
+            stop = start + len(at)
+            inside = _errors(ordered[start:stop] @ p["word"][k] + p["word_bias"][k], within[start:stop], scale)
+            np.matmul(ordered[start:stop].T, inside, out=weights[i])
+            inside.sum(axis=0, out=biases[i])
+            np.matmul(inside, p["word"][k].T, out=share[start:stop])
+            start = stop
+        back[order] += share
+        rows = np.array([k for k, _ in by_class])
+        g["word"], g["word_bias"] = (rows, weights), (rows, biases)
     into = np.zeros_like(states)
     into[w.valid] = back
 
-    given = np.zeros((len(states), len(h), 3 * HIDDEN), dtype=np.float32)
-    g["recurrent"] = np.zeros_like(p["recurrent"])
+    # what the gates pass on of a state's gradient does not depend on it: found for all steps at once
+    before, z, r, inner, n = kept
+    pass_n = (1 - z) * (1 - n * n)
+    pass_z = (before - n) * z * (1 - z)
+    pass_r = inner * r * (1 - r)
+    given = np.empty((len(states), len(h), 3 * HIDDEN), dtype=np.float32)  # of the gates' inputs
+    du = np.empty_like(given)  # of the products with the recurrent weights
+    two, turned = 2 * HIDDEN, np.ascontiguousarray(p["recurrent"].T)
     d = np.zeros_like(last)
-    going = ~w.starts
     for t in range(len(states) - 1, -1, -1):
-        before, z, r, inner, n = kept[t]
-        d = d + into[t]
-        dn = d * (1 - z) * (1 - n * n)
-        dz = d * (before - n) * z * (1 - z)
-        dr = dn * inner * r * (1 - r)
-        du = np.concatenate([dz, dr, dn * r], axis=1)
-        given[t] = np.concatenate([dz, dr, dn], axis=1)
-        g["recurrent"] += before.T @ du
-        d = (d * z + du @ p["recurrent"].T) * going[t][:, None]
+        d += into[t]
+        dz, dr, dn = (given[t, :, i * HIDDEN : (i + 1) * HIDDEN] for i in range(3))
+        np.multiply(d, pass_z[t], out=dz)
+        np.multiply(d, pass_n[t], out=dn)
+        np.multiply(dn, pass_r[t], out=dr)
+        du[t, :, :two] = given[t, :, :two]
+        np.multiply(dn, r[t], out=du[t, :, two:])
+        d *= z[t]
+        d += du[t] @ turned
+        d[w.starts[t]] = 0
+    g["recurrent"] = before.reshape(-1, HIDDEN).T @ du.reshape(-1, 3 * HIDDEN)
     used, values = w.inputs[w.valid], given[w.valid]
     g["gate"] = values.sum(axis=0)
     order = np.argsort(used, kind="stable")
-    rows_in, first = np.unique(used[order], return_index=True)
-    g["input"] = (rows_in, np.add.reduceat(values[order], first, axis=0))
+    ranked = used[order]
+    first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+    g["input"] = (ranked[first], np.add.reduceat(values[order], first, axis=0))
     return g, last
 
 
@@ -294,7 +320,10 @@ def train(p: Params, sizes: Sizes, docs: Iterable[Sequence[np.ndarray]], end: in
             factor = np.float32(min(1.0, CLIP / (norm + 1e-9)))
             for name, value in g.items():
                 rows, value = value if isinstance(value, tuple) else (slice(None), value)
-                value = value * factor
-                seen[name][rows] += value * value
-                p[name][rows] -= RATE * value / np.sqrt(seen[name][rows])
+                value *= factor
+                squares = seen[name][rows] + value * value
+                seen[name][rows] = squares
+                value /= np.sqrt(squares)
+                value *= np.float32(RATE)
+                p[name][rows] -= value
     return p, tokens

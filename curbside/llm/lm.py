@@ -1,8 +1,8 @@
 """Log-likelihood of whole documents under a recurrent language model learned from the corpus.
 
 Counts of all training tokens fix the vocabulary, its classes and every unigram share. The recurrent weights are then
-learned from a share of the training documents that grows with the corpus: shards of them train side by side, and
-their parameters are averaged after every round. All documents are scored, whole.
+learned from all training documents, each in one of the rounds: shards of them train side by side, and their parameters
+are averaged after every round. All documents are scored, whole.
 
 The commonest words go to the tasks as a table of bounded size. All others are joined by a shuffle; none of these can
 be a hot key, being rarer than every word of the table. What they add to a document's score is a sum over their counts.
@@ -34,9 +34,9 @@ SMOOTHING = 0.1
 SOFTMAX_WORDS = 0.37  # words with a place in a softmax, by the root of the number of training tokens
 
 # Learning of the recurrent weights.
-TRAIN_SHARE = 24  # each round learns from one document in so many, other ones than the rounds before it
-SHARD_TOKENS = 1_000_000  # of a shard, about
-ROUNDS = 2
+SHARD_TOKENS = 1_000_000  # of a shard, about, at least
+SHARD_GROWTH = 300  # tokens of a shard, by the root of all: parameters grow with that root, those of all shards with the corpus
+ROUNDS = 2  # every document is learned from in one of them
 GROUP_TOKENS = 500_000  # of documents that are trained on together, about
 SCORE_TOKENS = 1_500_000  # of documents that are scored together: lanes end together, long documents among many
 
@@ -206,14 +206,17 @@ class Reader:
 # -- learning -----------------------------------------------------------------------------------
 
 
+def round_of(doc_id: str = "doc_id") -> Column:
+    """The round that learns from a document, by a hash of its id."""
+    return F.pmod(F.xxhash64(F.lit("train"), doc_id), F.lit(ROUNDS)).cast("int")
+
+
 def learned(docs: DataFrame, learn_from: Column, v: Vocabulary) -> gru.Params:
-    """Parameters after ROUNDS of training on shards of `docs(doc_id, text)`, averaged after each. The share of documents
-    is the same for a corpus of any size."""
+    """Parameters after ROUNDS of training on shards of `docs(doc_id, text)`, averaged after each. Every document of
+    `learn_from` is learned from once, whole."""
     params = initial(v)
-    shards = max(1, math.ceil(v.tokens / TRAIN_SHARE / SHARD_TOKENS))
-    draw = F.pmod(F.xxhash64(F.lit("train"), "doc_id"), F.lit(TRAIN_SHARE)).cast("int")
-    chosen = docs.where(learn_from & (draw < ROUNDS) & F.col("text").isNotNull())
-    chosen = settle(chosen.select("text", draw.alias("round")), "train")
+    shard = max(SHARD_TOKENS, SHARD_GROWTH * math.sqrt(v.tokens))
+    shards = max(1, math.ceil(v.tokens / ROUNDS / shard))
     names = sorted(params)
     shapes = {n: params[n].shape for n in names}
     spark = docs.sparkSession
@@ -244,7 +247,7 @@ def learned(docs: DataFrame, learn_from: Column, v: Vocabulary) -> gru.Params:
                     "part": [flat[i : i + _CHUNK] for i in range(0, len(flat), _CHUNK)],
                 })
 
-        given = chosen.where(F.col("round") == turn).select("text").repartition(shards)
+        given = docs.where(learn_from & (round_of() == turn)).select("text").repartition(shards)
         parts = given.mapInPandas(train, "chunk int, tokens double, part binary")
         parts = settle(parts.withColumn("slice", F.spark_partition_id() % 64), "weights")
         by_slice = parts.groupBy("chunk", "slice").applyInPandas(_mean, "chunk int, tokens double, part binary")

@@ -12,8 +12,10 @@ import public_tokenizers
 import pytest
 import tiktoken
 import xxhash
+from pyspark.sql import functions as F
 
 from curbside.llm import byte_bpe, compression, gru, lm, mixing, outliers, ppm, secrets, simhash
+from curbside.session import settle
 from tests.llm.conftest import crc, rows
 
 
@@ -21,6 +23,16 @@ def tokens(text) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
+def test_lm_learns_from_every_training_document(spark):
+    """Each document has a word of its own; learning moves its input weights, if the document is learned from."""
+    docs = spark.createDataFrame([(i, f"w{i} " * 400) for i in range(40)], "doc_id bigint, text string")
+    learn_from = F.col("doc_id") < 30
+    counts = settle(lm.word_counts(docs, ~learn_from), "words")
+    v = lm.vocabulary(counts)
+    moved = (lm.learned(docs, learn_from, v)["input"] != lm.initial(v)["input"]).any(axis=1)
+    assert {w for w, m in zip(v.words, moved[: v.frequent]) if m} == {b"", *[f"w{i}".encode() for i in range(30)]}
+
+
 def test_lm_counts_and_base(table):
     got = lm.log_likelihood(table).collect()
     assert len(got) == len(rows())
