@@ -96,3 +96,16 @@ def test_uniform_is_even_repeatable_and_seeded(spark):
     assert abs(stats[3]) < 0.03 and abs(stats[4] - 0.5) < 0.01 and abs(stats[5] - 0.2887) < 0.01
     again = df.repartition(7).withColumn("a", uniform(1, "id"))
     assert keyed.select("id", "a").exceptAll(again.select("id", "a")).isEmpty()
+
+
+def test_reduce_tasks_are_bounded_and_smaller_ones_stay(spark):
+    from curbside.session import TASK_BYTES, TASK_BYTES_KEY, ensure_settings
+
+    before = spark.conf.get(TASK_BYTES_KEY, None)
+    try:
+        for given, want in (("64m", str(TASK_BYTES)), ("16k", "16k"), (None, str(TASK_BYTES))):
+            spark.conf.set(TASK_BYTES_KEY, given) if given else spark.conf.unset(TASK_BYTES_KEY)
+            ensure_settings(spark)
+            assert spark.conf.get(TASK_BYTES_KEY) == want
+    finally:
+        spark.conf.set(TASK_BYTES_KEY, before) if before else spark.conf.unset(TASK_BYTES_KEY)
