@@ -2,10 +2,11 @@
 
 Texts of the same words are one node before anything is compared. Op 8's fingerprints (three words, two bits) propose
 the nodes they link. For what these miss, each node emits BANDS keys of ROWS minima each; nodes of one key are compared
-with the least of them, those that were not similar with the least of their rest, ROUNDS times. So pairs grow with the
-number of nodes, not with the square of a group. Every link is verified on the whole shingle sets of both texts. Two
-texts of similarity 0.8 share a key with probability 1 - (1 - 0.8^5)^24, 0.99993; where a key is shared by many texts
-that are not similar, a pair may have met no common centre by the last round, and is then linked only by way of others.
+with the least of them, those that were not similar with the least of their rest, ROUNDS times. These rounds join large
+groups of copies by as many pairs as they have nodes. Where nodes of one key are in several components after them, all
+nodes of that key are compared with each other, in blocks, so that every similar pair that shares a key is linked,
+directly or by way of others. Every link is verified on the whole shingle sets of both texts. Two texts of similarity 0.8
+share a key with probability 1 - (1 - 0.8^5)^24, 0.99993.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ from curbside.session import discard, fresh_folder, settle, settle_at
 SHINGLE = 5
 SIMILARITY = 80  # percent
 BANDS, ROWS = 24, 5
-ROUNDS = 3  # going on until no text is left takes over 150 rounds on 44,000 texts, as many as unlike texts share a key
+ROUNDS = 3  # of comparisons with one centre a key; the keys that are still of several components are compared whole
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 20  # nodes of a block, and their shingles, about; two blocks are compared in a task
 _CHUNK = 2048  # shingles whose permutations are held at once
 
 _RNG = np.random.default_rng(8)
@@ -81,6 +83,84 @@ def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return links
 
 
+def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """Numbers of shingles that sets share, for all pairs of them."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, token, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    several = times[token] > 1  # what is in one set only is shared by none
+    places = np.cumsum(times > 1) - 1
+    token, owner = places[token[several]], owner[several]
+    order = np.argsort(token, kind="stable")
+    token, owner = token[order], owner[order]
+    shared = np.zeros((len(sets), len(sets)), dtype=np.float32)  # whole numbers, exact to 2^24
+    for low in range(0, int(token[-1]) + 1 if len(token) else 0, _CHUNK):
+        a, b = np.searchsorted(token, (low, low + _CHUNK))
+        inside = np.zeros((len(sets), _CHUNK), dtype=np.float32)
+        inside[owner[a:b], token[a:b] - low] = 1
+        shared += inside @ inside.T
+    return shared
+
+
+def _block_links(nodes: pd.DataFrame) -> pd.DataFrame:
+    """Links between similar nodes of different components, as many as connect what all such links would."""
+    nodes = nodes.drop_duplicates("content")
+    content, component = nodes["content"].tolist(), nodes["component"].tolist()
+    found: list[tuple[bytes, bytes]] = []
+    if len(set(component)) > 1:
+        sets = [np.asarray(x, dtype=np.int64) for x in nodes["shingles"]]
+        sizes, shared = np.array([len(x) for x in sets]), _overlaps(sets)
+        label = np.unique(np.array([c.hex() for c in component]), return_inverse=True)[1]
+        unseen = np.ones(len(sets), dtype=bool)
+        for start in range(len(sets)):
+            waiting = [start] if unseen[start] else []
+            unseen[start] = False
+            while waiting:
+                i = waiting.pop()
+                common = shared[i].astype(np.int64)
+                alike = 100 * common >= SIMILARITY * (sizes[i] + sizes - common)
+                reached = np.flatnonzero(alike & (label != label[i]) & unseen).tolist()
+                unseen[reached] = False
+                waiting += reached
+                found += [(min(content[i], content[j]), max(content[i], content[j])) for j in reached]
+    return pd.DataFrame(found, columns=["a", "b"])
+
+
+def links_of_rest(keyed: DataFrame, links: DataFrame, texts: DataFrame) -> DataFrame:
+    """Verified links (a, b) that `links` lack between the components they give: nodes of one key of `keyed(content, band)`
+    are all compared, where that key's nodes are of several components.
+
+    Nodes of a key are dealt to blocks, and every two blocks are compared, so a task holds two blocks whatever a key's
+    number of nodes.
+    """
+    spark = keyed.sparkSession
+    found = connected_components(links).withColumnRenamed("node", "content")
+    named = keyed.join(found, "content", "left").select("content", "band", F.coalesce("component", "content").alias("component"))
+    spread = named.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    mixed = settle(named.join(spread.select("band"), "band"), "mixed")
+    folder = fresh_folder(spark, "shingles")
+    sets = settle_at(
+        texts.join(mixed.select("content").distinct(), "content", "left_semi").mapInPandas(
+            _shingles, "content binary, shingles array<bigint>"
+        ),
+        folder,
+    )
+    sizes = mixed.join(sets.select("content", F.size("shingles").alias("size")), "content")
+    blocks = sizes.groupBy("band").agg(
+        F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("size") / BLOCK_SHINGLES)).cast("int").alias("blocks")
+    )
+    block = F.pmod(F.xxhash64("content"), F.col("blocks")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.greatest(F.col("blocks") - 1, F.lit(0))))
+    dealt = mixed.join(blocks, "band").select("content", "component", "band", "blocks", block.alias("block"), other.alias("other"))
+    # a block meets itself where it meets any other
+    dealt = dealt.where("block <> other or blocks = 1").select(
+        "content", "component", "band", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second")
+    )
+    met = dealt.join(sets, "content").groupBy("band", "first", "second").applyInPandas(_block_links, "a binary, b binary")
+    out = settle(met.distinct(), "links")
+    discard(spark, folder)
+    return out
+
+
 def fingerprint_pairs(nodes: DataFrame) -> DataFrame:
     """Pairs (a, b) of `nodes(content, fp)` that op 8's fingerprints propose: the nodes of one fingerprint with the least
     of them, and the least ones of two linked fingerprints."""
@@ -95,7 +175,7 @@ def fingerprint_pairs(nodes: DataFrame) -> DataFrame:
 def similar_links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """Verified links (a, b) among `nodes(content, fp, bands)`."""
     links = similar(settle(fingerprint_pairs(nodes), "proposed"), texts)
-    rest = nodes.select("content", F.explode("bands").alias("band"))
+    rest, keyed = nodes.select("content", F.explode("bands").alias("band")), None
     for _ in range(ROUNDS):
         centres = rest.groupBy("band").agg(F.min("content").alias("a"), F.count("*").alias("n")).where("n > 1")
         near = settle(
@@ -103,10 +183,16 @@ def similar_links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
         )
         if near.isEmpty():
             break
+        if keyed is None:  # all nodes that share a key
+            centres = near.select(F.col("a").alias("content"), "band").distinct()
+            keyed = near.select(F.col("b").alias("content"), "band").union(centres)
         linked = similar(near.select("a", "b").distinct(), texts)
         links = links.union(linked)
         rest = settle(near.join(linked, ["a", "b"], "left_anti").select(F.col("b").alias("content"), "band"), "rest")
-    return links
+    if keyed is None:
+        return links
+    links = settle(links, "links")
+    return links.union(links_of_rest(keyed, links, texts))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
