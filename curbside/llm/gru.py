@@ -26,6 +26,7 @@ TRAIN_LANES, TRAIN_STEPS = 192, 16
 TRAIN_PIECE = 1024  # longer documents are learned from in pieces of so many tokens, so that lanes end together
 SCORE_LANES, SCORE_STEPS = 512, 64
 SCORE_PLACES = 16_384  # hidden states whose probabilities are computed together, at least
+BLOCK_PLACES = 2_048  # of them, those whose class probabilities are in memory at once
 RATE = 0.15
 CLIP = 5.0
 
@@ -110,66 +111,91 @@ class Window:
 
 def windows(docs: Sequence[np.ndarray], end: int, lanes: int, steps: int) -> Iterator[Window]:
     """The documents' tokens, each document's last being `end`, in windows of lanes. Later windows have fewer lanes."""
-    joined = []
-    for lane in lanes_of([len(d) for d in docs], lanes):
-        targets = np.concatenate([docs[i] for i in lane])
-        starts = np.zeros(len(targets), dtype=bool)
-        starts[np.cumsum([0] + [len(docs[i]) for i in lane[:-1]])] = True
-        inputs = np.concatenate([[end], targets[:-1]])
-        inputs[starts] = end
-        joined.append((inputs, targets, starts, np.repeat(lane, [len(docs[i]) for i in lane])))
-    active = len(joined)
-    for at in range(0, len(joined[0][1]) if joined else 0, steps):
-        while len(joined[active - 1][1]) <= at:
-            active -= 1
-        cut = [[part[at : at + steps] for part in lane] for lane in joined[:active]]
-        height = len(cut[0][0])
-        out = [np.zeros((height, active), dtype=t) for t in (np.int64, np.int64, bool, np.int64)]
-        valid = np.zeros((height, active), dtype=bool)
-        for k, lane in enumerate(cut):
-            n = len(lane[0])
-            valid[:n, k] = True
-            for whole, part in zip(out, lane):
-                whole[:n, k] = part
+    lanes_ = lanes_of([len(d) for d in docs], lanes)
+    if not lanes_:
+        return
+    order = [i for lane in lanes_ for i in lane]
+    sizes = np.array([len(docs[i]) for i in order])
+    begins = np.cumsum(sizes) - sizes
+    targets = np.concatenate([docs[i] for i in order]).astype(np.int64, copy=False)
+    starts = np.zeros(len(targets), dtype=bool)
+    starts[begins] = True
+    inputs = np.concatenate([[end], targets[:-1]])
+    inputs[starts] = end
+    documents = np.repeat(order, sizes)
+    lengths = np.array([sum(len(docs[i]) for i in lane) for lane in lanes_])
+    firsts = np.cumsum(lengths) - lengths
+    for at in range(0, int(lengths[0]), steps):
+        active = int((lengths > at).sum())  # the longest lane is the first
+        step = np.arange(at, min(at + steps, int(lengths[0])))[:, None]
+        valid = step < lengths[:active]
+        place = np.where(valid, firsts[:active] + step, 0)
+        out = [whole[place] for whole in (inputs, targets, starts, documents)]
+        if not valid.all():
+            for part in out:
+                part[~valid] = 0
         yield Window(*out, valid)
 
 
 # -- forward and backward -----------------------------------------------------------------------
 
 
-def forward(p: Params, w: Window, h: np.ndarray, keep: bool = False):
-    """Hidden states of a window (steps x lanes x hidden), the last one, and what backpropagation needs."""
-    steps, two = len(w.inputs), 2 * HIDDEN
-    # sigmoid(x) = (1 + tanh(x / 2)) / 2; the inner halving is done on the tables
-    half = np.concatenate([np.full(two, 0.5), np.ones(HIDDEN)]).astype(np.float32)
-    table, recurrent = (p["input"] + p["gate"]) * half, p["recurrent"] * half
-    given = table[w.inputs]
-    shape = (steps, len(h), HIDDEN)
-    states = np.empty(shape, dtype=np.float32)
-    kept = tuple(np.empty(shape, dtype=np.float32) for _ in range(5)) if keep else ()
+def _halves(dtype: type) -> np.ndarray:
+    """sigmoid(x) = (1 + tanh(x / 2)) / 2; the inner halving is done on the tables."""
+    return np.concatenate([np.full(2 * HIDDEN, 0.5), np.ones(HIDDEN)]).astype(dtype)
+
+
+def _gate_major(rows: np.ndarray) -> np.ndarray:
+    """The three gates' parts of `rows` one after the other: elementwise steps then run over whole blocks."""
+    return np.ascontiguousarray(rows.reshape(len(rows), 3, HIDDEN).transpose(1, 0, 2))
+
+
+def input_table(p: Params, rows: np.ndarray | slice = slice(None)) -> np.ndarray:
+    """What the given rows of `input` add to the gates (gates x rows x hidden)."""
+    return _gate_major((p["input"][rows] + p["gate"]) * _halves(np.float32))
+
+
+def forward(p: Params, w: Window, h: np.ndarray, keep: bool = False, table: np.ndarray | None = None, rows: np.ndarray | None = None):
+    """Hidden states of a window (steps x lanes x hidden), the last one, and what backpropagation needs: the states before,
+    the gates and the inner product (3 x steps x lanes x hidden), and the candidates.
+
+    `table` is an `input_table`, and `rows` the inputs' rows in it.
+    """
+    table, rows = input_table(p) if table is None else table, w.inputs if rows is None else rows
+    recurrent = _gate_major(p["recurrent"] * _halves(np.float32))
+    steps, lanes = rows.shape
+    places = (rows[:, None, :] + (np.arange(3) * table.shape[1])[:, None]).reshape(steps, 3 * lanes)
+    flat = table.reshape(-1, HIDDEN)
+    f = np.float32
+    states = np.empty((steps, lanes, HIDDEN), dtype=f)
+    depth = steps if keep else 1  # of what is kept
+    before, n = np.empty((depth, lanes, HIDDEN), dtype=f), np.empty((depth, lanes, HIDDEN), dtype=f)
+    gates = np.empty((3, depth, lanes, HIDDEN), dtype=f)
+    x = np.empty((3, lanes, HIDDEN), dtype=flat.dtype)
     any_start = w.starts.any(axis=1)
     for t in range(steps):
-        if any_start[t]:
-            h = h.copy()
-            h[w.starts[t]] = 0
-        x, u = given[t], h @ recurrent
-        gates = x[:, :two] + u[:, :two]
-        np.tanh(gates, out=gates)
-        gates *= 0.5
-        gates += 0.5
-        z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
-        inner = u[:, two:]
-        n = r * inner
-        n += x[:, two:]
-        np.tanh(n, out=n)
-        for whole, part in zip(kept, (h, z, r, inner, n)):
-            whole[t] = part
-        new = states[t]
-        np.subtract(h, n, out=new)
-        new *= z
-        new += n
+        at = t if keep else 0
+        if keep or any_start[t]:
+            before[at] = h
+            h = before[at]
+            if any_start[t]:
+                h[w.starts[t]] = 0
+        np.take(flat, places[t], axis=0, out=x.reshape(-1, HIDDEN), mode="clip")
+        u, candidate, new = gates[:, at], n[at], states[t]
+        np.matmul(h, recurrent, out=u)
+        zr = u[:2]
+        zr += x[:2]
+        np.tanh(zr, out=zr)
+        zr *= 0.5
+        zr += 0.5
+        np.multiply(zr[1], u[2], out=candidate)
+        candidate += x[2]
+        np.tanh(candidate, out=candidate)
+        np.subtract(h, candidate, out=new)
+        new *= zr[0]
+        new += candidate
         h = new
-    return states, h.copy(), kept
+    return states, h.copy(), (before, gates, n) if keep else ()
 
 
 def _split(targets: np.ndarray, sizes: Sizes) -> tuple[np.ndarray, np.ndarray]:
@@ -191,25 +217,29 @@ def _errors(logits: np.ndarray, targets: np.ndarray, scale: np.float32) -> np.nd
     return out
 
 
-def _by_class(classes: np.ndarray, frequent: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Places of the targets of each frequent class that occurs."""
-    places = np.flatnonzero(frequent)
-    those = classes[places].astype(np.uint16)  # sorted by radix; there are at most some hundred classes
-    places = places[np.argsort(those, kind="stable")]
-    bounds = np.concatenate([[0], np.cumsum(np.bincount(those))]).tolist()
-    for k, (a, b) in enumerate(zip(bounds, bounds[1:])):
-        if b > a:
-            yield k, places[a:b]
+def _sorted_by_class(classes: np.ndarray, sizes: Sizes) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """The order of targets by class, and (class, from, to) in it for the frequent classes that occur; these come first."""
+    order = np.argsort(classes.astype(np.uint16), kind="stable")  # sorted by radix; there are at most some hundred classes
+    bounds = np.cumsum(np.bincount(classes, minlength=sizes.frequent)[: sizes.frequent]).tolist()
+    return order, [(k, a, b) for k, (a, b) in enumerate(zip([0, *bounds], bounds)) if b > a]
 
 
 def log_probabilities(p: Params, sizes: Sizes, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Natural logs of class and word probabilities of targets (places x hidden states); open classes: of the class."""
-    classes, frequent = _split(targets, sizes)
-    logits = states @ p["class"] + p["class_bias"]
-    out = logits[np.arange(len(targets)), classes] - _log_sum(logits)
-    for k, at in _by_class(classes, frequent):
-        inside = states[at] @ p["word"][k] + p["word_bias"][k]
-        out[at] += inside[np.arange(len(at)), targets[at] % sizes.width] - _log_sum(inside)
+    classes, _ = _split(targets, sizes)
+    order, spans = _sorted_by_class(classes, sizes)
+    states, classes, within = states[order], classes[order], targets[order] % sizes.width
+    found = np.empty(len(targets), dtype=np.result_type(states, p["class"]))
+    for a in range(0, len(targets), BLOCK_PLACES):
+        logits = states[a : a + BLOCK_PLACES] @ p["class"]
+        logits += p["class_bias"]
+        found[a : a + BLOCK_PLACES] = logits[np.arange(len(logits)), classes[a : a + BLOCK_PLACES]] - _log_sum(logits)
+    for k, a, b in spans:
+        inside = states[a:b] @ p["word"][k]
+        inside += p["word_bias"][k]
+        found[a:b] += inside[np.arange(b - a), within[a:b]] - _log_sum(inside)
+    out = np.empty_like(found)
+    out[order] = found
     return out
 
 
@@ -219,10 +249,11 @@ def score(p: Params, sizes: Sizes, docs: Sequence[np.ndarray], end: int) -> np.n
     h = np.zeros((0, HIDDEN), dtype=np.float32)
     waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     places = 0
+    table = input_table(p)
     for w in windows(docs, end, SCORE_LANES, SCORE_STEPS):
         if not len(h):
             h = np.zeros((w.inputs.shape[1], HIDDEN), dtype=np.float32)
-        states, h, _ = forward(p, w, h[: w.inputs.shape[1]])
+        states, h, _ = forward(p, w, h[: w.inputs.shape[1]], table=table)
         waiting.append((states[w.valid], w.targets[w.valid], w.documents[w.valid]))
         places += len(waiting[-1][1])
         if places >= SCORE_PLACES:
@@ -238,67 +269,107 @@ def _add(out: np.ndarray, p: Params, sizes: Sizes, parts: list[tuple[np.ndarray,
     out += np.bincount(documents, weights=log_probabilities(p, sizes, states, targets), minlength=len(out))
 
 
+def _sums_by_row(parts: np.ndarray, rows: np.ndarray, places: np.ndarray, n: int) -> np.ndarray:
+    """Sums of `parts` (3 x places x hidden) at `places` by their rows, all `n` of which occur (n x 3 * hidden).
+
+    The rows' first, second ... occurrences are added as blocks; those after the eighth, of few rows, row by row.
+    """
+    counts = np.bincount(rows, minlength=n)
+    ranks = np.argsort(-counts, kind="stable")  # the commonest row first: those with a k-th occurrence are a slice
+    counts = counts[ranks]
+    where = np.empty(n, dtype=np.int64)
+    where[ranks] = np.arange(n)
+    ordered = places[np.argsort(where[rows].astype(np.uint32), kind="stable")]
+    first = np.cumsum(counts) - counts
+    sums = np.take(parts, ordered[first], axis=1)
+    for k in range(1, 8):
+        m = int(np.searchsorted(-counts, -k))  # rows with more than k
+        if not m:
+            break
+        sums[:, :m] += np.take(parts, ordered[first[:m] + k], axis=1)
+    m = int(np.searchsorted(-counts, -8))
+    if m:
+        rest = counts[:m] - 8
+        begins = np.cumsum(rest) - rest
+        at = np.arange(rest.sum()) + np.repeat(first[:m] + 8 - begins, rest)
+        sums[:, :m] += np.add.reduceat(np.take(parts, ordered[at], axis=1), begins, axis=1)
+    out = np.empty((n, parts.shape[0] * parts.shape[2]), dtype=parts.dtype)
+    out[ranks] = sums.transpose(1, 0, 2).reshape(n, -1)
+    return out
+
+
 def gradients(p: Params, sizes: Sizes, w: Window, h: np.ndarray):
     """Gradients of the mean negative log probability of a window, by name, and the state at its end.
 
     Gradients of `input` and `word` come as (rows, values): most rows of a window's vocabulary are untouched.
     """
-    states, last, kept = forward(p, w, h, keep=True)
-    flat, targets = states[w.valid], w.targets[w.valid]
+    # only the rows of `input` that occur are prepared; places out of use take any of them
+    occurs = np.zeros(len(p["input"]), dtype=bool)
+    occurs[w.inputs[w.valid]] = True
+    rows = np.flatnonzero(occurs)
+    number = np.zeros(len(occurs), dtype=np.int64)
+    number[rows] = np.arange(len(rows))
+    given = number[w.inputs]
+    states, last, (before, gates, n) = forward(p, w, h, keep=True, table=input_table(p, rows), rows=given)
+
+    # states in the order of their classes, so that a class is a slice
+    valid = np.flatnonzero(w.valid)
+    targets = w.targets.ravel()[valid]
     scale = np.float32(1.0 / max(1, len(targets)))
-    classes, frequent = _split(targets, sizes)
-    soft = _errors(flat @ p["class"] + p["class_bias"], classes, scale)
-    g: dict = {"class": flat.T @ soft, "class_bias": soft.sum(axis=0)}
+    classes, _ = _split(targets, sizes)
+    order, spans = _sorted_by_class(classes, sizes)
+    places = valid[order]
+    ordered = states.reshape(-1, HIDDEN)[places]
+    logits = ordered @ p["class"]
+    logits += p["class_bias"]
+    soft = _errors(logits, classes[order], scale)
+    g: dict = {"class": ordered.T @ soft, "class_bias": soft.sum(axis=0)}
     back = soft @ p["class"].T
-    by_class = list(_by_class(classes, frequent))
-    if by_class:
-        # states in the order of their classes, so that a class is a slice
-        order = np.concatenate([at for _, at in by_class])
-        ordered, within = flat[order], targets[order] % sizes.width
-        weights = np.empty((len(by_class), HIDDEN, sizes.width), dtype=np.float32)
-        biases = np.empty((len(by_class), sizes.width), dtype=np.float32)
-        share = np.empty_like(ordered)
-        start = 0
-        for i, (k, at) in enumerate(by_class):
-            stop = start + len(at)
-            inside = _errors(ordered[start:stop] @ p["word"][k] + p["word_bias"][k], within[start:stop], scale)
-            np.matmul(ordered[start:stop].T, inside, out=weights[i])
-            inside.sum(axis=0, out=biases[i])
-            np.matmul(inside, p["word"][k].T, out=share[start:stop])
-            start = stop
-        back[order] += share
-        rows = np.array([k for k, _ in by_class])
-        g["word"], g["word_bias"] = (rows, weights), (rows, biases)
+    if spans:
+        occurring, stop = np.array([k for k, _, _ in spans]), spans[-1][2]
+        inside = np.empty((stop, sizes.width), dtype=np.float32)
+        for k, a, b in spans:
+            np.matmul(ordered[a:b], p["word"][k], out=inside[a:b])
+        inside += np.repeat(p["word_bias"][occurring], [b - a for _, a, b in spans], axis=0)
+        inside = _errors(inside, targets[order[:stop]] % sizes.width, scale)
+        weights, share = np.empty((len(spans), HIDDEN, sizes.width), dtype=np.float32), np.empty_like(ordered[:stop])
+        for i, (k, a, b) in enumerate(spans):
+            np.matmul(ordered[a:b].T, inside[a:b], out=weights[i])
+            np.matmul(inside[a:b], p["word"][k].T, out=share[a:b])
+        back[:stop] += share
+        biases = np.add.reduceat(inside, [a for _, a, _ in spans], axis=0)
+        g["word"], g["word_bias"] = (occurring, weights), (occurring, biases)
     into = np.zeros_like(states)
-    into[w.valid] = back
+    into.reshape(-1, HIDDEN)[places] = back
 
     # what the gates pass on of a state's gradient does not depend on it: found for all steps at once
-    before, z, r, inner, n = kept
+    z, r, inner = gates
     pass_n = (1 - z) * (1 - n * n)
-    pass_z = (before - n) * z * (1 - z)
-    pass_r = inner * r * (1 - r)
-    given = np.empty((len(states), len(h), 3 * HIDDEN), dtype=np.float32)  # of the gates' inputs
-    du = np.empty_like(given)  # of the products with the recurrent weights
-    two, turned = 2 * HIDDEN, np.ascontiguousarray(p["recurrent"].T)
+    passed = np.empty((4, *states.shape), dtype=np.float32)
+    du, of_input = passed[:3], passed[1:]  # of the products with the recurrent weights: n, z, r; of the inputs: z, r, n
+    np.multiply(pass_n, r, out=passed[0])
+    np.subtract(before, n, out=passed[1])
+    passed[1] *= z * (1 - z)
+    np.multiply(inner, r * (1 - r), out=passed[2])
+    passed[2] *= pass_n
+    passed[3] = pass_n
+    turned = np.ascontiguousarray(np.roll(p["recurrent"].reshape(HIDDEN, 3, HIDDEN), 1, axis=1).transpose(1, 2, 0))
+    moved = np.empty((3, *last.shape), dtype=np.result_type(passed, turned))
     d = np.zeros_like(last)
     for t in range(len(states) - 1, -1, -1):
         d += into[t]
-        dz, dr, dn = (given[t, :, i * HIDDEN : (i + 1) * HIDDEN] for i in range(3))
-        np.multiply(d, pass_z[t], out=dz)
-        np.multiply(d, pass_n[t], out=dn)
-        np.multiply(dn, pass_r[t], out=dr)
-        du[t, :, :two] = given[t, :, :two]
-        np.multiply(dn, r[t], out=du[t, :, two:])
+        u = passed[:, t]
+        u *= d
+        np.matmul(u[:3], turned, out=moved)
         d *= z[t]
-        d += du[t] @ turned
+        for part in moved:
+            d += part
         d[w.starts[t]] = 0
-    g["recurrent"] = before.reshape(-1, HIDDEN).T @ du.reshape(-1, 3 * HIDDEN)
-    used, values = w.inputs[w.valid], given[w.valid]
+    recurrent = np.matmul(before.reshape(-1, HIDDEN).T, du.reshape(3, -1, HIDDEN))
+    g["recurrent"] = np.roll(recurrent, -1, axis=0).transpose(1, 0, 2).reshape(HIDDEN, 3 * HIDDEN)
+    values = _sums_by_row(of_input.reshape(3, -1, HIDDEN), given.ravel()[valid], valid, len(rows))
     g["gate"] = values.sum(axis=0)
-    order = np.argsort(used, kind="stable")
-    ranked = used[order]
-    first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-    g["input"] = (ranked[first], np.add.reduceat(values[order], first, axis=0))
+    g["input"] = (rows, values)
     return g, last
 
 
@@ -320,9 +391,14 @@ def train(p: Params, sizes: Sizes, docs: Iterable[Sequence[np.ndarray]], end: in
             factor = np.float32(min(1.0, CLIP / (norm + 1e-9)))
             for name, value in g.items():
                 rows, value = value if isinstance(value, tuple) else (slice(None), value)
-                value *= factor
-                squares = seen[name][rows] + value * value
-                seen[name][rows] = squares
+                if len(value) == len(p[name]):  # all of them, in order
+                    rows = slice(None)
+                if factor < 1:
+                    value *= factor
+                squares = seen[name][rows]
+                squares += value * value
+                if not isinstance(rows, slice):
+                    seen[name][rows] = squares
                 value /= np.sqrt(squares)
                 value *= np.float32(RATE)
                 p[name][rows] -= value

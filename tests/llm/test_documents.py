@@ -95,6 +95,39 @@ def test_gru_gradients_and_normalisation():
     assert abs(sum(map(math.exp, every)) - 1) < 1e-4
 
 
+def test_gru_gradients_of_rows_are_sums_over_their_places():
+    """One row occurs a hundred times, row 0 only where a lane has ended: rows are those in use, with all their places."""
+    sizes = gru.Sizes(2)
+    p = gru.initial(sizes, np.ones(128), np.ones(32), 160.0)
+    docs = [np.array([5] * 100 + [1]), np.array([7, 140, 1]), np.array([9] * 6 + [1])]
+    (w,) = gru.windows(docs, 1, 3, 128)
+    g, _ = gru.gradients(p, sizes, w, np.zeros((3, gru.HIDDEN), dtype=np.float32))
+    rows_, values = g["input"]
+    assert rows_.tolist() == [1, 5, 7, 9, 140] and not w.valid.all()
+    # a lane alone, its mean weighed by its share of the places
+    want = {r: np.zeros(3 * gru.HIDDEN) for r in rows_.tolist()}
+    for doc in docs:
+        (alone,) = gru.windows([doc], 1, 1, 128)
+        part, _ = gru.gradients(p, sizes, alone, np.zeros((1, gru.HIDDEN), dtype=np.float32))
+        for r, value in zip(*part["input"]):
+            want[int(r)] += value * len(doc) / w.valid.sum()
+    assert np.allclose(values, [want[r] for r in rows_.tolist()], rtol=1e-3, atol=1e-7)
+
+
+def test_gru_prepares_only_what_a_step_needs(monkeypatch):
+    """Scoring prepares the inputs once for all windows, a step of training only the rows that occur in it."""
+    prepared, plain = [], gru.input_table
+    monkeypatch.setattr(gru, "input_table", lambda *a: prepared.append(plain(*a)) or prepared[-1])
+    sizes = gru.Sizes(4)
+    p = gru.initial(sizes, np.ones(256), np.ones(32), 288.0)
+    docs = [np.array([3] * 300 + [1]), np.array([2, 1])]
+    gru.score(p, sizes, docs, 1)
+    assert [t.shape[1] for t in prepared] == [sizes.inputs]
+    prepared.clear()
+    gru.train(p, sizes, [docs], 1)
+    assert len(prepared) > 1 and max(t.shape[1] for t in prepared) == 3
+
+
 def test_lm_state_is_carried_across_windows(monkeypatch):
     sizes = gru.Sizes(1)
     p = gru.initial(sizes, np.ones(64), np.ones(32), 96.0)
