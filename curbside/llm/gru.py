@@ -228,7 +228,7 @@ def log_probabilities(p: Params, sizes: Sizes, states: np.ndarray, targets: np.n
     """Natural logs of class and word probabilities of targets (places x hidden states); open classes: of the class."""
     classes, _ = _split(targets, sizes)
     order, spans = _sorted_by_class(classes, sizes)
-    states, classes, within = states[order], classes[order], targets[order] % sizes.width
+    states, classes, within = np.take(states, order, axis=0), classes[order], targets[order] % sizes.width
     found = np.empty(len(targets), dtype=np.result_type(states, p["class"]))
     for a in range(0, len(targets), BLOCK_PLACES):
         logits = states[a : a + BLOCK_PLACES] @ p["class"]
@@ -254,7 +254,10 @@ def score(p: Params, sizes: Sizes, docs: Sequence[np.ndarray], end: int) -> np.n
         if not len(h):
             h = np.zeros((w.inputs.shape[1], HIDDEN), dtype=np.float32)
         states, h, _ = forward(p, w, h[: w.inputs.shape[1]], table=table)
-        waiting.append((states[w.valid], w.targets[w.valid], w.documents[w.valid]))
+        if w.valid.all():  # nothing to leave out
+            waiting.append((states.reshape(-1, HIDDEN), w.targets.ravel(), w.documents.ravel()))
+        else:
+            waiting.append((states[w.valid], w.targets[w.valid], w.documents[w.valid]))
         places += len(waiting[-1][1])
         if places >= SCORE_PLACES:
             _add(out, p, sizes, waiting)
@@ -265,7 +268,7 @@ def score(p: Params, sizes: Sizes, docs: Sequence[np.ndarray], end: int) -> np.n
 
 
 def _add(out: np.ndarray, p: Params, sizes: Sizes, parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> None:
-    states, targets, documents = (np.concatenate(c) for c in zip(*parts))
+    states, targets, documents = (np.concatenate(c) for c in zip(*parts)) if len(parts) > 1 else parts[0]
     out += np.bincount(documents, weights=log_probabilities(p, sizes, states, targets), minlength=len(out))
 
 
