@@ -14,6 +14,7 @@ from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curbside.operators.boosted_trees import BlockGBTRegressor
 from curbside.operators.features import (
     FEATURES_CATEGORICAL,
     FEATURES_DATE,
@@ -91,7 +92,7 @@ def training_data(
 
 
 def gbt(target: str = TARGET, max_iter: int = MAX_ITER, max_bins: int = MAX_BINS, seed: int = SEED) -> GBTRegressor:
-    return GBTRegressor(labelCol=target, featuresCol="features", maxIter=max_iter, maxBins=max_bins, seed=seed)
+    return BlockGBTRegressor(labelCol=target, featuresCol="features", maxIter=max_iter, maxBins=max_bins, seed=seed)
 
 
 def regression_metrics(

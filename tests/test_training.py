@@ -3,11 +3,16 @@ from __future__ import annotations
 import random
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
+from pyspark.errors import PythonException
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import functions as F
 
+from curbside.operators import boosted_trees
 from curbside.operators.features import (
     analyse_categories,
     analyse_numbers,
@@ -173,6 +178,63 @@ def test_trees_as_columns_predict_like_the_model(trips):
         assert r.prediction == pytest.approx(theirs[r.id], rel=1e-12)
 
 
+def _nodes(model) -> list[list[str]]:
+    return [tree.toDebugString.splitlines()[1:] for tree in model.trees]
+
+
+def test_trees_of_blocks_are_those_of_spark(spark, tmp_path):
+    """Few and many values, categories, a constant, a skewed feature; the label depends on all and has noise."""
+    rng = random.Random(5)
+    data = []
+    for _ in range(6000):
+        few, many, kind, skewed = rng.randrange(12), rng.gauss(0, 1), rng.choice("abcdefg"), 0.0 if rng.random() < 0.7 else rng.random()
+        label = few * 3 + many * ord(kind) + (20 if kind in "bf" else 0) + 9 * skewed + rng.gauss(0, 4)
+        data.append((float(few), many, kind, skewed, 1.0, label))
+    rows = spark.createDataFrame(data, "few double, many double, kind string, skewed double, same double, fare_amount double")
+    stages = [indexer(["kind"]), VectorAssembler(inputCols=["few", "many", "kind_index", "skewed", "same"], outputCol="features")]
+    ready = training.Pipeline(stages=stages).fit(rows).transform(rows).repartition(3)
+    for settings in ({"max_iter": 4}, {"max_iter": 2, "max_bins": 20}):
+        ours = training.gbt(**settings).fit_in_blocks(ready)
+        theirs = GBTRegressor(labelCol="fare_amount", maxIter=settings["max_iter"], maxBins=settings.get("max_bins", 300)).fit(ready)
+        assert len(ours.trees) == settings["max_iter"] and ours.treeWeights == theirs.treeWeights
+        for a, b in zip(_nodes(ours), _nodes(theirs)):
+            assert [line for line in a if "Predict" not in line] == [line for line in b if "Predict" not in line]
+        both = ours.transform(ready).select("prediction", "features").withColumnRenamed("prediction", "ours")
+        both = theirs.transform(both)
+        assert both.where("abs(ours - prediction) > 1e-9 * (1 + abs(prediction))").isEmpty()
+        assert ours.featureImportances.toArray() == pytest.approx(theirs.featureImportances.toArray(), abs=1e-9)
+        ours.write().overwrite().save(str(tmp_path / "model"))
+        assert _nodes(GBTRegressionModel.load(str(tmp_path / "model"))) == _nodes(ours)
+
+
+def test_many_rows_are_fitted_in_blocks(trips, monkeypatch):
+    """Spark's own fit, which holds all rows as objects, is for fewer rows; both fits refuse the same."""
+    ready = training.training_data(trips, keys=["id"])[0]
+    theirs = training.gbt(max_iter=3).fit(ready)
+    monkeypatch.setattr(boosted_trees, "BLOCKS_FROM", 0)
+    monkeypatch.setattr(GBTRegressor, "_fit", None)
+    ours = training.gbt(max_iter=3).fit(ready)
+    # nodes of a few rows are split alike by several features, so rows are compared and not trees
+    both = theirs.transform(ours.transform(ready).select("features", F.col("prediction").alias("ours")))
+    assert both.where("abs(ours - prediction) > 1e-9 * abs(prediction)").isEmpty()
+    for wrong in ("NULL", "double('nan')"):
+        with pytest.raises(PythonException, match="Labels MUST NOT be Null or NaN"):
+            training.gbt(max_iter=1).fit(ready.withColumn("fare_amount", F.expr(wrong).cast("double")))
+
+
+def test_summary_of_values_keeps_ranks():
+    """Values beyond the bound are merged with the next larger ones: counts stay whole and ranks are near."""
+    rng = np.random.default_rng(1)
+    kept = np.empty(0), np.empty(0)
+    whole = rng.lognormal(size=200_000)
+    for part in np.split(whole, 20):
+        kept = boosted_trees._merged(np.append(kept[0], part), np.append(kept[1], np.ones(len(part))), 2000)
+    values, counts = kept
+    assert len(values) <= 4000 and counts.sum() == 200_000 and (np.diff(values) > 0).all() and values[-1] == whole.max()
+    ranks = np.searchsorted(np.sort(whole), values, side="right")
+    assert np.abs(np.cumsum(counts) - ranks).max() < 0.005 * 200_000
+
+
 def test_raw_files_and_platform_train_the_same_model(spark, platform, raw_paths):
     settings = {"categorical": ("vendor_id",), "numeric": ("trip_distance",), "dates": ("pickup_time_local",)}
     keys = ["pickup_time_local", "pu_location_id", "fare_amount"]
