@@ -1,10 +1,9 @@
 """Boosted regression trees for many rows: Spark's `GBTRegressor` and its model, fitted from blocks of binned rows.
 
-Spark's own fit holds every training row as objects and adds it up in a hundred passes, one feature at a time; past the
-memory of the executors each pass reads these objects from disk. Here rows lie in blocks of the shared folder: their bins,
-and eight bytes for what is left to explain. Features of few bins share a code of their bins, so that one addition counts
-them all; a feature of many bins has its own. A pass adds a block up in numpy, Spark shuffles the sums by tree node, and a
-task per node finds its best split. All rows take part in every pass.
+Spark's own fit holds every training row as objects and adds them up in a hundred passes; it slows down as rows grow. Here
+rows lie in blocks of the shared folder: their bins, and eight bytes for what is left to explain. Features of few bins share
+a code of their bins, so that one addition counts them all; a feature of many bins has its own. A pass adds a block up in
+numpy, Spark shuffles the sums by tree node, and a task per node finds its best split. All rows take part in every pass.
 
 The steps are those of Spark: features are binned once, a continuous one at the midpoints of its values or, if it has more
 values than bins, at even ranks; categories are ordered by their mean; splits go by gain in variance; trees after the
